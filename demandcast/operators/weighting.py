@@ -17,9 +17,13 @@ categories, so the panel is grouped once into *cells* (one row per observed
 tuple, with its row count) and the loop runs on the cell table, whose size
 is bounded by the product of the margins' cardinalities, not by the panel.
 Each margin step is a ``groupBy`` of the cells plus a join of the per-
-category factors. Every iteration ends with a reliable ``checkpoint()`` in
-the session's checkpoint folder (lineage stays one iteration deep and
-survives executor loss); only two scalars reach the driver per iteration.
+category factors. Every iteration ends by writing the cell table as Parquet
+into the session's checkpoint folder and reading it back: lineage stays one
+iteration deep, the state survives executor loss, and the optimizer sees
+the real (tiny) size each time. (``Dataset.checkpoint()`` keeps the origin
+plan's size estimate, which the joins multiply every pass until the
+estimate itself exhausts the driver heap.) Only two scalars reach the
+driver per iteration.
 The weights are joined back to the panel once at the end: with a broadcast
 of the cells when their counted size allows it, a shuffle join otherwise.
 """
@@ -27,6 +31,7 @@ of the cells when their counted size allows it, a shuffle join otherwise.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +66,13 @@ def marginals_frame(spark: SparkSession, marginals: Mapping[str, Mapping[object,
     return spark.createDataFrame(rows, MARGINALS_SCHEMA)
 
 
+def _materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and read it back (cuts lineage)."""
+    path = f"{folder}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _cell_key(i: int) -> str:
     return f"_m{i}"
 
@@ -122,7 +134,7 @@ def rake(
         if col not in df.columns:
             raise ValueError(f"marginals key '{col}' is not a column in df")
 
-    resolve_checkpoint_dir(spark)
+    folder = f"{resolve_checkpoint_dir(spark).rstrip('/')}/demandcast-rake-{uuid.uuid4().hex}"
     # one target per (margin, category); repeated entries add up
     targets = (
         targets.select(F.col("margin").cast("string"), F.col("category").cast("string"), F.col("target").cast("double"))
@@ -130,21 +142,20 @@ def rake(
         .agg(F.sum("target").alias("target"))
     )
     keys = [_cell_key(i) for i in range(len(margins))]
-    cells = (
+    cells = _materialize(
         df.groupBy(*[F.col(f"`{m}`").alias(k) for m, k in zip(margins, keys)])
         .agg(F.count(F.lit(1)).cast("double").alias("_n"))
-        .withColumn("_w", F.lit(1.0))
-        .checkpoint()
+        .withColumn("_w", F.lit(1.0)),
+        folder, "cells-0",
     )
-    # margins' categories are tiny; keep them in memory across iterations
-    targets = targets.checkpoint()
+    targets = _materialize(targets, folder, "targets")
 
     iterations, max_change, converged = 0, float("nan"), False
     for it in range(max_iter):
         step = cells.withColumns({"_chg": F.lit(0.0), "_bad": F.lit(None).cast("string")})
         for margin, key in zip(margins, keys):
             step = _step(step, key, margin, targets)
-        step = step.checkpoint()
+        step = _materialize(step, folder, f"cells-{it + 1}")
         stats = step.agg(F.max("_chg").alias("chg"), F.min("_bad").alias("bad")).first()
         if stats["bad"] is not None:
             margin, _, category = stats["bad"].partition("=")
