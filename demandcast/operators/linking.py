@@ -39,6 +39,7 @@ def link_panel_credit(
     credit: DataFrame,
     salt: str | bytes = DEFAULT_SALT,
     drop_raw_ids: bool = False,
+    broadcast_panel: bool = False,
 ) -> DataFrame:
     """Inner equi-join of panel and transactions on ``cust_hash``.
 
@@ -47,10 +48,12 @@ def link_panel_credit(
     the canonical ``region``. Many-to-many: a customer listed twice in the
     panel duplicates its transactions.
 
-    Plan: both sides get the hash as a projection; the join is left to
-    Catalyst/AQE, which broadcasts the panel when its measured size is under
-    the broadcast threshold and otherwise sort-merge joins, splitting skewed
-    (hot customer) partitions at runtime.
+    Plan: both sides get the hash as a projection. ``broadcast_panel``
+    (for a caller that has checked the panel's size) ships the panel to
+    every task, so the transactions are joined where they are read, with no
+    shuffle. Otherwise the join is left to Catalyst/AQE: a sort-merge join
+    on the hash, with skewed (hot customer) partitions split at runtime and
+    a switch to broadcast when the panel turns out small.
     """
     check_required_columns(credit, LINK_REQUIRED, "credit_txn")
     check_required_columns(panel, LINK_REQUIRED, "panel")
@@ -63,6 +66,8 @@ def link_panel_credit(
     c = c.withColumnsRenamed({x: x + CREDIT_SUFFIX for x in clash})
 
     order = list(p.columns) + [x for x in c.columns if x != "cust_hash"]
+    if broadcast_panel:
+        p = F.broadcast(p)
     linked = p.join(c, on="cust_hash", how="inner").select(*[_q(x) for x in order])
     linked = canonical_region(linked)
     if drop_raw_ids:

@@ -15,10 +15,12 @@ from demandcast.operators.features import build_features
 from demandcast.operators.forecast import naive_quantile_forecast
 from demandcast.operators.linking import link_panel_credit
 from demandcast.sources.tpch import (
+    BROADCAST_MAX_ROWS,
     credit_from_tpch,
     order_marginals_from_tpch,
     panel_from_tpch,
     requests_from_linked,
+    row_count,
 )
 
 # Producer settings of the two slots used by the checked queries. They
@@ -38,7 +40,8 @@ def panel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def linked(spark: SparkSession, d: str) -> DataFrame:
-    return link_panel_credit(panel(spark, d), credit(spark, d))
+    small_panel = row_count(spark, d, "customer") <= BROADCAST_MAX_ROWS
+    return link_panel_credit(panel(spark, d), credit(spark, d), broadcast_panel=small_panel)
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:

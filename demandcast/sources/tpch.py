@@ -15,17 +15,85 @@ written in SQL for the DuckDB oracle, see ``demandcast.plans.oracle``):
   totals: both sum to the number of orders).
 
 nation (25 rows) and region (5 rows) have a size fixed by the schema and
-are broadcast explicitly; every other join is sized by AQE at runtime.
+are broadcast explicitly. Every other dimension (orders, part, supplier,
+customer) grows with the scale factor: it is broadcast only when its row
+count, read from Parquet metadata, is under ``BROADCAST_MAX_ROWS``;
+beyond that the join stays a shuffle (sort-merge) join, with AQE splitting
+skewed partitions. Without the check Catalyst sizes a join by the product
+of its inputs, so a dimension built by a join is never broadcast
+statically and the large side is shuffled before AQE can switch.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# The fact table drives per-row work (hashing, joins); the dimensions are
+# broadcast or shuffled anyway and gain nothing from being spread.
+SPREAD_TABLES = {"lineitem"}
+BROADCAST_MAX_ROWS = 2_000_000
+
+_I, _L, _D, _S, _TS = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
+
+
+def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields])
+
+
+# The declared layout of the test tables (declaring it skips a
+# schema-inference job per scan).
+TABLE_SCHEMAS = {
+    "region": _schema(("r_regionkey", _I), ("r_name", _S)),
+    "nation": _schema(("n_nationkey", _I), ("n_name", _S), ("n_regionkey", _I)),
+    "customer": _schema(("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I), ("c_acctbal", _D),
+                        ("c_mktsegment", _S)),
+    "supplier": _schema(("s_suppkey", _L), ("s_name", _S), ("s_nationkey", _I), ("s_acctbal", _D)),
+    "part": _schema(("p_partkey", _L), ("p_name", _S), ("p_brand", _S), ("p_type", _S), ("p_size", _I),
+                    ("p_retailprice", _D)),
+    "orders": _schema(("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_totalprice", _D),
+                      ("o_orderdate", _TS), ("o_orderpriority", _S)),
+    "lineitem": _schema(("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_linenumber", _I),
+                        ("l_quantity", _D), ("l_extendedprice", _D), ("l_discount", _D), ("l_tax", _D),
+                        ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", _TS)),
+}
+
+_ROW_COUNTS: dict[str, int] = {}
+
+
+def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Rows of a test table. The count reads no column (Parquet footer
+    metadata only); tables are immutable, so it is remembered per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _ROW_COUNTS:
+        _ROW_COUNTS[path] = _scan(spark, sf_dir, name).count()
+    return _ROW_COUNTS[path]
+
+
+def broadcast_if_small(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only behind a size check; otherwise leave the join to
+    a shuffle join."""
+    return F.broadcast(df) if rows <= max_rows else df
+
+
+def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan one table. A scan that yields fewer input partitions than the
+    session has task slots (a single-row-group file) is spread round-robin,
+    so the joins and hashing after it use every core; a table stored as
+    many files already has more splits than slots and is left alone."""
+    df = _scan(spark, sf_dir, name)
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots and name in SPREAD_TABLES:
+        return df.repartition(slots)
+    return df
 
 
 def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +114,9 @@ def credit_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier_region = supplier.join(
         F.broadcast(_nation_region(spark, sf_dir)), supplier.s_nationkey == F.col("n_nationkey")
     ).select("s_suppkey", "r_name")
+    orders = broadcast_if_small(orders, row_count(spark, sf_dir, "orders"))
+    part = broadcast_if_small(part, row_count(spark, sf_dir, "part"))
+    supplier_region = broadcast_if_small(supplier_region, row_count(spark, sf_dir, "supplier"))
     return (
         lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
         .join(part, lineitem.l_partkey == part.p_partkey)
@@ -93,6 +164,7 @@ def order_marginals_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_customer = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     geo = _nation_region(spark, sf_dir)
+    customer = broadcast_if_small(customer, row_count(spark, sf_dir, "customer"))
     joined = per_customer.join(customer, per_customer.o_custkey == customer.c_custkey).join(
         F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey
     )
