@@ -16,14 +16,16 @@ Spark design: a row's weight only depends on its tuple of margin
 categories, so the panel is grouped once into *cells* (one row per observed
 tuple, with its row count) and the loop runs on the cell table, whose size
 is bounded by the product of the margins' cardinalities, not by the panel.
-Each margin step is a ``groupBy`` of the cells plus a join of the per-
-category factors. Every iteration ends by writing the cell table as Parquet
+The targets are attached to the cells once (one lookup join per margin);
+each margin step is then a single select with a window sum per category. Every iteration ends by writing the cell table as Parquet
 into the session's checkpoint folder and reading it back: lineage stays one
 iteration deep, the state survives executor loss, and the optimizer sees
 the real (tiny) size each time. (``Dataset.checkpoint()`` keeps the origin
 plan's size estimate, which the joins multiply every pass until the
-estimate itself exhausts the driver heap.) Only two scalars reach the
-driver per iteration.
+estimate itself exhausts the driver heap.) Passes are evaluated
+``ITERATIONS_PER_JOB`` at a time in one plan, recording each pass's
+weights and change, so a block costs one write and one one-row read;
+only those per-pass scalars reach the driver.
 The weights are joined back to the panel once at the end: with a broadcast
 of the cells when their counted size allows it, a shuffle join otherwise.
 """
@@ -32,15 +34,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandcast.schemas import MARGINALS_SCHEMA
 from demandcast.session import resolve_checkpoint_dir
 
 MAX_BROADCAST_CELLS = 1_000_000
+# Iterations evaluated per Spark job. Each pass's weights, largest change
+# and infeasibility flag are kept as columns, so the driver still stops at
+# exactly the pass where the tolerance is met (later passes are discarded).
+ITERATIONS_PER_JOB = 5
 
 
 class InfeasibleMarginsError(ValueError):
@@ -66,6 +73,20 @@ def marginals_frame(spark: SparkSession, marginals: Mapping[str, Mapping[object,
     return spark.createDataFrame(rows, MARGINALS_SCHEMA)
 
 
+@contextmanager
+def _scoped_conf(spark: SparkSession, key: str, value: str):
+    """Set a SQL conf for the duration of the block, then restore it."""
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
 def _materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it back (cuts lineage)."""
     path = f"{folder}/{name}"
@@ -77,30 +98,41 @@ def _cell_key(i: int) -> str:
     return f"_m{i}"
 
 
-def _step(cells: DataFrame, key: str, margin: str, targets: DataFrame) -> DataFrame:
-    """Apply one margin to the cell table."""
-    tgt = targets.filter(F.col("margin") == F.lit(margin)).select(
-        F.col("category").alias("_cat"), F.col("target").alias("_target")
+def _attach_targets(cells: DataFrame, keys: list[str], margins: list[str], targets: DataFrame) -> DataFrame:
+    """Give every cell its target for each margin (``_t0, _t1, ...``).
+
+    A cell's category, hence its target, never changes across iterations,
+    so the lookup joins run once, before the loop."""
+    out = cells
+    for i, (margin, key) in enumerate(zip(margins, keys)):
+        tgt = targets.filter(F.col("margin") == F.lit(margin)).select(
+            F.col("category").alias("_cat"), F.col("target").alias(f"_t{i}")
+        )
+        out = out.join(tgt, F.col(key).cast("string") == F.col("_cat"), "left").drop("_cat")
+    return out
+
+
+def _step(cells: DataFrame, key: str, target_col: str, margin: str) -> DataFrame:
+    """Apply one margin to the cell table: one window sum per category (a
+    category holds at most the product of the other margins' cardinalities
+    cells, never panel rows) and row-local arithmetic, in a single select."""
+    current = F.sum(F.col("_w") * F.col("_n")).over(Window.partitionBy(key))
+    target = F.coalesce(F.col(target_col), F.lit(0.0))
+    factor = (
+        F.when(F.col(key).isNull(), F.lit(1.0))
+        .when(current == 0, F.lit(1.0))
+        .otherwise(target / current)
     )
-    totals = cells.groupBy(F.col(key).alias("_key")).agg(F.sum(F.col("_w") * F.col("_n")).alias("_cur"))
-    target = F.coalesce(F.col("_target"), F.lit(0.0))
-    factors = totals.join(tgt, F.col("_key").cast("string") == F.col("_cat"), "left").select(
-        "_key",
-        F.when(F.col("_key").isNull(), F.lit(1.0))
-        .when(F.col("_cur") == 0, F.lit(1.0))
-        .otherwise(target / F.col("_cur"))
-        .alias("_factor"),
-        F.when(
-            F.col("_key").isNotNull() & (F.col("_cur") == 0) & (target > 0),
-            F.concat(F.lit(margin + "="), F.col("_key").cast("string")),
-        ).alias("_bad_step"),
+    bad = F.when(
+        F.col(key).isNotNull() & (current == 0) & (target > 0),
+        F.concat(F.lit(margin + "="), F.col(key).cast("string")),
     )
-    base = [c for c in cells.columns if c not in ("_w", "_chg", "_bad")]
-    return cells.join(factors, F.col(key).eqNullSafe(F.col("_key")), "inner").select(
-        *base,
-        (F.col("_w") * F.col("_factor")).alias("_w"),
-        F.greatest(F.col("_chg"), F.abs(F.lit(1.0) - F.col("_factor"))).alias("_chg"),
-        F.coalesce(F.col("_bad"), F.col("_bad_step")).alias("_bad"),
+    keep = [c for c in cells.columns if c not in ("_w", "_chg", "_bad")]
+    return cells.select(
+        *keep,
+        (F.col("_w") * factor).alias("_w"),
+        F.greatest(F.col("_chg"), F.abs(F.lit(1.0) - factor)).alias("_chg"),
+        F.coalesce(F.col("_bad"), bad).alias("_bad"),
     )
 
 
@@ -128,19 +160,13 @@ def rake(
         targets = marginals_frame(spark, marginals)
     margins = list(margins)
 
-    if df.isEmpty():
-        raise ValueError("raking requires a non-empty DataFrame")
-    for col in margins:
-        if col not in df.columns:
-            raise ValueError(f"marginals key '{col}' is not a column in df")
+    missing = [col for col in margins if col not in df.columns]
+    if missing:
+        if df.isEmpty():
+            raise ValueError("raking requires a non-empty DataFrame")
+        raise ValueError(f"marginals key '{missing[0]}' is not a column in df")
 
     folder = f"{resolve_checkpoint_dir(spark).rstrip('/')}/demandcast-rake-{uuid.uuid4().hex}"
-    # one target per (margin, category); repeated entries add up
-    targets = (
-        targets.select(F.col("margin").cast("string"), F.col("category").cast("string"), F.col("target").cast("double"))
-        .groupBy("margin", "category")
-        .agg(F.sum("target").alias("target"))
-    )
     keys = [_cell_key(i) for i in range(len(margins))]
     cells = _materialize(
         df.groupBy(*[F.col(f"`{m}`").alias(k) for m, k in zip(margins, keys)])
@@ -148,27 +174,56 @@ def rake(
         .withColumn("_w", F.lit(1.0)),
         folder, "cells-0",
     )
-    targets = _materialize(targets, folder, "targets")
-
-    iterations, max_change, converged = 0, float("nan"), False
-    for it in range(max_iter):
-        step = cells.withColumns({"_chg": F.lit(0.0), "_bad": F.lit(None).cast("string")})
-        for margin, key in zip(margins, keys):
-            step = _step(step, key, margin, targets)
-        step = _materialize(step, folder, f"cells-{it + 1}")
-        stats = step.agg(F.max("_chg").alias("chg"), F.min("_bad").alias("bad")).first()
-        if stats["bad"] is not None:
-            margin, _, category = stats["bad"].partition("=")
-            raise InfeasibleMarginsError(
-                f"margin '{margin}' category '{category}' has a positive target but zero weight"
-            )
-        cells = step.drop("_chg", "_bad")
-        iterations, max_change = it + 1, float(stats["chg"])
-        if max_change < tol:
-            converged = True
-            break
-
     n_cells = cells.count()
+    if n_cells == 0:
+        raise ValueError("raking requires a non-empty DataFrame")
+
+    # one target per (margin, category); repeated entries add up
+    targets = _materialize(
+        targets.select(F.col("margin").cast("string"), F.col("category").cast("string"),
+                       F.col("target").cast("double"))
+        .groupBy("margin", "category")
+        .agg(F.sum("target").alias("target")),
+        folder, "targets",
+    )
+    if targets.count() <= MAX_BROADCAST_CELLS:
+        targets = F.broadcast(targets)
+    cells = _materialize(_attach_targets(cells, keys, margins, targets), folder, "cells-targets")
+    target_cols = [f"_t{i}" for i in range(len(margins))]
+
+    # The block plans chain many window/join steps over few columns;
+    # inferring constraints across them costs far more than running them.
+    with _scoped_conf(spark, "spark.sql.constraintPropagation.enabled", "false"):
+        iterations, max_change, converged = 0, float("nan"), False
+        block = 0
+        while iterations < max_iter and not converged:
+            size = min(ITERATIONS_PER_JOB, max_iter - iterations)
+            step = cells
+            for i in range(size):
+                step = step.withColumns({"_chg": F.lit(0.0), "_bad": F.lit(None).cast("string")})
+                for margin, key, tcol in zip(margins, keys, target_cols):
+                    step = _step(step, key, tcol, margin)
+                step = step.withColumns({f"_w{i}": F.col("_w"), f"_chg{i}": F.col("_chg"), f"_bad{i}": F.col("_bad")})
+                step = step.drop("_chg", "_bad")
+            block += 1
+            done = _materialize(step, folder, f"cells-{block}")
+            stats = done.agg(
+                *[F.max(f"_chg{i}").alias(f"chg{i}") for i in range(size)],
+                *[F.min(f"_bad{i}").alias(f"bad{i}") for i in range(size)],
+            ).first()
+            last = size - 1
+            for i in range(size):
+                if stats[f"bad{i}"] is not None:
+                    margin, _, category = stats[f"bad{i}"].partition("=")
+                    raise InfeasibleMarginsError(
+                        f"margin '{margin}' category '{category}' has a positive target but zero weight"
+                    )
+                iterations, max_change = iterations + 1, float(stats[f"chg{i}"])
+                if max_change < tol:
+                    converged, last = True, i
+                    break
+            cells = done.select(*keys, *target_cols, "_n", F.col(f"_w{last}").alias("_w"))
+
     weights = cells.select(*keys, F.col("_w").alias("_weight"))
     if n_cells <= MAX_BROADCAST_CELLS:
         weights = F.broadcast(weights)
