@@ -28,8 +28,10 @@ from demandcast.operators.lookup import (
     missing_forecasts,
 )
 from demandcast.operators.metrics import pinball_loss, score_by_series, wape
+from demandcast.operators.regression import regression_quantile_forecast
 from demandcast.operators.weighting import rake, rake_totals
 from demandcast.plans import inputs as I
+from demandcast.plans.pipeline import forecast_from_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 DEC = 6
@@ -231,6 +233,14 @@ def q_pipeline_status(spark, d):
     return reports.pipeline_status(spark, artefacts)
 
 
+def q_regression_forecast(spark, d):
+    return regression_quantile_forecast(I.features(spark, d)).forecast
+
+
+def q_pipeline_forecast(spark, d):
+    return forecast_from_features(I.features(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
