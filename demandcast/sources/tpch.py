@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 # The fact table drives per-row work (hashing, joins); the dimensions are
 # broadcast or shuffled anyway and gain nothing from being spread.
 SPREAD_TABLES = {"lineitem"}
-BROADCAST_MAX_ROWS = 2_000_000
+# ~100 bytes per row of a projected dimension: at most ~100 MB per broadcast.
+BROADCAST_MAX_ROWS = 1_000_000
 
 _I, _L, _D, _S, _TS = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
