@@ -93,3 +93,9 @@ def test_parquet_roundtrip_and_optional_loads(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         first_available(spark, [os.path.join(tmp_dir, "missing.parquet")])
     assert load_tables(spark, tmp_dir, tmp_dir) is None
+
+
+def test_empty_csv(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "empty.csv"), "")
+    with pytest.raises(IngestError, match="Empty or invalid CSV"):
+        read_csv(spark, path)
