@@ -34,12 +34,37 @@ def canonical_region(linked: DataFrame) -> DataFrame:
     return linked.withColumn("region", F.coalesce(*[_q(c) for c in sources]))
 
 
+def hot_customers(credit: DataFrame, support: float, column: str = "customer_id") -> list:
+    """Ids holding at least ``support`` of the rows (approximate, one pass;
+    the list has at most 1/support entries, possibly a few false positives)."""
+    row = credit.select(F.col(f"`{column}`").cast("string").alias(column)).stat.freqItems([column], support).first()
+    return [x for x in row[0] if x is not None] if row else []
+
+
+def _salted_join(p: DataFrame, c: DataFrame, hot_ids: list, buckets: int) -> DataFrame:
+    """Join on (cust_hash, salt): hot customers' transactions spread over
+    ``buckets`` salts, their panel rows replicated per salt."""
+    id_p = next(x for x in p.columns if x.startswith("customer_id"))
+    id_c = next(x for x in c.columns if x.startswith("customer_id"))
+    if not hot_ids:
+        return p.join(c, on="cust_hash", how="inner")
+    hot_p = F.col(f"`{id_p}`").cast("string").isin(hot_ids)
+    hot_c = F.col(f"`{id_c}`").cast("string").isin(hot_ids)
+    spread = F.pmod(F.xxhash64(*[_q(x) for x in c.columns]), F.lit(buckets))
+    c = c.withColumn("_salt", F.when(hot_c, spread).otherwise(F.lit(0)).cast("int"))
+    replicas = F.when(hot_p, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    p = p.withColumn("_salt", F.explode(replicas))
+    return p.join(c, on=["cust_hash", "_salt"], how="inner").drop("_salt")
+
+
 def link_panel_credit(
     panel: DataFrame,
     credit: DataFrame,
     salt: str | bytes = DEFAULT_SALT,
     drop_raw_ids: bool = False,
     broadcast_panel: bool = False,
+    hot_key_support: float | None = None,
+    salt_buckets: int = 32,
 ) -> DataFrame:
     """Inner equi-join of panel and transactions on ``cust_hash``.
 
@@ -54,6 +79,13 @@ def link_panel_credit(
     shuffle. Otherwise the join is left to Catalyst/AQE: a sort-merge join
     on the hash, with skewed (hot customer) partitions split at runtime and
     a switch to broadcast when the panel turns out small.
+
+    ``hot_key_support`` (e.g. 0.01) makes the hot-customer split explicit
+    instead: customers with at least that share of the transactions are
+    found in one approximate frequent-items pass (at most 1/support keys,
+    false positives only cost a little replication), their transactions are
+    spread over ``salt_buckets`` salts and their panel rows replicated once
+    per salt; every other key joins on salt 0. The result is identical.
     """
     check_required_columns(credit, LINK_REQUIRED, "credit_txn")
     check_required_columns(panel, LINK_REQUIRED, "panel")
@@ -67,8 +99,12 @@ def link_panel_credit(
 
     order = list(p.columns) + [x for x in c.columns if x != "cust_hash"]
     if broadcast_panel:
-        p = F.broadcast(p)
-    linked = p.join(c, on="cust_hash", how="inner").select(*[_q(x) for x in order])
+        linked = F.broadcast(p).join(c, on="cust_hash", how="inner")
+    elif hot_key_support:
+        linked = _salted_join(p, c, hot_customers(credit, hot_key_support), salt_buckets)
+    else:
+        linked = p.join(c, on="cust_hash", how="inner")
+    linked = linked.select(*[_q(x) for x in order])
     linked = canonical_region(linked)
     if drop_raw_ids:
         linked = linked.drop(*[x for x in linked.columns if x.startswith("customer_id")])

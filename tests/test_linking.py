@@ -60,3 +60,17 @@ def test_canonical_region(spark):
 def test_drop_raw_ids(panel, credit):
     linked = link_panel_credit(panel, credit, drop_raw_ids=True)
     assert not [c for c in linked.columns if c.startswith("customer_id")]
+
+
+def test_salted_join_equals_plain_join_under_skew(spark):
+    credit = spark.createDataFrame(
+        [(i, "hot" if i % 3 else f"c{i % 7}") for i in range(300)], "txn_id long, customer_id string"
+    )
+    panel = spark.createDataFrame(
+        [("p1", "hot"), ("p2", "hot"), ("p3", "c1"), ("p4", "c3"), ("p5", None)],
+        "panel_id string, customer_id string",
+    )
+    plain = sorted(tuple(r) for r in link_panel_credit(panel, credit).collect())
+    salted_df = link_panel_credit(panel, credit, hot_key_support=0.2, salt_buckets=8)
+    assert sorted(tuple(r) for r in salted_df.collect()) == plain
+    assert salted_df.columns == link_panel_credit(panel, credit).columns
