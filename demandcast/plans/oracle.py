@@ -368,3 +368,15 @@ SQL["rake_totals"] = with_ctes(" UNION ALL ".join(f"""
 SELECT '{m}' AS margin, CAST(r.{m} AS VARCHAR) AS category, round(SUM(r.weight), 6) AS weighted_total,
        (SELECT SUM(target) FROM marginals g WHERE g.margin = '{m}' AND g.category = CAST(r.{m} AS VARCHAR)) AS target
 FROM raked r WHERE r.{m} IS NOT NULL GROUP BY r.{m}""" for m in RAKE_MARGINS), "raked", "marginals")
+
+
+def _present(view: str) -> str:
+    return f"(SELECT COUNT(*) FROM (SELECT 1 FROM {view} LIMIT 1) t)"
+
+
+SQL["pipeline_status"] = with_ctes(f"""
+SELECT 'Data Ingestion' AS step, ({_present('credit')} + {_present('panel')}) >= 2 AS ready
+UNION ALL SELECT 'Data Linking' AS step, {_present('linked')} >= 1 AS ready
+UNION ALL SELECT 'Feature Engineering' AS step, {_present('features')} >= 1 AS ready
+UNION ALL SELECT 'Forecasting' AS step, ({_present('ens')} + {_present('deepar')}) >= 1 AS ready""",
+                                   "credit", "panel", "linked", "features", "ens", "deepar")
