@@ -91,10 +91,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     so the joins and hashing after it use every core; a table stored as
     many files already has more splits than slots and is left alone."""
     df = _scan(spark, sf_dir, name)
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots and name in SPREAD_TABLES:
-        return df.repartition(slots)
-    return df
+    if name not in SPREAD_TABLES:
+        return df
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext in this session (e.g. a remote client)
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
