@@ -72,3 +72,20 @@ def test_streaming_rejects_misplaced_columns(spark, tmp_dir):
     write_csv(os.path.join(src, "w1.csv"), bad_header, [("C1", 1, "2025-01-01", "S", "NE", 1.0, 1.0, 1)])
     with pytest.raises(Exception):
         land_new_files(spark, src, os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "c"))
+
+
+def test_cli_run_and_lookup(spark, tmp_dir, capsys):
+    import json
+
+    from demandcast.__main__ import main
+
+    credit = write_csv(os.path.join(tmp_dir, "credit.csv"), CREDIT_HEADER, CREDIT_ROWS)
+    panel = write_csv(os.path.join(tmp_dir, "panel.csv"), PANEL_HEADER, PANEL_ROWS)
+    feats = os.path.join(tmp_dir, "features")
+    assert main(["run", "--credit_csv", credit, "--panel_csv", panel, "--landing_dir",
+                 os.path.join(tmp_dir, "landing"), "--feature_dir", feats, "--no_regression"]) == 0
+    capsys.readouterr()
+    assert main(["lookup", "--feature_dir", feats, "--sku", "SKU456", "--region", "W", "--horizon", "3"]) == 0
+    rows = json.loads(capsys.readouterr().out)
+    assert [r["date"] for r in rows] == ["2025-01-20", "2025-01-27", "2025-02-03"]
+    assert main(["lookup", "--feature_dir", feats, "--sku", "nope", "--region", "W"]) == 1
