@@ -39,3 +39,14 @@ def hmac_sha256_hex(c: Column | str, salt: str | bytes = DEFAULT_SALT) -> Column
     message = F.encode(col.cast("string"), "UTF-8")
     inner_digest = F.unhex(F.sha2(F.concat(F.unhex(F.lit(inner.hex())), message), 256))
     return F.sha2(F.concat(F.unhex(F.lit(outer.hex())), inner_digest), 256)
+
+
+def hmac_sha256_digest(c: Column | str, salt: str | bytes = DEFAULT_SALT) -> Column:
+    """The same HMAC as 32 raw bytes: half the size of the hex text, which
+    matters when it is a shuffle key."""
+    return F.unhex(hmac_sha256_hex(c, salt))
+
+
+def digest_to_hex(c: Column) -> Column:
+    """Raw digest -> the lower-case hex text of ``hmac_sha256_hex``."""
+    return F.lower(F.hex(c))

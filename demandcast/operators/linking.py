@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.functions.hashing import DEFAULT_SALT, hmac_sha256_hex
+from demandcast.functions.hashing import DEFAULT_SALT, digest_to_hex, hmac_sha256_digest, hmac_sha256_hex
 from demandcast.operators.checks import check_required_columns
 from demandcast.schemas import CREDIT_SUFFIX, LINK_REQUIRED, PANEL_SUFFIX
 
@@ -44,17 +44,16 @@ def hot_customers(credit: DataFrame, support: float, column: str = "customer_id"
 def _salted_join(p: DataFrame, c: DataFrame, hot_ids: list, buckets: int) -> DataFrame:
     """Join on (cust_hash, salt): hot customers' transactions spread over
     ``buckets`` salts, their panel rows replicated per salt."""
-    id_p = next(x for x in p.columns if x.startswith("customer_id"))
-    id_c = next(x for x in c.columns if x.startswith("customer_id"))
+    id_p, id_c = "customer_id" + PANEL_SUFFIX, "customer_id" + CREDIT_SUFFIX
     if not hot_ids:
-        return p.join(c, on="cust_hash", how="inner")
+        return p.join(c, on="_key", how="inner")
     hot_p = F.col(f"`{id_p}`").cast("string").isin(hot_ids)
     hot_c = F.col(f"`{id_c}`").cast("string").isin(hot_ids)
-    spread = F.pmod(F.xxhash64(*[_q(x) for x in c.columns]), F.lit(buckets))
+    spread = F.pmod(F.xxhash64(*[_q(x) for x in c.columns if x != "_key"]), F.lit(buckets))
     c = c.withColumn("_salt", F.when(hot_c, spread).otherwise(F.lit(0)).cast("int"))
     replicas = F.when(hot_p, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
     p = p.withColumn("_salt", F.explode(replicas))
-    return p.join(c, on=["cust_hash", "_salt"], how="inner").drop("_salt")
+    return p.join(c, on=["_key", "_salt"], how="inner").drop("_salt")
 
 
 def link_panel_credit(
@@ -73,7 +72,7 @@ def link_panel_credit(
     the canonical ``region``. Many-to-many: a customer listed twice in the
     panel duplicates its transactions.
 
-    Plan: both sides get the hash as a projection. ``broadcast_panel``
+    Plan: both sides get the keyed digest as a projection. ``broadcast_panel``
     (for a caller that has checked the panel's size) ships the panel to
     every task, so the transactions are joined where they are read, with no
     shuffle. Otherwise the join is left to Catalyst/AQE: a sort-merge join
@@ -90,21 +89,28 @@ def link_panel_credit(
     check_required_columns(credit, LINK_REQUIRED, "credit_txn")
     check_required_columns(panel, LINK_REQUIRED, "panel")
 
-    p = with_customer_hash(panel, salt)
-    c = with_customer_hash(credit, salt)
-    credit_cols = set(c.columns)
-    clash = [x for x in p.columns if x in credit_cols and x != "cust_hash"]
-    p = p.withColumnsRenamed({x: x + PANEL_SUFFIX for x in clash})
-    c = c.withColumnsRenamed({x: x + CREDIT_SUFFIX for x in clash})
+    credit_cols = set(credit.columns)
+    clash = [x for x in panel.columns if x in credit_cols]
+    p = panel.withColumnsRenamed({x: x + PANEL_SUFFIX for x in clash})
+    c = credit.withColumnsRenamed({x: x + CREDIT_SUFFIX for x in clash})
+    # both sides carry customer_id, so it is always suffixed. The join key is
+    # the raw 32-byte digest (half the shuffle bytes of the hex text); the
+    # hex ``cust_hash`` is derived once, after the join.
+    p = p.withColumn("_key", hmac_sha256_digest(_q("customer_id" + PANEL_SUFFIX), salt))
+    c = c.withColumn("_key", hmac_sha256_digest(_q("customer_id" + CREDIT_SUFFIX), salt))
 
-    order = list(p.columns) + [x for x in c.columns if x != "cust_hash"]
     if broadcast_panel:
-        linked = F.broadcast(p).join(c, on="cust_hash", how="inner")
+        linked = F.broadcast(p).join(c, on="_key", how="inner")
     elif hot_key_support:
         linked = _salted_join(p, c, hot_customers(credit, hot_key_support), salt_buckets)
     else:
-        linked = p.join(c, on="cust_hash", how="inner")
-    linked = linked.select(*[_q(x) for x in order])
+        linked = p.join(c, on="_key", how="inner")
+    panel_cols = [x for x in p.columns if x != "_key"]
+    credit_cols_out = [x for x in c.columns if x != "_key"]
+    linked = linked.select(
+        *[_q(x) for x in panel_cols], digest_to_hex(F.col("_key")).alias("cust_hash"),
+        *[_q(x) for x in credit_cols_out],
+    )
     linked = canonical_region(linked)
     if drop_raw_ids:
         linked = linked.drop(*[x for x in linked.columns if x.startswith("customer_id")])
