@@ -6,8 +6,9 @@ slot suffix. The producers here are Spark jobs over the feature table:
 
 * ``naive_quantile_forecast``: level = value of a feature at the series'
   last observed week (last units, or the 4-week mean); spread = exact
-  empirical quantiles of the series' one-step changes, widened by sqrt(k)
-  for step k. Pure DataFrame, one aggregation over the weekly table.
+  empirical quantiles of the series' one-step changes (pooled over the SKU
+  for a series with little history), widened by sqrt(k) for step k. Pure
+  DataFrame: two aggregations over the weekly table and a join per SKU.
 * ``regression_quantile_forecast`` (in ``demandcast.operators.regression``):
   one gradient-boosted model shared by all series.
 """
@@ -23,6 +24,9 @@ from demandcast.functions.quantiles import clip_lower
 from demandcast.operators.features import series_window
 from demandcast.schemas import DEFAULT_HORIZON_WEEKS, QUANTILES, SERIES_KEYS, qname
 
+# A series needs this many observed one-step changes for its own spread.
+MIN_SERIES_CHANGES = 8
+
 
 def _steps(horizon: int):
     if horizon < 0:
@@ -40,16 +44,19 @@ def naive_quantile_forecast(
     suffix: str = "",
     clamp: bool = True,
     decimals: int | None = 6,
+    min_changes: int = MIN_SERIES_CHANGES,
 ) -> DataFrame:
     """Forecast ``horizon`` weeks after each series' last observed week.
 
     q_p(k) = level + Q_p(one-step change) * sqrt(k), k = 1..horizon, dated
-    last week + 7k days (a date). A series with a single week has no change
-    and gets spread 0. Values are rounded to ``decimals`` and clamped at 0
-    unless ``clamp`` is False.
-
-    Per-series state is bounded by the number of weeks of the series, never
-    by transaction volume: the input is the weekly feature table.
+    last week + 7k days (a date). A series with fewer than ``min_changes``
+    observed changes borrows the quantiles of its SKU pooled over all
+    regions; with no change at all the spread is 0. Values are rounded to
+    ``decimals`` and clamped at 0 unless ``clamp`` is False.
+
+    Per-series state is bounded by the number of weeks of the series (and
+    per-SKU state by regions x weeks), never by transaction volume: the
+    input is the weekly feature table.
     """
     changes = features.select(
         *SERIES_KEYS,
@@ -57,10 +64,23 @@ def naive_quantile_forecast(
         F.col(level_col).cast("double").alias("_level"),
         (F.col("units_sold") - F.lag("units_sold", 1).over(series_window())).alias("_change"),
     )
+    spreads = [F.percentile("_change", float(q)) for q in quantiles]
     stats = changes.groupBy(*SERIES_KEYS).agg(
         F.max("week").alias("_last_week"),
         F.max_by("_level", "week").alias("_level"),
-        *[F.percentile("_change", float(q)).alias(f"_spread{i}") for i, q in enumerate(quantiles)],
+        F.count("_change").alias("_n_changes"),
+        *[p.alias(f"_own{i}") for i, p in enumerate(spreads)],
+    )
+    pooled = changes.groupBy("sku").agg(*[p.alias(f"_pool{i}") for i, p in enumerate(spreads)])
+    stats = stats.join(pooled, on="sku", how="left")
+    thin = F.col("_n_changes") < F.lit(int(min_changes))
+    stats = stats.select(
+        *SERIES_KEYS, "_last_week", "_level",
+        *[
+            F.when(thin, F.coalesce(F.col(f"_pool{i}"), F.col(f"_own{i}"))).otherwise(F.col(f"_own{i}"))
+            .alias(f"_spread{i}")
+            for i in range(len(quantiles))
+        ],
     )
     stepped = stats.select("*", F.explode(_steps(horizon)).alias("_k"))
     out = {}

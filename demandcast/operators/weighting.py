@@ -17,23 +17,27 @@ categories, so the panel is grouped once into *cells* (one row per observed
 tuple, with its row count) and the loop runs on the cell table, whose size
 is bounded by the product of the margins' cardinalities, not by the panel.
 The targets are attached to the cells once (one lookup join per margin);
-each margin step is then a single select with a window sum per category. Every iteration ends by writing the cell table as Parquet
-into the session's checkpoint folder and reading it back: lineage stays one
-iteration deep, the state survives executor loss, and the optimizer sees
-the real (tiny) size each time. (``Dataset.checkpoint()`` keeps the origin
-plan's size estimate, which the joins multiply every pass until the
-estimate itself exhausts the driver heap.) Passes are evaluated
-``ITERATIONS_PER_JOB`` at a time in one plan, recording each pass's
-weights and change, so a block costs one write and one one-row read;
-only those per-pass scalars reach the driver.
+each margin step is then a single select with a window sum per category.
+
+Passes are evaluated ``ITERATIONS_PER_JOB`` at a time in one plan, keeping
+each pass's weights, largest change and infeasibility flag as columns, so
+the driver still stops at exactly the pass where the tolerance is met; only
+those per-pass scalars reach the driver. Every block is written as Parquet
+into the session's checkpoint folder and read back: lineage stays one block
+deep, the state survives executor loss, and the optimizer sees the real
+(tiny) size each time. (``Dataset.checkpoint()`` keeps the origin plan's
+size estimate, which the joins multiply every pass until the estimate
+itself exhausts the driver heap.) Constraint propagation is switched off
+while the block plans are built and restored afterwards.
+
 The weights are joined back to the panel once at the end: with a broadcast
 of the cells when their counted size allows it, a shuffle join otherwise.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
 import uuid
+from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 

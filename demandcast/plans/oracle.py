@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from demandcast.functions.hashing import DEFAULT_SALT, hmac_pads
 from demandcast.functions.numeric import SCALE, decimal_places
+from demandcast.operators.forecast import MIN_SERIES_CHANGES
 from demandcast.plans.inputs import DEEPAR_SLOT, LGB_SLOT, RAKE_CHECK_ITERATIONS, RAKE_MARGINS
 from demandcast.schemas import QUANTILES, qname
 
@@ -113,25 +114,31 @@ FROM weekly""")
 
 
 def naive_sql(src: str, horizon: int, level_col: str = "units_sold", suffix: str = "",
-              clamp: bool = True, quantiles: Sequence[float] = QUANTILES) -> str:
-    spreads = ",\n       ".join(
-        f"quantile_cont(chg, {_dbl(q)}) AS s{i}" for i, q in enumerate(quantiles)
+              clamp: bool = True, quantiles: Sequence[float] = QUANTILES,
+              min_changes: int = MIN_SERIES_CHANGES) -> str:
+    own = ",\n         ".join(f"quantile_cont(chg, {_dbl(q)}) AS o{i}" for i, q in enumerate(quantiles))
+    pool = ", ".join(f"quantile_cont(chg, {_dbl(q)}) AS p{i}" for i, q in enumerate(quantiles))
+    pick = ", ".join(
+        f"CASE WHEN s.n_chg < {int(min_changes)} THEN COALESCE(pl.p{i}, s.o{i}) ELSE s.o{i} END AS s{i}"
+        for i in range(len(quantiles))
     )
     cols = []
     for i, q in enumerate(quantiles):
         v = f"round(level + COALESCE(s{i}, 0.0) * sqrt(CAST(k AS DOUBLE)), {DEC})"
         cols.append(f'{_clip(v) if clamp else v} AS "{qname(q, suffix)}"')
     quant_cols = ",\n       ".join(cols)
+    changes = f"""(SELECT sku, region, week, CAST({level_col} AS DOUBLE) AS lvl,
+               units_sold - lag(units_sold) OVER (PARTITION BY sku, region ORDER BY week) AS chg
+        FROM {src})"""
     return f"""
 SELECT sku, region, CAST(CAST(last_week AS DATE) + CAST(7 * k AS INTEGER) AS DATE) AS date,
        {quant_cols}
 FROM (SELECT *, unnest(generate_series(1, {int(horizon)})) AS k FROM (
-  SELECT sku, region, max(week) AS last_week, arg_max(lvl, week) AS level,
-       {spreads}
-  FROM (SELECT sku, region, week, CAST({level_col} AS DOUBLE) AS lvl,
-               units_sold - lag(units_sold) OVER (PARTITION BY sku, region ORDER BY week) AS chg
-        FROM {src}) x
-  GROUP BY sku, region) s) t"""
+  SELECT s.sku, s.region, s.last_week, s.level, {pick}
+  FROM (SELECT sku, region, max(week) AS last_week, arg_max(lvl, week) AS level, COUNT(chg) AS n_chg,
+         {own}
+        FROM {changes} x GROUP BY sku, region) s
+  LEFT JOIN (SELECT sku, {pool} FROM {changes} y GROUP BY sku) pl ON s.sku = pl.sku) z) t"""
 
 
 cte("lgb", ["features"], naive_sql("features", **LGB_SLOT))
