@@ -45,9 +45,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandcast.schemas import MARGINALS_SCHEMA
-from demandcast.session import resolve_checkpoint_dir
+from demandcast.session import broadcast_max_rows, resolve_checkpoint_dir
 
-MAX_BROADCAST_CELLS = 1_000_000
 # Iterations evaluated per Spark job. Each pass's weights, largest change
 # and infeasibility flag are kept as columns, so the driver still stops at
 # exactly the pass where the tolerance is met (later passes are discarded).
@@ -190,7 +189,8 @@ def rake(
         .agg(F.sum("target").alias("target")),
         folder, "targets",
     )
-    if targets.count() <= MAX_BROADCAST_CELLS:
+    limit = broadcast_max_rows(spark)
+    if targets.count() <= limit:
         targets = F.broadcast(targets)
     cells = _materialize(_attach_targets(cells, keys, margins, targets), folder, "cells-targets")
     target_cols = [f"_t{i}" for i in range(len(margins))]
@@ -229,7 +229,7 @@ def rake(
             cells = done.select(*keys, *target_cols, "_n", F.col(f"_w{last}").alias("_w"))
 
     weights = cells.select(*keys, F.col("_w").alias("_weight"))
-    if n_cells <= MAX_BROADCAST_CELLS:
+    if n_cells <= limit:
         weights = F.broadcast(weights)
     condition = None
     for m, k in zip(margins, keys):

@@ -14,8 +14,8 @@ from demandcast.operators.ensemble import ensemble
 from demandcast.operators.features import build_features
 from demandcast.operators.forecast import naive_quantile_forecast
 from demandcast.operators.linking import link_panel_credit
+from demandcast.session import broadcast_max_rows
 from demandcast.sources.tpch import (
-    BROADCAST_MAX_ROWS,
     credit_from_tpch,
     order_marginals_from_tpch,
     panel_from_tpch,
@@ -40,7 +40,7 @@ def panel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def linked(spark: SparkSession, d: str) -> DataFrame:
-    small_panel = row_count(spark, d, "customer") <= BROADCAST_MAX_ROWS
+    small_panel = row_count(spark, d, "customer") <= broadcast_max_rows(spark)
     return link_panel_credit(panel(spark, d), credit(spark, d), broadcast_panel=small_panel)
 
 

@@ -67,3 +67,14 @@ def resolve_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir is not set; iterative operators need a shared "
         "checkpoint folder on a cluster"
     )
+
+
+BROADCAST_MAX_ROWS_KEY = "spark.demandcast.broadcastMaxRows"
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_max_rows(spark: SparkSession) -> int:
+    """Largest counted row count of a table this package broadcasts
+    (``spark.demandcast.broadcastMaxRows``; ~100 bytes/row -> ~100 MB).
+    Beyond it joins stay shuffle joins; -1 never broadcasts."""
+    return int(spark.conf.get(BROADCAST_MAX_ROWS_KEY, str(DEFAULT_BROADCAST_MAX_ROWS)))

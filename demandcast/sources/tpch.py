@@ -17,7 +17,7 @@ written in SQL for the DuckDB oracle, see ``demandcast.plans.oracle``):
 nation (25 rows) and region (5 rows) have a size fixed by the schema and
 are broadcast explicitly. Every other dimension (orders, part, supplier,
 customer) grows with the scale factor: it is broadcast only when its row
-count, read from Parquet metadata, is under ``BROADCAST_MAX_ROWS``;
+count, read from Parquet metadata, is under ``broadcast_max_rows(spark)``;
 beyond that the join stays a shuffle (sort-merge) join, with AQE splitting
 skewed partitions. Without the check Catalyst sizes a join by the product
 of its inputs, so a dimension built by a join is never broadcast
@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandcast.session import broadcast_max_rows
+
 # The fact table drives per-row work (hashing, joins); the dimensions are
 # broadcast or shuffled anyway and gain nothing from being spread.
 SPREAD_TABLES = {"lineitem"}
-# ~100 bytes per row of a projected dimension: at most ~100 MB per broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
 
 _I, _L, _D, _S, _TS = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
@@ -72,10 +72,11 @@ def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
     return _ROW_COUNTS[path]
 
 
-def broadcast_if_small(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, rows: int, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint only behind a size check; otherwise leave the join to
     a shuffle join."""
-    return F.broadcast(df) if rows <= max_rows else df
+    limit = broadcast_max_rows(df.sparkSession) if max_rows is None else max_rows
+    return F.broadcast(df) if 0 <= rows <= limit else df
 
 
 def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
