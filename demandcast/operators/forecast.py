@@ -8,7 +8,7 @@ slot suffix. The producers here are Spark jobs over the feature table:
   last observed week (last units, or the 4-week mean); spread = exact
   empirical quantiles of the series' one-step changes (pooled over the SKU
   for a series with little history), widened by sqrt(k) for step k. Pure
-  DataFrame: two aggregations over the weekly table and a join per SKU.
+  DataFrame: one aggregation over two grouping sets of the weekly table.
 * ``regression_quantile_forecast`` (in ``demandcast.operators.regression``):
   one gradient-boosted model shared by all series.
 """
@@ -64,15 +64,20 @@ def naive_quantile_forecast(
         F.col(level_col).cast("double").alias("_level"),
         (F.col("units_sold") - F.lag("units_sold", 1).over(series_window())).alias("_change"),
     )
-    spreads = [F.percentile("_change", float(q)) for q in quantiles]
-    stats = changes.groupBy(*SERIES_KEYS).agg(
+    # One aggregation pass over two grouping sets: per series and per SKU
+    # (no grand total). A SKU group holds its regions x weeks rows.
+    agg = changes.groupingSets([list(SERIES_KEYS), ["sku"]], "sku", "region").agg(
+        F.grouping_id().alias("_gid"),
         F.max("week").alias("_last_week"),
         F.max_by("_level", "week").alias("_level"),
         F.count("_change").alias("_n_changes"),
-        *[p.alias(f"_own{i}") for i, p in enumerate(spreads)],
+        *[F.percentile("_change", float(q)).alias(f"_own{i}") for i, q in enumerate(quantiles)],
     )
-    pooled = changes.groupBy("sku").agg(*[p.alias(f"_pool{i}") for i, p in enumerate(spreads)])
-    stats = stats.join(pooled, on="sku", how="left")
+    series = agg.filter(F.col("_gid") == 0).drop("_gid")
+    pooled = agg.filter(F.col("_gid") == 1).select(
+        "sku", *[F.col(f"_own{i}").alias(f"_pool{i}") for i in range(len(quantiles))]
+    )
+    stats = series.join(pooled, on="sku", how="left")
     thin = F.col("_n_changes") < F.lit(int(min_changes))
     stats = stats.select(
         *SERIES_KEYS, "_last_week", "_level",
