@@ -44,8 +44,8 @@ def linked(spark: SparkSession, d: str) -> DataFrame:
     return link_panel_credit(panel(spark, d), credit(spark, d), broadcast_panel=small_panel)
 
 
-def features(spark: SparkSession, d: str) -> DataFrame:
-    return build_features(linked(spark, d))
+def features(spark: SparkSession, d: str, lk: DataFrame | None = None) -> DataFrame:
+    return build_features(linked(spark, d) if lk is None else lk)
 
 
 def lgb_slot(feats: DataFrame) -> DataFrame:
@@ -56,13 +56,13 @@ def deepar_slot(feats: DataFrame) -> DataFrame:
     return naive_quantile_forecast(feats, **DEEPAR_SLOT)
 
 
-def ensembled(spark: SparkSession, d: str) -> DataFrame:
-    feats = features(spark, d)
+def ensembled(spark: SparkSession, d: str, feats: DataFrame | None = None) -> DataFrame:
+    feats = features(spark, d) if feats is None else feats
     return ensemble(lgb_slot(feats), deepar_slot(feats))
 
 
-def requests(spark: SparkSession, d: str) -> DataFrame:
-    return requests_from_linked(linked(spark, d))
+def requests(spark: SparkSession, d: str, lk: DataFrame | None = None) -> DataFrame:
+    return requests_from_linked(linked(spark, d) if lk is None else lk)
 
 
 def marginals(spark: SparkSession, d: str) -> DataFrame:

@@ -176,11 +176,13 @@ def q_forecast_table(spark, d):
 
 
 def q_forecast_lookup(spark, d):
-    return lookup_forecasts(I.ensembled(spark, d), I.requests(spark, d))
+    lk = I.linked(spark, d)
+    return lookup_forecasts(I.ensembled(spark, d, I.features(spark, d, lk)), I.requests(spark, d, lk))
 
 
 def q_forecast_missing(spark, d):
-    return missing_forecasts(I.ensembled(spark, d), I.requests(spark, d))
+    lk = I.linked(spark, d)
+    return missing_forecasts(I.ensembled(spark, d, I.features(spark, d, lk)), I.requests(spark, d, lk))
 
 
 def _pairs(spark, d):

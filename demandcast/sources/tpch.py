@@ -61,6 +61,7 @@ TABLE_SCHEMAS = {
 }
 
 _ROW_COUNTS: dict[str, int] = {}
+_SPLITS: dict[str, int] = {}
 
 
 def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
@@ -94,12 +95,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = _scan(spark, sf_dir, name)
     if name not in SPREAD_TABLES:
         return df
+    path = f"{sf_dir}/{name}.parquet"
     try:
         slots = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
+        if path not in _SPLITS:
+            _SPLITS[path] = df.rdd.getNumPartitions()
     except Exception:  # no SparkContext in this session (e.g. a remote client)
         return df
-    return df.repartition(slots) if splits < slots else df
+    return df.repartition(slots) if _SPLITS[path] < slots else df
 
 
 def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
