@@ -387,3 +387,10 @@ UNION ALL SELECT 'Data Linking' AS step, {_present('linked')} >= 1 AS ready
 UNION ALL SELECT 'Feature Engineering' AS step, {_present('features')} >= 1 AS ready
 UNION ALL SELECT 'Forecasting' AS step, ({_present('ens')} + {_present('deepar')}) >= 1 AS ready""",
                                    "credit", "panel", "linked", "features", "ens", "deepar")
+
+SQL["forecast_missing_suggestions"] = with_ctes("""
+SELECT r.*, v.valid_regions FROM requests r
+LEFT JOIN (SELECT sku, array_to_string(list_sort(list(DISTINCT region)), ',') AS valid_regions
+           FROM (SELECT DISTINCT sku, region FROM ens) s WHERE sku IS NOT NULL GROUP BY sku) v
+  ON r.sku = v.sku
+WHERE NOT EXISTS (SELECT 1 FROM ens f WHERE f.sku = r.sku AND f.region = r.region)""", "requests", "ens")

@@ -26,6 +26,7 @@ from demandcast.operators.lookup import (
     forecast_table,
     lookup_forecasts,
     missing_forecasts,
+    missing_with_suggestions,
 )
 from demandcast.operators.metrics import pinball_loss, score_by_series, wape
 from demandcast.operators.regression import regression_quantile_forecast
@@ -185,6 +186,11 @@ def q_forecast_missing(spark, d):
     return missing_forecasts(I.ensembled(spark, d, I.features(spark, d, lk)), I.requests(spark, d, lk))
 
 
+def q_forecast_missing_suggestions(spark, d):
+    lk = I.linked(spark, d)
+    return missing_with_suggestions(I.ensembled(spark, d, I.features(spark, d, lk)), I.requests(spark, d, lk))
+
+
 def _pairs(spark, d):
     return backtest_pairs(I.features(spark, d))
 
