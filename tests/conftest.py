@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from demandcast.schemas import CREDIT_SCHEMA, PANEL_SCHEMA  # noqa: E402
-from demandcast.session import get_session  # noqa: E402
+from demandcast.session import get_session, resolve_checkpoint_dir  # noqa: E402
 
 CREDIT_ROWS = [
     (1, "C001", "2025-01-02", "SKU123", "NE", 12.5, 2.5, 5),
@@ -32,7 +32,7 @@ PANEL_ROWS = [
 @pytest.fixture(scope="session")
 def spark():
     session = get_session(master="local[2]", shuffle_partitions=4, app_name="demandcast-tests")
-    session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="demandcast-test-ckpt-"))
+    resolve_checkpoint_dir(session)  # the configured folder, or a temporary one when unset
     yield session
     session.stop()
 
