@@ -64,3 +64,22 @@ def test_backtest_pairs_only_observed_weeks(spark):
     pairs = backtest_pairs(weekly(spark, rows), holdout_weeks=6).collect()
     assert len(pairs) == 4
     assert all(not math.isnan(r["actual"]) for r in pairs)
+
+
+def test_regression_producer_contract(spark):
+    from demandcast.operators.regression import regression_quantile_forecast
+
+    rows = []
+    for s, base in (("S1", 20), ("S2", 40)):
+        for r, bump in (("A", 0), ("B", 5)):
+            units = [base + bump + (i % 4) * 3 - (i % 7) for i in range(60)]
+            rows += long_series(s, r, units)
+    res = regression_quantile_forecast(weekly(spark, rows), horizon=3, max_iter=5, max_depth=3,
+                                       calibration_weeks=10)
+    out = res.forecast.collect()
+    assert res.forecast.columns == ["sku", "region", "date", "q0.1_lgb", "q0.5_lgb", "q0.9_lgb"]
+    assert len(out) == 4 * 3
+    last = (D(2024, 1, 1) + dt.timedelta(weeks=59)).date()
+    assert {r["date"] for r in out} == {last + dt.timedelta(weeks=k) for k in (1, 2, 3)}
+    assert all(0 <= r["q0.1_lgb"] <= r["q0.5_lgb"] <= r["q0.9_lgb"] for r in out)
+    assert res.residual_quantiles.count() == 3
