@@ -192,7 +192,8 @@ def rake(
     limit = broadcast_max_rows(spark)
     if targets.count() <= limit:
         targets = F.broadcast(targets)
-    cells = _materialize(_attach_targets(cells, keys, margins, targets), folder, "cells-targets")
+    # attached lazily: the first block's write materialises the result
+    cells = _attach_targets(cells, keys, margins, targets)
     target_cols = [f"_t{i}" for i in range(len(margins))]
 
     # The block plans chain many window/join steps over few columns;
