@@ -247,10 +247,11 @@ FROM (SELECT DISTINCT txn_date FROM credit) d""", "credit"),
         "SELECT sku, region, week, units_sold, rolling_4w_mean FROM features", "features"),
     "weekly_features": with_ctes("SELECT * FROM features", "features"),
     "totals_close": with_ctes("""
-SELECT p.panel_total, c.credit_total,
-       CASE WHEN c.credit_total <> 0 THEN abs(p.panel_total - c.credit_total) / c.credit_total END AS ratio
-FROM (SELECT COALESCE(CAST(SUM(quantity) AS DOUBLE), 0.0) AS panel_total FROM linked) p,
-     (SELECT COALESCE(CAST(SUM(quantity) AS DOUBLE), 0.0) AS credit_total FROM credit) c""", "linked", "credit"),
+SELECT panel_total, credit_total,
+       CASE WHEN credit_total <> 0 THEN abs(panel_total - credit_total) / credit_total END AS ratio
+FROM (SELECT COALESCE(CAST(SUM(quantity) AS DOUBLE), 0.0) AS panel_total,
+             (SELECT COALESCE(CAST(SUM(quantity) AS DOUBLE), 0.0) FROM credit) AS credit_total
+      FROM linked) t""", "linked", "credit"),
     "credit_overview": with_ctes("""
 SELECT COUNT(*) AS n_records, min(txn_date) AS first_txn_date, max(txn_date) AS last_txn_date,
        COUNT(DISTINCT sku) AS n_skus, COUNT(DISTINCT customer_id) AS n_customers FROM credit""", "credit"),
