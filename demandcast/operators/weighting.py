@@ -211,7 +211,9 @@ def rake(
                 step = step.withColumns({f"_w{i}": F.col("_w"), f"_chg{i}": F.col("_chg"), f"_bad{i}": F.col("_bad")})
                 step = step.drop("_chg", "_bad")
             block += 1
-            done = _materialize(step, folder, f"cells-{block}")
+            # two block folders used in turn: a block reads one and
+            # overwrites the other, so storage stays bounded
+            done = _materialize(step, folder, f"cells-{'ab'[block % 2]}")
             stats = done.agg(
                 *[F.max(f"_chg{i}").alias(f"chg{i}") for i in range(size)],
                 *[F.min(f"_bad{i}").alias(f"bad{i}") for i in range(size)],
