@@ -245,6 +245,20 @@ def q_regression_forecast(spark, d):
     return regression_quantile_forecast(I.features(spark, d)).forecast
 
 
+def q_backtest_models(spark, d):
+    """Both producers on the same holdout: pinball loss per quantile and
+    model (the regression producer has no reference answer; this is how it
+    is judged)."""
+    feats = I.features(spark, d)
+
+    def regression(train, horizon):
+        return regression_quantile_forecast(train, horizon=horizon, suffix="").forecast
+
+    naive = pinball_loss(backtest_pairs(feats)).withColumn("model", F.lit("naive"))
+    fitted = pinball_loss(backtest_pairs(feats, regression)).withColumn("model", F.lit("regression"))
+    return naive.unionByName(fitted)
+
+
 def q_pipeline_forecast(spark, d):
     return forecast_from_features(I.features(spark, d))
 
