@@ -54,3 +54,22 @@ def test_pipeline_status(spark, panel, credit):
     assert status == {
         "Data Ingestion": True, "Data Linking": False, "Feature Engineering": False, "Forecasting": False
     }
+
+
+def test_forecasting_ready_with_either_slot(spark, panel, credit):
+    one = spark.createDataFrame([(1,)], "x long")
+    empty = spark.createDataFrame([], "x long")
+    status = {
+        r["step"]: r["ready"]
+        for r in reports.pipeline_status(
+            spark, {"credit": credit, "panel": panel, "linked": one, "features": one,
+                    "forecast_ensemble": empty, "forecast_deepar": one}
+        ).collect()
+    }
+    assert all(status.values())
+
+
+def test_preview_is_deterministic(spark):
+    df = spark.createDataFrame([(2, "b"), (1, "z"), (1, "a"), (3, "c")], "id long, v string")
+    got = [tuple(r) for r in reports.preview(df.repartition(3), 3, ["id"]).collect()]
+    assert got == [(1, "a"), (1, "z"), (2, "b")]
