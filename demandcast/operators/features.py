@@ -12,6 +12,7 @@ from demandcast.functions.calendar import (
     require_not_null,
     week_start,
 )
+from demandcast.functions.numeric import fixed_mean, fixed_sum
 from demandcast.operators.checks import check_required_columns
 from demandcast.schemas import FEATURE_COLUMNS, FEATURE_REQUIRED, SERIES_KEYS
 
@@ -33,6 +34,8 @@ def weekly_rollup(linked: DataFrame, date_format: str | None = None) -> DataFram
 
     units_sold = sum(quantity) (0 when all null), sales_dollars = sum(amount),
     n_transactions = distinct txn_id, avg_price = plain mean of price.
+    Money is summed in fixed point (1e-7), so the result does not depend on
+    partitioning even for double inputs.
     Rows with a null sku or region are dropped (they form no series).
 
     Plan: partial aggregation per task, then one exchange on
@@ -48,9 +51,9 @@ def weekly_rollup(linked: DataFrame, date_format: str | None = None) -> DataFram
     )
     return rows.groupBy(*SERIES_KEYS, "week").agg(
         F.coalesce(F.sum("quantity"), F.lit(0)).alias("units_sold"),
-        F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("sales_dollars"),
+        F.coalesce(fixed_sum(F.col("amount")), F.lit(0.0)).alias("sales_dollars"),
         F.countDistinct("txn_id").alias("n_transactions"),
-        F.try_divide(F.sum("price").cast("double"), F.count("price")).alias("avg_price"),
+        fixed_mean(F.col("price")).alias("avg_price"),
     )
 
 
