@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandcast.llm import quality_rules, sentencepiece_bpe
-from demandcast.llm.common import table
+from demandcast.llm import chat, mixing, quality_rules, sentencepiece_bpe, topk, warc
+from demandcast.llm.common import Scratch, table
 
 
 def op2_sentencepiece(spark, d):
@@ -22,9 +22,38 @@ def op3_quality_rules(spark, d):
     )
 
 
+def op5_topk(spark, d):
+    vectors = table(spark, d, "embeddings")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), Scratch(spark, "topk"), k=5)
+
+
+def op8_mixing(spark, d):
+    return mixing.mix(table(spark, d, "documents"), Scratch(spark, "mix"))
+
+
+#: Conversation -1 of the contract: both texts imitate a template's controls.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op9_chat(spark, d):
+    events = chat.events_of_rows(table(spark, d, "conversations"))
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit(0).cast("long").alias("seq"), F.lit("message").alias("kind"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    return chat.conversation_digests(chat.render(events.unionByName(own)))
+
+
+def op10_warc(spark, d):
+    return warc.read(warc.build(table(spark, d, "pages"), Scratch(spark, "warc")))
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
+    "op5_topk": op5_topk,
+    "op8_mixing": op8_mixing,
+    "op9_chat": op9_chat,
+    "op10_warc": op10_warc,
 }
 
 # Words of a text as the contracts define them; window functions are spelled
@@ -64,6 +93,70 @@ WITH w AS (
 SELECT *, (failures & 3) <> 0 AS base_failed, failures = 0 AS kept FROM f
 """
 
+_TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e::DOUBLE[], v.e::DOUBLE[])::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+_MIXING = """
+WITH n AS (
+  SELECT source, count(*) AS n FROM documents GROUP BY source
+), r AS (
+  SELECT source, sqrt(n) / (SELECT sum(sqrt(n)) FROM n) * (SELECT sum(n) FROM n)::DOUBLE / n AS rate FROM n
+), p AS (
+  SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf
+  FROM r, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 20)::INTEGER + 1)) AS u(k)
+), t AS (
+  SELECT source, list(cdf ORDER BY k) AS cdf FROM p GROUP BY source
+), c AS (
+  SELECT d.*, len(list_filter(cdf, lambda x: x <= ('0x' || substr(md5('mix-1:' || doc_id), 1, 13))::BIGINT / 4503599627370496.0)) AS copies
+  FROM documents AS d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT c.* EXCLUDE (copies), u.k::INTEGER AS copy, md5('mix-1:' || doc_id || ':' || u.k) AS shuffle_key
+FROM c, unnest(range(1, copies + 1)) AS u(k)
+"""
+
+_CHAT = r"""
+WITH e AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), x AS (
+  SELECT *, '<|im_start|>' || role || chr(10) || regexp_replace(replace(text, '\', '\\'),
+    '(<)(\|im_(?:start|end)\|>|/?s>|</?SYS>>)|(\[)(/?INST\])', '\1\3\\\2\4', 'g') || '<|im_end|>' || chr(10) AS segment FROM e
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(segment))::BIGINT AS formatted_chars
+FROM x GROUP BY conv_id
+"""
+
+_WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), k AS (
+  SELECT html, max(page_id) AS keeper FROM p WHERE strlen(html) >= 1000 GROUP BY html
+)
+SELECT page_id, strlen(p.html)::BIGINT AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN keeper IS NOT NULL AND page_id IS DISTINCT FROM keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper IS NOT NULL AND page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
+FROM p LEFT JOIN k USING (html)
+"""
+
 SQL = {
+    "op5_topk": _TOPK,
+    "op8_mixing": _MIXING,
+    "op9_chat": _CHAT,
+    "op10_warc": _WARC,
     "op3_quality_rules": _RULES,
 }
