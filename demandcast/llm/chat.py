@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import pick, rows_in
+from demandcast.llm.common import map_arrow, pick, rows_in
 
 # Control strings of public chat templates.
 BEGIN, END = "<|im_start|>", "<|im_end|>"
@@ -150,7 +150,7 @@ def render(events: DataFrame, loss_role: str = "assistant") -> DataFrame:
     order = ["conv_id", "turn", "seq", "kind", "role", "text"]
     log = pick(events, *order)
     dealt = log.repartition("conv_id", "turn").sortWithinPartitions(*order)
-    return dealt.mapInArrow(run, "conv_id long, turn long, part long, segment string, loss_start long, loss_end long")
+    return map_arrow(dealt, run, "conv_id long, turn long, part long, segment string, loss_start long, loss_end long")
 
 
 def read_back(segments: DataFrame) -> DataFrame:
@@ -166,7 +166,7 @@ def read_back(segments: DataFrame) -> DataFrame:
 
         yield from _in_batches(rows(), schema)
 
-    return segments.mapInArrow(run, "conv_id long, turn long, part long, role string, text string, loss_text string")
+    return map_arrow(segments, run, "conv_id long, turn long, part long, role string, text string, loss_text string")
 
 
 def conversation_digests(segments: DataFrame) -> DataFrame:
@@ -196,4 +196,4 @@ def conversation_digests(segments: DataFrame) -> DataFrame:
         yield from _in_batches(rows(), schema)
 
     ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "part")
-    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_arrow(ordered, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +51,17 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` whose Python workers find this package where the
+    driver found it (on a cluster, install it or pass it with --py-files)."""
+    home = str(Path(__file__).resolve().parents[2])
+    environment = df.sparkSession.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
+    return df.mapInArrow(function, schema)
+
+
 class Scratch:
     """Tables written below the session's checkpoint folder and read back.
 

@@ -5,10 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandcast.llm import chat, mixing, quality_rules, sentencepiece_bpe, topk, warc
+from demandcast.llm import chat, mixing, quality_rules, sentencepiece_bpe, simhash, topk, warc
 from demandcast.llm.common import Scratch, table
 
 
+def op1_simhash(spark, d):
+    found = simhash.groups(table(spark, d, "documents"), Scratch(spark, "simhash"))
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op2_sentencepiece(spark, d):
     return sentencepiece_bpe.encode_digests(table(spark, d, "documents"))
 
@@ -48,6 +53,7 @@ def op10_warc(spark, d):
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op5_topk": op5_topk,

@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import pick, python_strings, rows_in
+from demandcast.llm.common import map_arrow, pick, python_strings, rows_in
 
 SPACE = "▁"
 SEGMENTS_KEPT = 250_000  # per worker and generation
@@ -211,7 +211,7 @@ def encode_texts(df: DataFrame, model_path: str | None = None, id_col: str = "do
                 names=["_id", "ids", "decoded", "differences"],
             )
 
-    out = source.mapInArrow(run, f"_id {kind}, ids array<int>, decoded string, differences long")
+    out = map_arrow(source, run, f"_id {kind}, ids array<int>, decoded string, differences long")
     return out.withColumnRenamed("_id", id_col)
 
 
@@ -237,5 +237,5 @@ def encode_digests(df: DataFrame, model_path: str | None = None, id_col: str = "
                 names=["_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    out = source.mapInArrow(run, f"_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    out = map_arrow(source, run, f"_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("_id", id_col)

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandcast.llm.common import Scratch, pick, rows_in
+from demandcast.llm.common import map_arrow, pick, rows_in, Scratch
 
 CHUNK_ROWS = 8192
 DIMENSION_BLOCKS = 4
@@ -93,7 +93,7 @@ def _packed(vectors: DataFrame, scale: int, rows: int) -> DataFrame:
         for dim in list(held):
             yield from flush(dim)
 
-    return vectors.mapInArrow(run, "dim int, n int, ids binary, vals binary")
+    return map_arrow(vectors, run, "dim int, n int, ids binary, vals binary")
 
 
 def _product(q: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -152,7 +152,7 @@ def _search(tiles: DataFrame, k: int, blocks: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _HITS)], schema=_HITS)
 
-    return tiles.select("block", "q_ids", "q_vals", "bounds", "dim", "ids", "vals").mapInArrow(run, HITS)
+    return map_arrow(tiles.select("block", "q_ids", "q_vals", "bounds", "dim", "ids", "vals"), run, HITS)
 
 
 def _merge(hits: DataFrame, k: int) -> DataFrame:

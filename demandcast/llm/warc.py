@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import Scratch, pick, rows_in
+from demandcast.llm.common import map_arrow, pick, rows_in, Scratch
 
 MIN_REVISIT = 1000
 FRAME_BYTES = 256 << 10  # plain bytes that close a frame
@@ -176,7 +176,7 @@ def build(pages: DataFrame, scratch: Scratch, id_col: str = "page_id", url_col:
     revisit = F.col("_keeper").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_keeper"))
     records = keyed.join(keepers, F.col("_sum") == F.col("_same"), "left").select(
         "_id", "_url", "_body", "_keeper", revisit.alias("_revisit"))
-    return scratch.write(records.mapInArrow(_bundles, BUNDLE_SCHEMA), "bundles")
+    return scratch.write(map_arrow(records, _bundles, BUNDLE_SCHEMA), "bundles")
 
 
 def index(bundles: DataFrame) -> DataFrame:
@@ -207,7 +207,7 @@ def read(bundles: DataFrame) -> DataFrame:
                     rows.append(described(headers, block)[:5])
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _READ)], schema=_READ)
 
-    return bundles.select("data").mapInArrow(run, READ_SCHEMA)
+    return map_arrow(bundles.select("data"), run, READ_SCHEMA)
 
 
 def fetch(bundles: DataFrame, wanted: DataFrame, id_col: str = "page_id") -> DataFrame:
@@ -231,7 +231,7 @@ def fetch(bundles: DataFrame, wanted: DataFrame, id_col: str = "page_id") -> Dat
                 row = described(*parse(plain, place["offset"])[:2])
                 yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow)], schema=arrow)
 
-    return bundles.select("bundle", "data").join(at, "bundle").select("data", "at").mapInArrow(run, schema)
+    return map_arrow(bundles.select("bundle", "data").join(at, "bundle").select("data", "at"), run, schema)
 
 
 def export(bundles: DataFrame) -> DataFrame:
