@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandcast.llm import chat, mixing, quality_rules, sentencepiece_bpe, simhash, topk, warc
+from demandcast.llm import chat, mixing, quality_rules, sentencepiece_bpe, simhash, topk, toxicity, warc
 from demandcast.llm.common import Scratch, table
 
 
@@ -32,6 +32,10 @@ def op5_topk(spark, d):
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), Scratch(spark, "topk"), k=5)
 
 
+def op6_toxicity(spark, d):
+    return toxicity.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op8_mixing(spark, d):
     return mixing.mix(table(spark, d, "documents"), Scratch(spark, "mix"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op5_topk": op5_topk,
+    "op6_toxicity": op6_toxicity,
     "op8_mixing": op8_mixing,
     "op9_chat": op9_chat,
     "op10_warc": op10_warc,
