@@ -65,7 +65,7 @@ POLICIES = (
 PRODUCTION = POLICIES[-1]
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row."""
     return F.transform(F.array(value), body)[0]
 
@@ -93,11 +93,11 @@ def _repeat_words(hashes: Column) -> Column:
             here = lambda x, k: (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"])
             at = F.array_sort(F.transform(F.filter(s, lambda x, k: F.coalesce(here(x, k), F.lit(False))), lambda x: x["i"]))
             gaps = lambda p: F.transform(p, lambda x, k: F.least(F.coalesce(F.get(p, k + 1) - x, F.lit(WINDOW)), F.lit(WINDOW)))
-            return _let(at, lambda p: F.aggregate(gaps(p), F.lit(0), lambda a, b: a + b))
+            return let(at, lambda p: F.aggregate(gaps(p), F.lit(0), lambda a, b: a + b))
 
-        return _let(placed, repeated)
+        return let(placed, repeated)
 
-    count = _let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(covered(w)))
+    count = let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(covered(w)))
     return F.when(size < WINDOW, F.lit(0)).otherwise(count).cast("long")
 
 

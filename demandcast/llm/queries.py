@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandcast.llm import chat, mixing, quality_rules, sentencepiece_bpe, simhash, topk, toxicity, warc
+from demandcast.llm import chat, mixing, quality_classifier, quality_rules, sentencepiece_bpe, simhash, topk, toxicity, warc
 from demandcast.llm.common import Scratch, table
 
 
@@ -27,6 +27,14 @@ def op3_quality_rules(spark, d):
     )
 
 
+def op4_quality_classifier(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    found = quality_classifier.posterior(docs, labels, Scratch(spark, "quality"))
+    return found.select(
+        F.col("_id").alias("doc_id"), "text_probability", "site_share", "path_share", "probability",
+        (F.col("probability") >= quality_classifier.THRESHOLD).alias("kept"))
+
+
 def op5_topk(spark, d):
     vectors = table(spark, d, "embeddings")
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), Scratch(spark, "topk"), k=5)
@@ -60,6 +68,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
     "op8_mixing": op8_mixing,
