@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandcast.llm import chat, mixing, quality_classifier, quality_rules, sentencepiece_bpe, simhash, topk, toxicity, warc
+from demandcast.llm import chat, mixing, quality_classifier, quality_rules, sentencepiece_bpe, simhash, substring_dedup, topk, toxicity, warc
 from demandcast.llm.common import Scratch, table
 
 
@@ -44,6 +44,10 @@ def op6_toxicity(spark, d):
     return toxicity.classify(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op7_substring_dedup(spark, d):
+    return substring_dedup.removed(table(spark, d, "documents"), Scratch(spark, "substring"))
+
+
 def op8_mixing(spark, d):
     return mixing.mix(table(spark, d, "documents"), Scratch(spark, "mix"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_mixing": op8_mixing,
     "op9_chat": op9_chat,
     "op10_warc": op10_warc,
