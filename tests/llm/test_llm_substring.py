@@ -1,0 +1,94 @@
+"""Substring dedup against brute force."""
+
+import hashlib
+
+from llm_helpers import clashing, documents, random_text, rng, words
+
+from demandcast.llm import substring_dedup as D
+from demandcast.llm.common import Scratch, pick
+
+
+def rows():
+    r = rng(11)
+    passage, other = random_text(r, 57, 500), random_text(r, 25, 500)
+    out = [(0, None), (1, ""), (2, random_text(r, 19, 500)), (3, "ha " * 300)]
+    for i in range(4, 24):
+        text = random_text(r, r.randrange(0, 60), 500)
+        if i % 3 == 0:
+            text += " " + passage + "\n" + random_text(r, r.randrange(0, 30), 500)
+        if i % 4 == 0:
+            text = other + " \t" + text
+        out.append((i, text))
+    out += [(30, out[10][1]), (31, passage), (32, " ".join(passage.split()[5:26])), (33, " ".join(passage.split()[5:24])), (34, "ha " * 45)]
+    r.shuffle(out)
+    return out
+
+
+def brute(table, window=20):
+    """Rows in order of (id, text hash order is fixed by the caller)."""
+    seen, out = set(), []
+    for i, t in table:
+        w = words(t)
+        gone = [False] * len(w)
+        for s in range(len(w) - window + 1):
+            k = tuple(w[s:s + window])
+            if k in seen:
+                gone[s:s + window] = [True] * window
+            seen.add(k)
+        out.append((i, len(w), sum(gone), [x for x, g in zip(w, gone) if not g]))
+    return out
+
+
+def digest(kept):
+    return hashlib.sha256(" ".join(kept).encode()).hexdigest()
+
+
+def test_removed_matches_brute_force(spark, monkeypatch):
+    table = rows()
+    want = sorted((i, n, g, digest(k)) for i, n, g, k in brute(sorted(table)))
+    assert sum(w[2] for w in want) > 300
+    for batch, bucket in ((1 << 20, 8 << 20), (40, 300)):
+        monkeypatch.setattr(D, "BATCH_WORDS", batch)
+        monkeypatch.setattr(D, "BUCKET_BYTES", bucket)
+        df = clashing(documents(spark, table)).repartition(3)
+        got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in D.removed(df, Scratch(spark, "t")).collect())
+        assert got == want
+
+
+def test_repeated_and_missing_ids(spark):
+    r = rng(4)
+    text, more = random_text(r, 50, 900), random_text(r, 40, 900)
+    df = documents(spark, [(5, text), (5, text), (None, text), (None, more), (2, more)])
+    got = sorted((-1 if x.doc_id is None else x.doc_id, x.n_words, x.n_removed) for x in D.removed(df, Scratch(spark, "t")).collect())
+    assert got == [(-1, 40, 40), (-1, 50, 50), (2, 40, 0), (5, 50, 0), (5, 50, 50)]
+
+
+def test_texts_without_repeats(spark):
+    table = rows()
+    df = clashing(documents(spark, table))
+    out = D.without_repeats(df, Scratch(spark, "t"))
+    assert out.columns == df.columns and out.dtypes == df.dtypes
+    got = {r.doc_id: (r.text, r.n_chars) for r in pick(out, "doc_id", "text", "n_chars").collect()}
+    before = dict(table)
+    for i, n, gone, kept in brute(sorted(table)):
+        if gone and not kept:
+            assert i not in got
+        elif not gone:
+            assert got[i][0] == before[i]
+        else:
+            assert words(got[i][0]) == kept and got[i][1] == len(got[i][0])
+
+
+def test_empty_table(spark):
+    assert D.removed(documents(spark, []), Scratch(spark, "t")).collect() == []
+    assert D.without_repeats(documents(spark, []), Scratch(spark, "t")).collect() == []
+
+
+def test_packing_round_trip():
+    import numpy as np
+
+    for values in ([], [5], [1, 2, 9], [0, 1 << 47], [1 << 40, (1 << 40) + 3]):
+        v = np.array(values, np.uint64)
+        assert D.unpack(D.pack(v)).tolist() == values
+    assert D.to_runs(np.array([1, 2, 3, 7, 9, 10])).tolist() == [[1, 3], [7, 1], [9, 2]]
+    assert D.runs_mask(np.array([[2, 1], [3, 2]]), 8, before=1, after=1).tolist() == [False, True, True, True, True, True, False, False]
