@@ -43,7 +43,9 @@ BAG = 5
 GRAMS = (3, 4, 5)
 MAX_DOCS = 1500
 MAX_BAGS = 60
-EPOCHS = (3, 3)
+ROUNDS = 2
+EPOCHS = 3  # per round, more of them until there are STEPS batches
+STEPS = 250
 BATCH = 1024
 HOLD_OUT = 5  # a row is held out where crc32(id) mod HOLD_OUT is 0
 WORDS_KEPT = 300_000
@@ -176,8 +178,9 @@ def train(texts: list[str], labels: list[int], bag: int = BAG, max_bags: int = M
     bags = np.concatenate([cuts[i] for i in mine])
     owner = np.concatenate([np.full(len(cuts[i]), i) for i in mine])
     y, use = truth[owner], np.ones(len(bags), bool)
-    for epochs in EPOCHS:
+    for _ in range(ROUNDS):
         rows = np.flatnonzero(use)
+        epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, len(rows))))
         balance = np.where(y == 1, 0.5 / max(1, y[rows].sum()), 0.5 / max(1, (1 - y[rows]).sum())) * len(rows)
         for _ in range(epochs):
             rng.shuffle(rows)
