@@ -1,36 +1,52 @@
-"""Order-independent sums and means.
+"""Order-independent sums and means that drop nothing.
 
 Floating-point sums depend on the order in which partial aggregates are
 merged, so the same query can differ in the last bits between runs or
-partitionings. Casting to a fixed-point decimal first makes every partial
-sum exact; the final value is converted to double once. Resolution is
-``scale`` decimal places: 7 by default, which represents exactly every
-published forecast (1e-6 units) and every two-slot blend of them (halves).
+partitionings. A value that a decimal of ``SCALE`` places holds within
+``TOLERANCE`` of itself is therefore summed as that decimal, exactly, and
+converted to double once. Every other value (NaN, infinite, beyond the
+decimal's range, or too small for its places) is summed as a double beside
+it, so it still counts.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from decimal import Decimal
+SCALE = 12
+PRECISION = 28  # leaves ten digits for the sum
+TOLERANCE = 1e-9
+
+
+def to_fixed(c: Column, scale: int = SCALE, precision: int = PRECISION) -> Column:
+    """``c`` as a decimal, null where it does not fit (see the module)."""
+    fixed, plain = c.try_cast(f"decimal({precision},{scale})"), c.cast("double")
+    fits = F.abs(fixed.cast("double") - plain) <= F.abs(plain) * TOLERANCE
+    return F.when(fits, fixed)
+
 
-SCALE = 7
+def sum_both(fixed: Column, plain: Column) -> Column:
+    """Sum of ``fixed``, and of ``plain`` where ``fixed`` is null (0 if none)."""
+    rest = F.when(fixed.isNull(), plain.cast("double"))
+    return F.coalesce(F.sum(fixed).cast("double"), F.lit(0.0)) + F.coalesce(F.sum(rest), F.lit(0.0))
 
 
-def to_fixed(c: Column, scale: int = SCALE, precision: int = 28) -> Column:
-    """Round ``c`` to ``scale`` decimals as a decimal (NaN/inf -> null)."""
-    return c.try_cast(f"decimal({precision},{scale})")
+def skip_nan(c: Column) -> Column:
+    """``c`` with NaN as null, for operators that skip missing numbers."""
+    return F.when(~F.isnan(c.cast("double")), c)
 
 
-def fixed_sum(c: Column, scale: int = SCALE) -> Column:
-    """Exact sum of ``c`` at ``scale`` decimals, as double."""
-    return F.sum(to_fixed(c, scale)).cast("double")
+def fixed_sum(c: Column) -> Column:
+    """Sum of the non-null values of ``c`` as double (null when none)."""
+    return F.when(F.count(c) > 0, sum_both(to_fixed(c), c))
 
 
-def fixed_mean(c: Column, scale: int = SCALE) -> Column:
-    """Exact-sum mean of the non-null values of ``c`` (null when none)."""
-    return F.try_divide(fixed_sum(c, scale), F.count(c).cast("double"))
+def fixed_mean(c: Column) -> Column:
+    """Mean of the non-null values of ``c`` (null when none)."""
+    return F.try_divide(fixed_sum(c), F.count(c).cast("double"))
 
 
 def decimal_places(x: float) -> int:

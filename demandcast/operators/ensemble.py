@@ -19,20 +19,23 @@ class NoForecastError(FileNotFoundError):
 
 
 def normalize_quantile_columns(df: DataFrame) -> DataFrame:
-    """Give a slot-suffixed forecast the canonical ``q0.1, q0.5, q0.9`` names.
+    """A slot's forecast under the canonical names ``q0.1, q0.5, q0.9``.
 
-    Unchanged when ``q0.1`` is present; otherwise each quantile is taken from
-    ``_lgb`` if present, else ``_deepar``.
+    A forecast that already has the first canonical column is left alone.
+    Otherwise the columns are selected by a table from slot column to
+    canonical name, filled from the second slot first so that the first slot
+    wins; other columns, and the losing slot's, keep their names.
     """
     if QUANTILE_COLUMNS[0] in df.columns:
         return df
-    renames = {}
-    for c in QUANTILE_COLUMNS:
-        for suffix in SLOT_SUFFIXES:
-            if c + suffix in df.columns:
-                renames[c + suffix] = c
-                break
-    return df.withColumnsRenamed(renames) if renames else df
+    source = {
+        name: name + suffix
+        for suffix in reversed(SLOT_SUFFIXES)
+        for name in QUANTILE_COLUMNS
+        if name + suffix in df.columns
+    }
+    canonical = {column: name for name, column in source.items()}
+    return df.select(*[qcol(c).alias(canonical.get(c, c)) for c in df.columns])
 
 
 def clip_nonnegative(df: DataFrame, columns=QUANTILE_COLUMNS) -> DataFrame:
@@ -87,7 +90,7 @@ def ensemble(lgb: DataFrame | None = None, deepar: DataFrame | None = None) -> D
     q0.5, q0.9`` (all >= 0). Availability is decided on the driver, at plan
     build time; the rest is one lazy plan."""
     if lgb is None and deepar is None:
-        raise NoForecastError("No forecast files found (neither LGB nor DeepAR)")
+        raise NoForecastError("No forecast files: at least one slot is needed to combine")
     if lgb is not None and deepar is not None:
         return blend_slots(lgb, deepar)
     if lgb is not None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandcast.functions.calendar import (
     as_timestamp_ntz,
@@ -12,7 +13,7 @@ from demandcast.functions.calendar import (
     require_not_null,
     week_start,
 )
-from demandcast.functions.numeric import fixed_mean, fixed_sum
+from demandcast.functions.numeric import fixed_mean, fixed_sum, skip_nan
 from demandcast.operators.checks import check_required_columns
 from demandcast.schemas import FEATURE_COLUMNS, FEATURE_REQUIRED, SERIES_KEYS
 
@@ -34,7 +35,8 @@ def weekly_rollup(linked: DataFrame, date_format: str | None = None) -> DataFram
 
     units_sold = sum(quantity) (0 when all null), sales_dollars = sum(amount),
     n_transactions = distinct txn_id, avg_price = plain mean of price.
-    Money is summed in fixed point (1e-7), so the result does not depend on
+    NaN is skipped as null is; infinite and very large numbers count. Money
+    is summed in fixed point where it fits, so the result does not depend on
     partitioning even for double inputs.
     Rows with a null sku or region are dropped (they form no series).
 
@@ -49,11 +51,14 @@ def weekly_rollup(linked: DataFrame, date_format: str | None = None) -> DataFram
         .select("sku", "region", "week", "quantity", "amount", "txn_id", "price")
         .dropna(subset=SERIES_KEYS)
     )
+    quantity = F.col("quantity")
+    if isinstance(linked.schema["quantity"].dataType, (T.DoubleType, T.FloatType)):
+        quantity = skip_nan(quantity)
     return rows.groupBy(*SERIES_KEYS, "week").agg(
-        F.coalesce(F.sum("quantity"), F.lit(0)).alias("units_sold"),
-        F.coalesce(fixed_sum(F.col("amount")), F.lit(0.0)).alias("sales_dollars"),
+        F.coalesce(F.sum(quantity), F.lit(0)).alias("units_sold"),
+        F.coalesce(fixed_sum(skip_nan(F.col("amount"))), F.lit(0.0)).alias("sales_dollars"),
         F.countDistinct("txn_id").alias("n_transactions"),
-        fixed_mean(F.col("price")).alias("avg_price"),
+        fixed_mean(skip_nan(F.col("price"))).alias("avg_price"),
     )
 
 

@@ -45,13 +45,15 @@ def naive_quantile_forecast(
     clamp: bool = True,
     decimals: int | None = 6,
     min_changes: int = MIN_SERIES_CHANGES,
+    pooled: bool = True,
 ) -> DataFrame:
     """Forecast ``horizon`` weeks after each series' last observed week.
 
     q_p(k) = level + Q_p(one-step change) * sqrt(k), k = 1..horizon, dated
     last week + 7k days (a date). A series with fewer than ``min_changes``
     observed changes borrows the quantiles of its SKU pooled over all
-    regions; with no change at all the spread is 0. Values are rounded to
+    regions, or is left out if ``pooled`` is False; with no change at all the
+    spread is 0. Values are rounded to
     ``decimals`` and clamped at 0 unless ``clamp`` is False.
 
     Per-series state is bounded by the number of weeks of the series (and
@@ -71,14 +73,18 @@ def naive_quantile_forecast(
         F.max("week").alias("_last_week"),
         F.max_by("_level", "week").alias("_level"),
         F.count("_change").alias("_n_changes"),
-        *[F.percentile("_change", float(q)).alias(f"_own{i}") for i, q in enumerate(quantiles)],
+        # one map of distinct changes per group, whatever the number of quantiles
+        F.percentile("_change", [float(q) for q in quantiles]).alias("_own"),
     )
+    agg = agg.select("*", *[F.get("_own", F.lit(i)).alias(f"_own{i}") for i in range(len(quantiles))]).drop("_own")
     series = agg.filter(F.col("_gid") == 0).drop("_gid")
-    pooled = agg.filter(F.col("_gid") == 1).select(
+    by_sku = agg.filter(F.col("_gid") == 1).select(
         "sku", *[F.col(f"_own{i}").alias(f"_pool{i}") for i in range(len(quantiles))]
     )
-    stats = series.join(pooled, on="sku", how="left")
+    stats = series.join(by_sku, on="sku", how="left")
     thin = F.col("_n_changes") < F.lit(int(min_changes))
+    if not pooled:
+        stats = stats.filter(~thin)
     stats = stats.select(
         *SERIES_KEYS, "_last_week", "_level",
         *[

@@ -1,50 +1,57 @@
 """Forecast accuracy: WAPE and pinball (quantile) loss, global or grouped.
 
-Errors are summed in fixed point (1e-7 units, see
+Errors are summed in fixed point where they fit (see
 ``demandcast.functions.numeric``), so a score does not depend on how the
-pairs are partitioned or in which order partial sums are merged. A NaN in
-the actual or forecast makes the score NaN, as with plain float sums.
+pairs are partitioned or in which order partial sums are merged; other
+numbers are summed as doubles. A missing number (null or NaN) on either side
+makes the score NaN, an infinite error makes it infinite.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.functions.numeric import SCALE, decimal_places, fraction_literal, to_fixed
+from demandcast.functions.numeric import SCALE, decimal_places, fraction_literal, sum_both, to_fixed
 from demandcast.schemas import QUANTILES, qcol, qname
 
 WAPE_FLOOR = 1e-9
 _NAN = float("nan")
 
 
-def _any_nan(*cols: Column) -> Column:
-    flag = None
-    for c in cols:
-        term = F.isnan(c)
-        flag = term if flag is None else (flag | term)
-    return F.max(F.coalesce(flag, F.lit(False)).cast("int")) == 1
+def _incomplete(*cols: Column) -> Column:
+    """Whether some row lacks a number (null or NaN) in one of ``cols``."""
+    lacks = [c.isNull() | F.isnan(c.cast("double")) for c in cols]
+    return F.max(reduce(lambda a, b: a | b, lacks).cast("int")) == 1
+
+
+def _error(actual: Column, forecast: Column) -> tuple[Column, Column]:
+    """actual - forecast as a decimal where both fit, and as a double."""
+    return to_fixed(actual) - to_fixed(forecast), actual.cast("double") - forecast.cast("double")
 
 
 def wape_expr(actual: Column, forecast: Column) -> Column:
     """sum|y - yhat| / max(sum|y|, 1e-9); empty input -> 0."""
-    y, p = to_fixed(actual), to_fixed(forecast)
-    num = F.coalesce(F.sum(F.abs(y - p)).cast("double"), F.lit(0.0))
-    den = F.coalesce(F.sum(F.abs(y)).cast("double"), F.lit(0.0))
+    fixed, plain = _error(actual, forecast)
+    num = sum_both(F.abs(fixed), F.abs(plain))
+    den = sum_both(F.abs(to_fixed(actual)), F.abs(actual.cast("double")))
     value = num / F.greatest(den, F.lit(WAPE_FLOOR))
-    return F.when(_any_nan(actual, forecast), F.lit(_NAN)).otherwise(value)
+    return F.when(_incomplete(actual, forecast), F.lit(_NAN)).otherwise(value)
 
 
 def pinball_expr(actual: Column, forecast: Column, q: float) -> Column:
     """mean(max(q*e, (q-1)*e)), e = y - yhat; empty input -> null."""
-    e = to_fixed(actual) - to_fixed(forecast)
-    qd, _ = fraction_literal(q)
-    below, _ = fraction_literal(round(float(q) - 1.0, decimal_places(q)))
-    loss = F.greatest(qd * e, below * e)
-    value = F.try_divide(F.sum(loss).cast("double"), F.count(loss).cast("double"))
-    return F.when(_any_nan(actual, forecast), F.lit(_NAN)).otherwise(value)
+    fixed, plain = _error(actual, forecast)
+    rest = float(q) - 1.0
+    above, _ = fraction_literal(q)
+    below, _ = fraction_literal(round(rest, decimal_places(q)))
+    loss = F.greatest(above * fixed, below * fixed)
+    loss_plain = F.greatest(F.lit(float(q)) * plain, F.lit(rest) * plain)
+    value = F.try_divide(sum_both(loss, loss_plain), F.count(plain).cast("double"))
+    return F.when(_incomplete(actual, forecast), F.lit(_NAN)).otherwise(value)
 
 
 def wape(

@@ -11,8 +11,8 @@ is the training set, so training is distributed like any Spark ML fit):
 * the model is fitted on examples whose target is before the calibration
   cut, and the quantiles are split-conformal: prediction + the empirical
   p-quantile of the calibration residuals of the same step h
-  (``percentile_approx``: bounded memory per step, whatever the number of
-  series);
+  (exact, by rank over counted residuals); a step without residuals takes
+  those of the nearest step that has some;
 * forecasts start at each series' last observed week.
 """
 
@@ -74,6 +74,45 @@ def _with_steps(origins: DataFrame, horizon: int) -> DataFrame:
     })
 
 
+def training_examples(features: DataFrame, horizon: int = DEFAULT_HORIZON_WEEKS) -> DataFrame:
+    """Origins x steps with the features and the observed label."""
+    actual = features.select(
+        *SERIES_KEYS, F.to_date("week").alias("target_date"), F.col("units_sold").cast("double").alias("label")
+    )
+    return _with_steps(_origins(features), horizon).join(actual, on=[*SERIES_KEYS, "target_date"], how="inner")
+
+
+def conformal_offsets(residuals: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+    """(step, _off0, _off1, ...): the smallest residual ``r`` of a step whose
+    rank reaches the share q of the step's residuals.
+
+    Exact with bounded state: equal residuals are counted first (partial sums
+    per task); the running count of a step is then taken over the range
+    partitions of (step, residual) by a total per partition, so a step's
+    residuals never meet in one task.
+    """
+    counted = residuals.groupBy("step", "r").agg(F.count(F.lit(1)).alias("n"))
+    placed = counted.repartitionByRange("step", "r").sortWithinPartitions("step", "r").withColumn("part", F.spark_partition_id())
+    placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = placed.groupBy("step", "part").agg(F.sum("n").alias("m"))  # a row per partition and step
+    order = Window.partitionBy("step").orderBy("part")
+    ahead = parts.select("step", "part", (F.sum("m").over(order) - F.col("m")).alias("ahead"), F.sum("m").over(Window.partitionBy("step")).alias("total"))
+    within = Window.partitionBy("step", "part").orderBy("r")
+    ranked = placed.join(F.broadcast(ahead), ["step", "part"]).select("step", "r", "total", (F.col("ahead") + F.sum("n").over(within)).alias("rank"))
+    reached = [F.min(F.when(F.col("rank") >= F.lit(float(q)) * F.col("total"), F.col("r"))).alias(f"_off{i}") for i, q in enumerate(quantiles)]
+    return ranked.groupBy("step").agg(*reached)
+
+
+def nearest_offsets(offsets: DataFrame, horizon: int, n: int) -> DataFrame:
+    """Offsets of every step 1..horizon: those of the nearest step that has
+    some, the smaller one of two (a few rows)."""
+    steps = offsets.sparkSession.range(1, horizon + 1).select(F.col("id").cast("double").alias("step"))
+    known = offsets.select(F.col("step").alias("_from"), *[F.col(f"_off{i}") for i in range(n)])
+    closest = F.min(F.struct(F.abs(F.col("step") - F.col("_from")).alias("d"), "_from", *[f"_off{i}" for i in range(n)])).alias("o")
+    pairs = steps.join(F.broadcast(known), F.abs(F.col("step") - F.col("_from")) <= horizon)
+    return pairs.groupBy("step").agg(closest).select("step", *[F.col(f"o._off{i}").alias(f"_off{i}") for i in range(n)])
+
+
 def regression_quantile_forecast(
     features: DataFrame,
     horizon: int = DEFAULT_HORIZON_WEEKS,
@@ -93,11 +132,10 @@ def regression_quantile_forecast(
     """
     if horizon < 1:
         raise ValueError("horizon must be >= 1")
+    # read by the training set, the calibration set, the last day and the forecast
+    features = features.persist(StorageLevel.MEMORY_AND_DISK)
     origins = _origins(features)
-    actual = features.select(
-        *SERIES_KEYS, F.to_date("week").alias("target_date"), F.col("units_sold").cast("double").alias("label")
-    )
-    examples = _with_steps(origins, horizon).join(actual, on=[*SERIES_KEYS, "target_date"], how="inner")
+    examples = training_examples(features, horizon)
 
     last_day = features.select(F.max(F.to_date("week"))).scalar()
     cut = F.date_sub(last_day, 7 * calibration_weeks)
@@ -123,18 +161,19 @@ def regression_quantile_forecast(
         train.unpersist()
 
     residuals = model.transform(calibration).select("step", (F.col("label") - F.col("pred")).alias("r"))
-    offsets = residuals.groupBy("step").agg(*[
-        F.percentile_approx("r", float(q), 10000).alias(f"_off{i}") for i, q in enumerate(quantiles)
-    ])
+    offsets = conformal_offsets(residuals, quantiles).persist(StorageLevel.MEMORY_AND_DISK)
+    if offsets.isEmpty():
+        raise InsufficientHistoryError(f"no example within the last {calibration_weeks} weeks to calibrate on")
 
     last = origins.withColumn("_rank", F.row_number().over(
         Window.partitionBy(*SERIES_KEYS).orderBy(F.desc("origin"))
     )).filter(F.col("_rank") == 1).drop("_rank")
     # one row per step (bounded by the horizon): broadcast is safe
-    scored = model.transform(_with_steps(last, horizon)).join(F.broadcast(offsets), on="step", how="left")
+    by_step = nearest_offsets(offsets, horizon, len(quantiles))
+    scored = model.transform(_with_steps(last, horizon)).join(F.broadcast(by_step), on="step", how="left")
     out = []
     for i, q in enumerate(quantiles):
-        value = F.col("pred") + F.coalesce(F.col(f"_off{i}"), F.lit(0.0))
+        value = F.col("pred") + F.col(f"_off{i}")
         if decimals is not None:
             value = F.round(value, decimals)
         out.append(clip_lower(value).alias(qname(q, suffix)))

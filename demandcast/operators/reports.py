@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandcast.functions.calendar import as_timestamp_ntz
-from demandcast.functions.numeric import fixed_mean
+from demandcast.functions.numeric import fixed_mean, skip_nan
 from demandcast.schemas import LINKED_SAMPLE_COLUMNS, SERIES_KEYS, qcol
 
 # Pipeline steps and the artefacts each one needs.
@@ -111,7 +111,7 @@ def forecast_summary(forecast: DataFrame) -> DataFrame:
     (exact fixed-point sum)."""
     n_series = forecast.select(*SERIES_KEYS).distinct().select(_count()).scalar()
     return forecast.agg(
-        _count().alias("_rows"), fixed_mean(qcol("q0.5")).alias("mean_q50")
+        _count().alias("_rows"), fixed_mean(skip_nan(qcol("q0.5"))).alias("mean_q50")
     ).select(
         F.floor(F.try_divide(F.col("_rows"), n_series)).cast("bigint").alias("horizon_weeks"),
         n_series.alias("n_series"),
@@ -147,8 +147,9 @@ def regions_by_sku(index: DataFrame) -> DataFrame:
 
 
 def pipeline_status(spark: SparkSession, artefacts: Mapping[str, DataFrame | None]) -> DataFrame:
-    """``(step, ready)``: a step is ready when its artefacts are present and
-    non-empty. Each probe reads at most one row per artefact."""
+    """``(step, ready)``: a step is ready when its artefacts are present (not
+    None) and hold a row. Pass stored tables: a probe then reads one row,
+    while a derived plan would be computed to answer it."""
     schema = T.StructType([T.StructField("step", T.StringType()), T.StructField("ready", T.BooleanType())])
     frames = []
     for step, names, mode in PIPELINE_STEPS:

@@ -51,6 +51,7 @@ from demandcast.session import broadcast_max_rows, resolve_checkpoint_dir
 # and infeasibility flag are kept as columns, so the driver still stops at
 # exactly the pass where the tolerance is met (later passes are discarded).
 ITERATIONS_PER_JOB = 5
+EMPTY_PANEL = "a panel to rake must be non-empty"
 
 
 class InfeasibleMarginsError(ValueError):
@@ -97,6 +98,11 @@ def _materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _cell_key(i: int) -> str:
     return f"_m{i}"
 
@@ -163,11 +169,15 @@ def rake(
         targets = marginals_frame(spark, marginals)
     margins = list(margins)
 
-    missing = [col for col in margins if col not in df.columns]
-    if missing:
-        if df.isEmpty():
-            raise ValueError("raking requires a non-empty DataFrame")
-        raise ValueError(f"marginals key '{missing[0]}' is not a column in df")
+    unknown = sorted(set(margins) - set(df.columns), key=margins.index)
+    if (unknown or not margins) and df.isEmpty():
+        raise ValueError(EMPTY_PANEL)
+    if unknown:
+        raise ValueError(f"cannot rake on {unknown[0]!r}: not a column of the panel")
+    if not margins:  # nothing to meet: the starting weights hold
+        weighted = df.withColumn(weight_col, F.lit(1.0))
+        cells = df.agg(F.count(F.lit(1)).cast("double").alias("_n")).withColumn(weight_col, F.lit(1.0))
+        return RakeResult(weighted, cells, 1, 0.0, True)
 
     folder = f"{resolve_checkpoint_dir(spark).rstrip('/')}/demandcast-rake-{uuid.uuid4().hex}"
     keys = [_cell_key(i) for i in range(len(margins))]
@@ -179,7 +189,7 @@ def rake(
     )
     n_cells = cells.count()
     if n_cells == 0:
-        raise ValueError("raking requires a non-empty DataFrame")
+        raise ValueError(EMPTY_PANEL)
 
     # one target per (margin, category); repeated entries add up
     targets = _materialize(
@@ -223,7 +233,7 @@ def rake(
                 if stats[f"bad{i}"] is not None:
                     margin, _, category = stats[f"bad{i}"].partition("=")
                     raise InfeasibleMarginsError(
-                        f"margin '{margin}' category '{category}' has a positive target but zero weight"
+                        f"{margin} = {category}: no weight is left to meet its target"
                     )
                 iterations, max_change = iterations + 1, float(stats[f"chg{i}"])
                 if max_change < tol:
@@ -231,6 +241,12 @@ def rake(
                     break
             cells = done.select(*keys, *target_cols, "_n", F.col(f"_w{last}").alias("_w"))
 
+    # the weights alone outlive the call; blocks and targets go
+    final = f"{folder}-weights"
+    cells.select(*keys, "_n", "_w").write.parquet(final)
+    cells = spark.read.parquet(final)
+    _remove(spark, folder)
+
     weights = cells.select(*keys, F.col("_w").alias("_weight"))
     if n_cells <= limit:
         weights = F.broadcast(weights)
@@ -247,26 +263,15 @@ def rake(
     return RakeResult(weighted, cell_view, iterations, max_change, converged)
 
 
-def rake_totals(
-    weighted: DataFrame,
-    marginals: DataFrame,
-    margins: Sequence[str],
-    weight_col: str = "weight",
-) -> DataFrame:
+def rake_totals(result: RakeResult, marginals: DataFrame, margins: Sequence[str], weight_col: str = "weight") -> DataFrame:
     """Per margin category: raked total next to its target
-    ``(margin, category, weighted_total, target)``. Observed categories
-    only (null categories excluded); one aggregation per margin."""
-    parts = None
-    for m in margins:
-        part = (
-            weighted.select(F.col(f"`{m}`").cast("string").alias("category"), F.col(weight_col))
-            .dropna(subset=["category"])
-            .groupBy("category")
-            .agg(F.sum(weight_col).alias("weighted_total"))
-            .select(F.lit(m).alias("margin"), "category", "weighted_total")
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    tgt = marginals.groupBy("margin", "category").agg(F.sum("target").alias("target"))
-    return parts.join(tgt, on=["margin", "category"], how="left").select(
-        "margin", "category", "weighted_total", "target"
+    ``(margin, category, weighted_total, target)``. Observed categories only
+    (null categories excluded), summed over the cells: the panel, which the
+    cells count, is not read again."""
+    named = F.array(*[F.struct(F.lit(m).alias("margin"), F.col(f"`{m}`").cast("string").alias("category")) for m in margins])
+    totals = (
+        result.cells.select(F.inline(named), (F.col(weight_col) * F.col("_n")).alias("_part"))
+        .dropna(subset=["category"]).groupBy("margin", "category").agg(F.sum("_part").alias("weighted_total"))
     )
+    targets = marginals.groupBy("margin", "category").agg(F.sum("target").alias("target"))
+    return totals.join(targets, ["margin", "category"], "left")

@@ -23,12 +23,14 @@ from demandcast.sources.tpch import (
     row_count,
 )
 
-# Producer settings of the two slots used by the checked queries. They
-# differ on purpose (level and horizon), so the blend sees one-sided rows.
-LGB_SLOT = {"horizon": 8, "level_col": "rolling_4w_mean", "suffix": "_lgb"}
-DEEPAR_SLOT = {"horizon": 12, "level_col": "units_sold", "suffix": "_deepar"}
+# Producer settings of the two slots used by the checked queries. The first
+# reaches further but leaves out series with little history, the second has
+# every series, so the blend sees rows of either slot alone.
+LGB_SLOT = {"horizon": 12, "level_col": "rolling_4w_mean", "suffix": "_lgb", "pooled": False}
+DEEPAR_SLOT = {"horizon": 8, "level_col": "units_sold", "suffix": "_deepar"}
 RAKE_MARGINS = ["region", "age_group"]
 RAKE_CHECK_ITERATIONS = 10
+GAP_MARGINS = ["region", "income_bin"]
 
 
 def credit(spark: SparkSession, d: str) -> DataFrame:
@@ -69,6 +71,20 @@ def marginals(spark: SparkSession, d: str) -> DataFrame:
     return order_marginals_from_tpch(spark, d)
 
 
+def panel_with_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """The panel with an unknown income where it is negative."""
+    return panel(spark, d).withColumn("income_bin", F.when(F.col("income_bin") != "negative", F.col("income_bin")))
+
+
+def inconsistent_marginals(spark: SparkSession, d: str) -> DataFrame:
+    """Orders per region, but twice the members per income bin and none for
+    the lowest."""
+    regions = marginals(spark, d).filter("margin = 'region'")
+    bins = panel_with_gaps(spark, d).dropna(subset=["income_bin"]).groupBy("income_bin").agg(F.count(F.lit(1)).alias("n"))
+    target = F.when(F.col("income_bin") == "0-2.5k", 0.0).otherwise(F.col("n") * 2.0)
+    return regions.unionByName(bins.select(F.lit("income_bin").alias("margin"), F.col("income_bin").alias("category"), target.alias("target")))
+
+
 def top_sku(feats: DataFrame):
     """Scalar subquery: the SKU with the most units (ties: smallest name)."""
     return (

@@ -14,8 +14,8 @@ from collections.abc import Sequence
 from demandcast.functions.hashing import DEFAULT_SALT, hmac_pads
 from demandcast.functions.numeric import SCALE, decimal_places
 from demandcast.operators.forecast import MIN_SERIES_CHANGES
-from demandcast.plans.inputs import DEEPAR_SLOT, LGB_SLOT, RAKE_CHECK_ITERATIONS, RAKE_MARGINS
-from demandcast.schemas import QUANTILES, qname
+from demandcast.plans.inputs import DEEPAR_SLOT, GAP_MARGINS, LGB_SLOT, RAKE_CHECK_ITERATIONS, RAKE_MARGINS
+from demandcast.schemas import DEFAULT_HORIZON_WEEKS, QUANTILES, qname
 
 DEC = 6
 
@@ -49,7 +49,7 @@ cte("credit", ["geo"], """
 SELECT l.l_orderkey AS txn_id,
        'C' || CAST(o.o_custkey AS VARCHAR) AS customer_id,
        CAST(o.o_orderdate AS TIMESTAMP) AS txn_date,
-       p.p_brand AS sku,
+       'S' || CAST(p.p_partkey AS VARCHAR) AS sku,
        g.r_name AS region,
        CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount,
        CAST(p.p_retailprice AS DECIMAL(18,2)) AS price,
@@ -62,7 +62,7 @@ JOIN geo g ON s.s_nationkey = g.n_nationkey""")
 
 cte("panel", ["geo"], """
 SELECT 'P' || CAST(c.c_custkey AS VARCHAR) AS panel_id,
-       'C' || CAST(c.c_custkey AS VARCHAR) AS customer_id,
+       CASE WHEN c.c_acctbal >= 0 THEN 'C' || CAST(c.c_custkey AS VARCHAR) END AS customer_id,
        c.c_mktsegment AS age_group,
        g.r_name AS region,
        CASE WHEN c.c_acctbal < 0 THEN 'negative'
@@ -115,7 +115,7 @@ FROM weekly""")
 
 def naive_sql(src: str, horizon: int, level_col: str = "units_sold", suffix: str = "",
               clamp: bool = True, quantiles: Sequence[float] = QUANTILES,
-              min_changes: int = MIN_SERIES_CHANGES) -> str:
+              min_changes: int = MIN_SERIES_CHANGES, pooled: bool = True) -> str:
     own = ",\n         ".join(f"quantile_cont(chg, {_dbl(q)}) AS o{i}" for i, q in enumerate(quantiles))
     pool = ", ".join(f"quantile_cont(chg, {_dbl(q)}) AS p{i}" for i, q in enumerate(quantiles))
     pick = ", ".join(
@@ -138,7 +138,8 @@ FROM (SELECT *, unnest(generate_series(1, {int(horizon)})) AS k FROM (
   FROM (SELECT sku, region, max(week) AS last_week, arg_max(lvl, week) AS level, COUNT(chg) AS n_chg,
          {own}
         FROM {changes} x GROUP BY sku, region) s
-  LEFT JOIN (SELECT sku, {pool} FROM {changes} y GROUP BY sku) pl ON s.sku = pl.sku) z) t"""
+  LEFT JOIN (SELECT sku, {pool} FROM {changes} y GROUP BY sku) pl ON s.sku = pl.sku
+  {'' if pooled else f'WHERE s.n_chg >= {int(min_changes)}'}) z) t"""
 
 
 cte("lgb", ["features"], naive_sql("features", **LGB_SLOT))
@@ -170,10 +171,10 @@ SELECT region FROM features WHERE sku = (SELECT sku FROM top_sku)
 GROUP BY region ORDER BY SUM(units_sold) DESC, region LIMIT 1""")
 
 cte("bt_cut", ["features"], f"""
-SELECT CAST(max(week) AS DATE) - {7 * DEEPAR_SLOT['horizon']} AS cutoff FROM features""")
+SELECT CAST(max(week) AS DATE) - {7 * DEFAULT_HORIZON_WEEKS} AS cutoff FROM features""")
 cte("bt_train", ["features", "bt_cut"], """
 SELECT * FROM features WHERE CAST(week AS DATE) <= (SELECT cutoff FROM bt_cut)""")
-cte("bt_fc", ["bt_train"], naive_sql("bt_train", DEEPAR_SLOT["horizon"]))
+cte("bt_fc", ["bt_train"], naive_sql("bt_train", DEFAULT_HORIZON_WEEKS))
 cte("pairs", ["bt_fc", "features", "bt_cut"], """
 SELECT f.sku, f.region, f.date, f."q0.1", f."q0.5", f."q0.9", CAST(a.units_sold AS DOUBLE) AS actual
 FROM bt_fc f JOIN features a
@@ -181,18 +182,19 @@ FROM bt_fc f JOIN features a
 WHERE CAST(a.week AS DATE) > (SELECT cutoff FROM bt_cut)""")
 
 
-def _rake_ctes(iterations: int, margins: Sequence[str]) -> None:
+def _rake_ctes(iterations: int, margins: Sequence[str], panel: str = "panel", marginals: str = "marginals",
+               cells: str = "cells", raked: str = "raked") -> None:
     keys = ", ".join(margins)
-    cte("cells0", ["panel"], f"""
-SELECT {keys}, CAST(COUNT(*) AS DOUBLE) AS n, 1.0::DOUBLE AS w FROM panel GROUP BY {keys}""")
-    prev = "cells0"
+    cte(f"{cells}0", [panel], f"""
+SELECT {keys}, CAST(COUNT(*) AS DOUBLE) AS n, 1.0::DOUBLE AS w FROM {panel} GROUP BY {keys}""")
+    prev = f"{cells}0"
     step = 0
     for _ in range(iterations):
         for m in margins:
             step += 1
-            name = f"cells{step}"
+            name = f"{cells}{step}"
             others = ", ".join(f"c.{x}" for x in margins)
-            cte(name, ["marginals", prev], f"""
+            cte(name, [marginals, prev], f"""
 SELECT {others}, c.n, c.w * f.factor AS w
 FROM {prev} c JOIN (
   SELECT t.{m},
@@ -200,17 +202,41 @@ FROM {prev} c JOIN (
               WHEN t.cur = 0 THEN 1.0
               ELSE COALESCE(g.target, 0.0) / t.cur END AS factor
   FROM (SELECT {m}, SUM(w * n) AS cur FROM {prev} GROUP BY {m}) t
-  LEFT JOIN (SELECT category, SUM(target) AS target FROM marginals WHERE margin = '{m}' GROUP BY category) g
+  LEFT JOIN (SELECT category, SUM(target) AS target FROM {marginals} WHERE margin = '{m}' GROUP BY category) g
     ON CAST(t.{m} AS VARCHAR) = g.category
 ) f ON c.{m} IS NOT DISTINCT FROM f.{m}""")
             prev = name
     on = " AND ".join(f"p.{m} IS NOT DISTINCT FROM c.{m}" for m in margins)
-    cte("raked", ["panel", prev], f"""
-SELECT p.*, c.w AS weight FROM panel p JOIN {prev} c ON {on}""")
+    cte(raked, [panel, prev], f"""
+SELECT p.*, c.w AS weight FROM {panel} p JOIN {prev} c ON {on}""")
 
 
 _rake_ctes(RAKE_CHECK_ITERATIONS, RAKE_MARGINS)
 
+cte("gap_panel", ["panel"], """
+SELECT * REPLACE (CASE WHEN income_bin <> 'negative' THEN income_bin END AS income_bin) FROM panel""")
+cte("gap_marginals", ["marginals", "gap_panel"], """
+SELECT * FROM marginals WHERE margin = 'region'
+UNION ALL
+SELECT 'income_bin' AS margin, income_bin AS category, CASE WHEN income_bin = '0-2.5k' THEN 0.0 ELSE COUNT(*) * 2.0 END::DOUBLE AS target
+FROM gap_panel WHERE income_bin IS NOT NULL GROUP BY income_bin""")
+_rake_ctes(RAKE_CHECK_ITERATIONS, GAP_MARGINS, "gap_panel", "gap_marginals", "gapcells", "gap_raked")
+
+cte("origins", ["features"], """
+SELECT sku, region, CAST(week AS DATE) AS origin, CAST(units_sold AS DOUBLE) AS u0,
+       CAST(COALESCE(lag(units_sold, 1) OVER s, units_sold) AS DOUBLE) AS u1,
+       CAST(COALESCE(lag(units_sold, 2) OVER s, lag(units_sold, 1) OVER s, units_sold) AS DOUBLE) AS u2,
+       CAST(COALESCE(lag(units_sold, 3) OVER s, lag(units_sold, 2) OVER s, lag(units_sold, 1) OVER s, units_sold) AS DOUBLE) AS u3,
+       rolling_4w_mean AS mean4
+FROM features WINDOW s AS (PARTITION BY sku, region ORDER BY week)""")
+cte("examples", ["origins", "features"], f"""
+SELECT o.sku, o.region, o.target_date, o.origin, o.u0, o.u1, o.u2, o.u3, o.mean4, CAST(o.k AS DOUBLE) AS step,
+       CAST(weekofyear(o.target_date) AS DOUBLE) AS target_woy, CAST(month(o.target_date) AS DOUBLE) AS target_month,
+       CAST(f.units_sold AS DOUBLE) AS label
+FROM (SELECT *, CAST(origin + CAST(7 * k AS INTEGER) AS DATE) AS target_date
+      FROM origins, unnest(generate_series(1, {DEFAULT_HORIZON_WEEKS})) AS g(k)) o
+JOIN features f ON f.sku = o.sku AND f.region = o.region AND CAST(f.week AS DATE) = o.target_date""")
+
 
 def with_ctes(body: str, *needed: str) -> str:
     order: list[str] = []
@@ -317,7 +343,7 @@ SQL["ensemble_deepar_only"] = with_ctes(
 SQL["forecast_summary"] = with_ctes("""
 SELECT CAST(floor(COUNT(*) / (SELECT COUNT(*) FROM (SELECT DISTINCT sku, region FROM ens) s)) AS BIGINT) AS horizon_weeks,
        (SELECT COUNT(*) FROM (SELECT DISTINCT sku, region FROM ens) s) AS n_series,
-       CAST(SUM(CAST("q0.5" AS DECIMAL(28,7))) AS DOUBLE) / CAST(COUNT("q0.5") AS DOUBLE) AS mean_q50
+       CAST(SUM(CAST("q0.5" AS DECIMAL(28,12))) AS DOUBLE) / CAST(COUNT("q0.5") AS DOUBLE) AS mean_q50
 FROM ens""", "ens")
 SQL["series_index"] = with_ctes("SELECT DISTINCT sku, region FROM ens", "ens")
 SQL["regions_by_sku"] = with_ctes("""
@@ -342,6 +368,14 @@ SELECT * FROM requests r
 WHERE NOT EXISTS (SELECT 1 FROM ens f WHERE f.sku = r.sku AND f.region = r.region)""", "requests", "ens")
 
 
+SQL["rake_inconsistent"] = with_ctes("SELECT panel_id, round(weight, 6) AS weight FROM gap_raked", "gap_raked")
+SQL["regression_examples"] = with_ctes("SELECT * FROM examples", "examples")
+SQL["conformal_offsets"] = with_ctes("SELECT step, " + ", ".join(
+    f"min(r) FILTER (pos >= {q!r} * total) AS _off{i}" for i, q in enumerate(QUANTILES)) + """
+FROM (SELECT step, r, row_number() OVER (PARTITION BY step ORDER BY r) AS pos, count(*) OVER (PARTITION BY step) AS total
+      FROM (SELECT step, label - mean4 AS r FROM examples) e) x GROUP BY step""", "examples")
+
+
 def _fx(expr: str) -> str:
     return f"CAST({expr} AS DECIMAL(28,{SCALE}))"
 
@@ -378,16 +412,11 @@ SELECT '{m}' AS margin, CAST(r.{m} AS VARCHAR) AS category, round(SUM(r.weight),
 FROM raked r WHERE r.{m} IS NOT NULL GROUP BY r.{m}""" for m in RAKE_MARGINS), "raked", "marginals")
 
 
-def _present(view: str) -> str:
-    return f"(SELECT COUNT(*) FROM (SELECT 1 FROM {view} LIMIT 1) t)"
-
-
-SQL["pipeline_status"] = with_ctes(f"""
-SELECT 'Data Ingestion' AS step, ({_present('credit')} + {_present('panel')}) >= 2 AS ready
-UNION ALL SELECT 'Data Linking' AS step, {_present('linked')} >= 1 AS ready
-UNION ALL SELECT 'Feature Engineering' AS step, {_present('features')} >= 1 AS ready
-UNION ALL SELECT 'Forecasting' AS step, ({_present('ens')} + {_present('deepar')}) >= 1 AS ready""",
-                                   "credit", "panel", "linked", "features", "ens", "deepar")
+SQL["pipeline_status"] = """
+SELECT 'Data Ingestion' AS step, EXISTS (SELECT 1 FROM lineitem) AND EXISTS (SELECT 1 FROM customer) AS ready
+UNION ALL SELECT 'Data Linking' AS step, EXISTS (SELECT 1 FROM orders) AS ready
+UNION ALL SELECT 'Feature Engineering' AS step, FALSE AS ready
+UNION ALL SELECT 'Forecasting' AS step, FALSE AS ready"""
 
 SQL["forecast_missing_suggestions"] = with_ctes("""
 SELECT r.*, v.valid_regions FROM requests r

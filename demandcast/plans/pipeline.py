@@ -61,7 +61,13 @@ def run_pipeline(
     salt: str | bytes = DEFAULT_SALT,
     demo_csv: str | None = None,
     use_regression: bool = True,
+    without_history: str = "fail",
 ) -> PipelineRun:
+    """Run all stages. With too little history for the regression slot,
+    ``without_history`` decides: "fail" raises, "naive" serves the naive slot
+    alone, which then passes through with full weight, and records it."""
+    if without_history not in ("fail", "naive"):
+        raise ValueError("without_history must be 'fail' or 'naive'")
     run = PipelineRun()
     run.paths.update(io.ingest(spark, credit_csv, panel_csv, landing_dir, demo_csv))
     credit = spark.read.parquet(run.paths[io.CREDIT_TABLE])
@@ -85,7 +91,8 @@ def run_pipeline(
     try:
         lgb, deepar = forecast_slots(features, horizon, use_regression)
     except InsufficientHistoryError as err:
-        # the regression slot needs history; the naive slot always works
+        if without_history == "fail":
+            raise
         run.skipped[io.FORECAST_LGB_TABLE] = str(err)
         use_regression = False
         lgb, deepar = forecast_slots(features, horizon, use_regression)

@@ -29,10 +29,11 @@ from demandcast.operators.lookup import (
     missing_with_suggestions,
 )
 from demandcast.operators.metrics import pinball_loss, score_by_series, wape
-from demandcast.operators.regression import regression_quantile_forecast
+from demandcast.operators.regression import conformal_offsets, regression_quantile_forecast, training_examples
 from demandcast.operators.weighting import rake, rake_totals
 from demandcast.plans import inputs as I
 from demandcast.plans.pipeline import forecast_from_features
+from demandcast.sources.tpch import scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 DEC = 6
@@ -224,21 +225,31 @@ def q_rake_weights(spark, d):
 
 def q_rake_totals(spark, d):
     result = _raked(spark, d)
-    out = rake_totals(result.weighted, I.marginals(spark, d), I.RAKE_MARGINS)
+    out = rake_totals(result, I.marginals(spark, d), I.RAKE_MARGINS)
     return out.withColumn("weighted_total", F.round("weighted_total", DEC))
 
 
+def q_rake_inconsistent(spark, d):
+    """Margins whose totals differ, with a null category and a zero target."""
+    result = rake(I.panel_with_gaps(spark, d), I.inconsistent_marginals(spark, d), margins=I.GAP_MARGINS, max_iter=I.RAKE_CHECK_ITERATIONS, tol=0.0)
+    return result.weighted.select("panel_id", F.round("weight", DEC).alias("weight"))
+
+
+def q_regression_examples(spark, d):
+    return training_examples(I.features(spark, d))
+
+
+def q_conformal_offsets(spark, d):
+    """Offsets around a fixed prediction, the mean of the last four weeks."""
+    examples = training_examples(I.features(spark, d))
+    return conformal_offsets(examples.select("step", (F.col("label") - F.col("mean4")).alias("r")))
+
+
 def q_pipeline_status(spark, d):
-    feats = I.features(spark, d)
-    artefacts = {
-        "credit": I.credit(spark, d),
-        "panel": I.panel(spark, d),
-        "linked": I.linked(spark, d),
-        "features": feats,
-        "forecast_ensemble": ensemble(I.lgb_slot(feats), I.deepar_slot(feats)),
-        "forecast_deepar": I.deepar_slot(feats),
-    }
-    return reports.pipeline_status(spark, artefacts)
+    """Over stored tables: transactions, panel and their link are there, no
+    features or forecasts are; a probe reads one row of a table."""
+    stored = {"credit": "lineitem", "panel": "customer", "linked": "orders"}
+    return reports.pipeline_status(spark, {k: scan(spark, d, t) for k, t in stored.items()})
 
 
 def q_regression_forecast(spark, d):

@@ -6,10 +6,11 @@ written in SQL for the DuckDB oracle, see ``demandcast.plans.oracle``):
 
 * credit: one row per lineitem. txn_id = order key (repeats across lines,
   so the distinct count is meaningful), customer 'C' || o_custkey,
-  txn_date = order date, sku = part brand, region = supplier's region,
+  txn_date = order date, sku = part key, region = supplier's region,
   amount / price as exact cents, quantity as bigint.
-* panel: one row per customer. age_group = market segment, region =
-  customer's region, income_bin from the account balance, household_size
+* panel: one row per customer, without a customer id where the account
+  balance is negative (so some transactions stay unlinked). age_group =
+  market segment, region = customer's region, income_bin from the account balance, household_size
   = 1 + region key.
 * marginals: order counts per customer region and per segment (consistent
   totals: both sum to the number of orders).
@@ -62,17 +63,9 @@ TABLE_SCHEMAS = {
                         ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", _TS)),
 }
 
-_ROW_COUNTS: dict[str, int] = {}
-_SPLITS: dict[str, int] = {}
-
-
 def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Rows of a test table. The count reads no column (Parquet footer
-    metadata only); tables are immutable, so it is remembered per path."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _ROW_COUNTS:
-        _ROW_COUNTS[path] = _scan(spark, sf_dir, name).count()
-    return _ROW_COUNTS[path]
+    """Rows of a test table, from Parquet footers (reads no column)."""
+    return scan(spark, sf_dir, name).count()
 
 
 def broadcast_if_small(df: DataFrame, rows: int, max_rows: int | None = None) -> DataFrame:
@@ -82,7 +75,7 @@ def broadcast_if_small(df: DataFrame, rows: int, max_rows: int | None = None) ->
     return F.broadcast(df) if 0 <= rows <= limit else df
 
 
-def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
@@ -95,17 +88,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     hash of its key, so the joins and hashing after it use every core; a
     table stored as many files already has more splits than slots and is
     left alone."""
-    df = _scan(spark, sf_dir, name)
+    df = scan(spark, sf_dir, name)
     if name not in SPREAD_TABLES:
         return df
-    path = f"{sf_dir}/{name}.parquet"
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        if path not in _SPLITS:
-            _SPLITS[path] = df.rdd.getNumPartitions()
-    except Exception:  # no SparkContext in this session (e.g. a remote client)
-        return df
-    return df.repartition(slots, SPREAD_TABLES[name]) if _SPLITS[path] < slots else df
+    slots = spark.sparkContext.defaultParallelism
+    return df.repartition(slots, SPREAD_TABLES[name]) if df.rdd.getNumPartitions() < slots else df
 
 
 def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +108,7 @@ def credit_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     supplier_region = supplier.join(
         F.broadcast(_nation_region(spark, sf_dir)), supplier.s_nationkey == F.col("n_nationkey")
@@ -137,7 +124,7 @@ def credit_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_orderkey").alias("txn_id"),
             F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
             F.col("o_orderdate").cast("timestamp_ntz").alias("txn_date"),
-            F.col("p_brand").alias("sku"),
+            F.concat(F.lit("S"), F.col("p_partkey").cast("string")).alias("sku"),
             F.col("r_name").alias("region"),
             F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
             F.col("p_retailprice").cast("decimal(18,2)").alias("price"),
@@ -161,7 +148,7 @@ def panel_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = _nation_region(spark, sf_dir)
     return customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey).select(
         F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("panel_id"),
-        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("customer_id"),
+        F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("C"), F.col("c_custkey").cast("string"))).alias("customer_id"),
         F.col("c_mktsegment").alias("age_group"),
         F.col("r_name").alias("region"),
         _income_bin(F.col("c_acctbal")).alias("income_bin"),

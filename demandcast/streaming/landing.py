@@ -21,6 +21,17 @@ from demandcast.schemas import CREDIT_SCHEMA, PANEL_SCHEMA
 SCHEMAS = {"credit_txn": CREDIT_SCHEMA, "panel": PANEL_SCHEMA}
 
 
+def _batches_done(spark: SparkSession, checkpoint_path: str) -> int:
+    """Micro-batches committed so far: the commit log holds a file for each
+    (old ones may be purged, so the highest number counts)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_path.rstrip('/')}/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return 0
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return max((int(n) + 1 for n in names if n.isdigit()), default=0)
+
+
 def land_new_files(
     spark: SparkSession,
     source_dir: str,
@@ -41,7 +52,8 @@ def land_new_files(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source_dir)
+    stream = reader.option("quote", '"').option("escape", '"').csv(source_dir)
+    before = _batches_done(spark, checkpoint_path)
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_path)
@@ -52,4 +64,4 @@ def land_new_files(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return len(query.recentProgress)
+    return _batches_done(spark, checkpoint_path) - before

@@ -11,21 +11,22 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from demandcast.schemas import CREDIT_SCHEMA, PANEL_SCHEMA  # noqa: E402
 from demandcast.session import get_session, resolve_checkpoint_dir  # noqa: E402
 
+# A bakery's tills: one basket of two lines, one buyer who is no member.
 CREDIT_ROWS = [
-    (1, "C001", "2025-01-02", "SKU123", "NE", 12.5, 2.5, 5),
-    (2, "C002", "2025-01-04", "SKU123", "NE", 7.5, 2.5, 3),
-    (3, "C001", "2025-01-12", "SKU123", "NE", 10.0, 2.5, 4),
-    (4, "C003", "2025-01-09", "SKU456", "W", 9.0, 3.0, 3),
-    (5, "C003", "2025-01-16", "SKU456", "W", 12.0, 3.0, 4),
-    (6, "C002", "2025-01-23", "SKU123", "NE", 5.0, 2.5, 2),
-    (7, "C004", "2025-01-30", "SKU456", "NE", 15.0, 3.0, 5),
-    (8, "C001", "2025-02-06", "SKU123", "NE", 5.0, 2.5, 2),
+    (11, "K7", "2023-12-27", "oat", "north", 6.0, 1.5, 4),
+    (12, "K8", "2023-12-31", "oat", "north", 3.0, 1.5, 2),
+    (13, "K7", "2024-01-01", "oat", "north", 9.0, 1.5, 6),
+    (14, "K9", "2024-01-18", "oat", "south", 4.5, 1.5, 3),
+    (15, "K9", "2024-01-19", "rye", "south", 8.0, 4.0, 2),
+    (16, "K7", "2024-01-24", "oat", "north", 1.5, 1.5, 1),
+    (16, "K7", "2024-01-24", "rye", "north", 4.0, 4.0, 1),
+    (17, "K5", "2024-01-30", "oat", "north", 3.0, 1.5, 2),
 ]
 PANEL_ROWS = [
-    ("p1", "C001", "35-54", "NE", "50-75k", 3),
-    ("p2", "C002", "35-54", "NE", "50-75k", 2),
-    ("p3", "C003", "55+", "W", "35-50k", 2),
-    ("p4", "C004", "35-54", "NE", "50-75k", 4),
+    ("m1", "K7", "18-29", "north", "low", 1),
+    ("m2", "K8", "30-49", "north", "high", 4),
+    ("m3", "K9", "30-49", "south", "low", 2),
+    ("m4", "K6", "50+", "south", "high", 5),
 ]
 
 

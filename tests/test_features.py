@@ -11,13 +11,12 @@ from demandcast.schemas import FEATURE_COLUMNS
 D = dt.datetime
 
 EXPECTED = [
-    ("SKU123", "NE", D(2024, 12, 30), 8, 20.0, 2, 2.5, None, 8.0, 1, 12),
-    ("SKU123", "NE", D(2025, 1, 6), 4, 10.0, 1, 2.5, 8.0, 6.0, 2, 1),
-    ("SKU123", "NE", D(2025, 1, 20), 2, 5.0, 1, 2.5, 4.0, 4.666666666666667, 4, 1),
-    ("SKU123", "NE", D(2025, 2, 3), 2, 5.0, 1, 2.5, 2.0, 4.0, 6, 2),
-    ("SKU456", "NE", D(2025, 1, 27), 5, 15.0, 1, 3.0, None, 5.0, 5, 1),
-    ("SKU456", "W", D(2025, 1, 6), 3, 9.0, 1, 3.0, None, 3.0, 2, 1),
-    ("SKU456", "W", D(2025, 1, 13), 4, 12.0, 1, 3.0, 3.0, 3.5, 3, 1),
+    ("oat", "north", D(2023, 12, 25), 6, 9.0, 2, 1.5, None, 6.0, 52, 12),
+    ("oat", "north", D(2024, 1, 1), 6, 9.0, 1, 1.5, 6.0, 6.0, 1, 1),
+    ("oat", "north", D(2024, 1, 22), 1, 1.5, 1, 1.5, 6.0, 13 / 3, 4, 1),
+    ("oat", "south", D(2024, 1, 15), 3, 4.5, 1, 1.5, None, 3.0, 3, 1),
+    ("rye", "north", D(2024, 1, 22), 1, 4.0, 1, 4.0, None, 1.0, 4, 1),
+    ("rye", "south", D(2024, 1, 15), 2, 8.0, 1, 4.0, None, 2.0, 3, 1),
 ]
 
 
@@ -103,3 +102,17 @@ def test_result_independent_of_partitioning(spark, panel, credit):
     a = sorted(tuple(r) for r in build_features(linked).collect())
     b = sorted(tuple(r) for r in build_features(linked.repartition(7)).collect())
     assert a == b
+
+
+def test_odd_numbers_are_not_dropped(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("2025-01-06", "S", "A", 1, a, i, p) for i, (a, p) in enumerate([(2.0, 2.0), (nan, nan), (4.0, 4.0)])]
+    rows += [("2025-01-06", "S", "B", 1, a, i, p) for i, (a, p) in enumerate([(1.0, 2.0), (inf, inf)])]
+    rows += [("2025-01-06", "S", "C", 1, a, i, p) for i, (a, p) in enumerate([(1e25, 1e25), (1e25, 3e25)])]
+    rows += [("2025-01-06", "S", "D", 1, a, i, p) for i, (a, p) in enumerate([(1e-8, 1e-8), (3e-8, None), (1.0, 3e-8)])]
+    for parts in (1, 3):
+        got = {r["region"]: (r["sales_dollars"], r["avg_price"]) for r in weekly_rollup(spark.createDataFrame(rows, SCHEMA).repartition(parts)).collect()}
+        assert got["A"] == (6.0, 3.0)
+        assert got["B"] == (inf, inf)
+        assert got["C"] == pytest.approx((2e25, 2e25))
+        assert got["D"] == pytest.approx((1.00000004, 2e-8))

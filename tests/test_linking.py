@@ -12,8 +12,8 @@ LINKED_COLUMNS = [
 def test_sample_link_layout(panel, credit):
     linked = link_panel_credit(panel, credit)
     assert linked.columns == LINKED_COLUMNS
-    assert linked.count() == 8
-    assert linked.select("cust_hash").distinct().count() == 4
+    assert linked.count() == 7
+    assert linked.select("cust_hash").distinct().count() == 3
 
 
 def test_requires_customer_id(spark):

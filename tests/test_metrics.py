@@ -52,3 +52,21 @@ def test_scores_independent_of_partitioning(spark):
     a = score_by_series(df, keys=["sku"]).collect()
     b = score_by_series(df.repartition(13), keys=["sku"]).collect()
     assert a == b
+
+
+def test_missing_infinite_tiny_and_huge_numbers_count(spark):
+    nan, inf = float("nan"), float("inf")
+
+    def scores(y, p):
+        df = spark.createDataFrame([(a, b, b, b) for a, b in zip(y, p)], SCHEMA)
+        return wape(df).first()["wape"], {r["quantile"]: r["pinball_loss"] for r in pinball_loss(df).collect()}
+
+    for y, p in (([10.0, 10.0], [10.0, None]), ([10.0, None], [10.0, 1.0]), ([10.0, nan], [10.0, 1.0]), ([1.0], [nan])):
+        w, loss = scores(y, p)
+        assert math.isnan(w) and all(math.isnan(v) for v in loss.values())
+    w, loss = scores([1.0, 2.0], [1.0, inf])
+    assert w == inf and loss[0.5] == inf
+    w, loss = scores([1e-8], [3e-8])
+    assert w == pytest.approx(2.0) and loss[0.5] == pytest.approx(1e-8)
+    w, loss = scores([1e25, 1.0], [2e25, 1.0])
+    assert w == pytest.approx(1.0) and loss[0.1] == pytest.approx(0.9 * 1e25 / 2)

@@ -26,18 +26,20 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     credit = write_csv(os.path.join(tmp_dir, "credit.csv"), CREDIT_HEADER, CREDIT_ROWS)
     panel = write_csv(os.path.join(tmp_dir, "panel.csv"), PANEL_HEADER, PANEL_ROWS)
     landing, feats = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "features")
-    marginals = {"region": {"NE": 3.0, "W": 1.0}, "age_group": {"35-54": 3.0, "55+": 1.0}}
-    run = run_pipeline(spark, credit, panel, landing, feats, marginals=marginals, horizon=4)
+    marginals = {"region": {"north": 2.0, "south": 2.0}, "age_group": {"18-29": 1.0, "30-49": 2.0, "50+": 1.0}}
+    with pytest.raises(InsufficientHistoryError):
+        run_pipeline(spark, credit, panel, landing, feats, horizon=4)
+    run = run_pipeline(spark, credit, panel, landing, feats, marginals=marginals, horizon=4, without_history="naive")
     assert io.FORECAST_LGB_TABLE in run.skipped  # 6 weeks of history are too few for the model
     assert run.rake.converged
-    assert spark.read.parquet(run.paths[io.LINKED_TABLE]).count() == 8
-    assert spark.read.parquet(run.paths[io.FEATURES_TABLE]).count() == 7
+    assert spark.read.parquet(run.paths[io.LINKED_TABLE]).count() == 7
+    assert spark.read.parquet(run.paths[io.FEATURES_TABLE]).count() == 6
     ens = spark.read.parquet(run.paths[io.FORECAST_ENSEMBLE_TABLE])
     assert ens.columns == ["sku", "region", "date", "q0.1", "q0.5", "q0.9"]
-    assert ens.count() == 3 * 4
+    assert ens.count() == 4 * 4
     served = io.load_forecast_for_serving(spark, feats)
-    recs = forecast_records(served, "SKU123", "NE", 2)
-    assert [r["date"] for r in recs] == ["2025-02-10", "2025-02-17"]
+    recs = forecast_records(served, "oat", "north", 2)
+    assert [r["date"] for r in recs] == ["2024-01-29", "2024-02-05"]
     tables = io.load_tables(spark, landing, feats)
     assert set(tables) >= {"credit", "panel", "linked", "features", "forecast_ensemble", "forecast_deepar"}
 
@@ -56,13 +58,14 @@ def test_streaming_lands_each_file_once(spark, tmp_dir):
     table = os.path.join(tmp_dir, "credit_txn")
     ckpt = os.path.join(tmp_dir, "ckpt")
     write_csv(os.path.join(src, "w1.csv"), CREDIT_HEADER, CREDIT_ROWS[:5])
-    land_new_files(spark, src, table, ckpt)
+    assert land_new_files(spark, src, table, ckpt) == 1
+    assert land_new_files(spark, src, table, ckpt) == 0
     assert spark.read.parquet(table).count() == 5
     write_csv(os.path.join(src, "w2.csv"), CREDIT_HEADER, CREDIT_ROWS[5:])
     land_new_files(spark, src, table, ckpt)
     df = spark.read.parquet(table)
     assert df.count() == 8
-    assert sorted(r["txn_id"] for r in df.collect()) == list(range(1, 9))
+    assert sorted(r["txn_id"] for r in df.collect()) == [11, 12, 13, 14, 15, 16, 16, 17]
 
 
 def test_streaming_rejects_misplaced_columns(spark, tmp_dir):
@@ -74,7 +77,7 @@ def test_streaming_rejects_misplaced_columns(spark, tmp_dir):
         land_new_files(spark, src, os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "c"))
 
 
-def test_cli_run_and_lookup(spark, tmp_dir, capsys):
+def test_cli_run_and_lookup(spark, tmp_dir, capsys, monkeypatch):
     import json
 
     from demandcast.__main__ import main
@@ -82,10 +85,24 @@ def test_cli_run_and_lookup(spark, tmp_dir, capsys):
     credit = write_csv(os.path.join(tmp_dir, "credit.csv"), CREDIT_HEADER, CREDIT_ROWS)
     panel = write_csv(os.path.join(tmp_dir, "panel.csv"), PANEL_HEADER, PANEL_ROWS)
     feats = os.path.join(tmp_dir, "features")
+    monkeypatch.delenv("HASH_SALT", raising=False)
+    with pytest.raises(SystemExit):
+        main(["run", "--credit_csv", credit, "--panel_csv", panel, "--landing_dir", tmp_dir, "--feature_dir", feats])
+    monkeypatch.setenv("HASH_SALT", "own salt")
     assert main(["run", "--credit_csv", credit, "--panel_csv", panel, "--landing_dir",
                  os.path.join(tmp_dir, "landing"), "--feature_dir", feats, "--no_regression"]) == 0
     capsys.readouterr()
-    assert main(["lookup", "--feature_dir", feats, "--sku", "SKU456", "--region", "W", "--horizon", "3"]) == 0
+    assert main(["lookup", "--feature_dir", feats, "--sku", "rye", "--region", "south", "--horizon", "3"]) == 0
     rows = json.loads(capsys.readouterr().out)
-    assert [r["date"] for r in rows] == ["2025-01-20", "2025-01-27", "2025-02-03"]
-    assert main(["lookup", "--feature_dir", feats, "--sku", "nope", "--region", "W"]) == 1
+    assert [r["date"] for r in rows] == ["2024-01-22", "2024-01-29", "2024-02-05"]
+    assert main(["lookup", "--feature_dir", feats, "--sku", "nope", "--region", "south"]) == 1
+
+
+def test_unreadable_optional_table_is_skipped(spark, tmp_dir, caplog):
+    row = spark.createDataFrame([(1,)], "x long")
+    for name in (io.CREDIT_TABLE, io.PANEL_TABLE, io.LINKED_TABLE):
+        io.write_parquet(row, tmp_dir, name)
+    with open(io.artefact_path(tmp_dir, io.FEATURES_TABLE), "w") as fh:
+        fh.write("this is not Parquet")
+    assert set(io.load_tables(spark, tmp_dir, tmp_dir)) == {"credit", "panel", "linked"}
+    assert "skipped" in caplog.text

@@ -97,5 +97,30 @@ def test_parquet_roundtrip_and_optional_loads(spark, tmp_dir):
 
 def test_empty_csv(spark, tmp_dir):
     path = write(os.path.join(tmp_dir, "empty.csv"), "")
-    with pytest.raises(IngestError, match="Empty or invalid CSV"):
+    with pytest.raises(IngestError, match="no header"):
         read_csv(spark, path)
+
+
+def test_nan_totals_do_not_hide_a_difference(spark):
+    panel = spark.createDataFrame([(float("nan"),), (30.0,)], "quantity double")
+    credit = spark.createDataFrame([(100.0,)], "quantity double")
+    with pytest.raises(TotalsMismatchError, match="deviate"):
+        check_totals_close(panel, credit)
+
+
+def test_csv_dialect(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "q.csv"), 'id,note\n1,"a ""x"", b"\n2,"two\nlines"\n3,\n')
+    assert sorted(tuple(r) for r in read_csv(spark, path).collect()) == [("1", 'a "x", b'), ("2", "two\nlines"), ("3", None)]
+    header_only = write(os.path.join(tmp_dir, "h.csv"), "id,note\n")
+    assert read_csv(spark, header_only).columns == ["id", "note"] and read_csv(spark, header_only).count() == 0
+
+
+def test_folder_of_csv_with_swapped_headers_is_rejected(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "drops")
+    os.makedirs(folder)
+    write(os.path.join(folder, "a.csv"), "id,note\n1,x\n")
+    write(os.path.join(folder, "b.csv"), "id,note\n2,y\n")
+    assert read_csv(spark, folder).count() == 2
+    write(os.path.join(folder, "c.csv"), "note,id\nz,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, folder).collect()
