@@ -4,9 +4,9 @@ Encoding is a score-ordered agenda: every adjacent pair of symbols that forms
 a piece waits in a heap by (score, position); the best pair is merged, the
 pairs around it are renewed, until the agenda is empty. Symbols that are no
 piece fall back to their UTF-8 bytes. No piece of such a vocabulary continues
-across the start of a run of spaces, nor across a character that occurs in no
-longer piece, so a text falls into segments that are encoded on their own; a
-worker remembers the segments it has met.
+across the start of a run of spaces, nor across two characters that are
+neighbours in no piece, so a text falls into segments that are encoded on their own (see
+``segment_pattern``); a worker remembers the segments it has met.
 
 Every segment not met before is also encoded by the sentencepiece library,
 in one call per Arrow batch, and the library's ids win on any difference;
@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 from demandcast.llm.common import map_arrow, pick, python_strings, rows_in
 
 SPACE = "▁"
-SEGMENTS_KEPT = 250_000  # per worker and generation
+SEGMENTS_KEPT = 400_000  # per worker and generation
 LONGEST_KEPT = 64  # characters; longer segments are encoded each time
 ROWS_AT_A_TIME = 256
+MARKS = ".,!?;:|%$&*#\"()"
 SHORT = 64  # characters; up to here a linear look for the best pair beats a heap
 NEVER = float("inf")
 
@@ -62,13 +63,23 @@ class Agenda:
             raise ValueError("pieces that hold a space after other characters are not supported")
         if m.encode(" a  b ", out_type=str)[:1] != [SPACE * 2] and m.encode("a", out_type=str)[0][:1] != SPACE:
             raise ValueError("the model must keep all spaces and add one in front")
-        # A line break in no longer piece bounds segments, as a space does.
-        self.line_bounds = not any("\n" in p for p in longer)
-        self.segment = re.compile(" +[^ \n]*|[^ \n]+|\n" if self.line_bounds else " +[^ ]*")
+        self.segment = re.compile(self.segment_pattern(longer))
         self.young: dict[str, tuple[list[int], str]] = {}
         self.old: dict[str, tuple[list[int], str]] = {}
         self.differences = 0
 
+    @staticmethod
+    def segment_pattern(longer: list[str]) -> str:
+        """A segment begins at a run of spaces. It ends as well, if the
+        vocabulary allows, at a line break and between a letter and a mark: no
+        piece may hold the two characters next to each other."""
+        if any("\n" in p for p in longer):
+            return " +[^ ]*"
+        pairs = {p[i:i + 2] for p in longer for i in range(len(p) - 1)}
+        odd = {a for a, b in pairs if b in MARKS and (a.isalpha() or re.match(r"[^\W\d_]", a))}
+        word = rf"[^\W\d_{re.escape(''.join(sorted(odd)))}]+(?=[ \n{re.escape(MARKS)}]|\Z)"
+        return rf" +{word}| +[^ \n]*|{word}|[^ \n]+|\n"
+
     def segments(self, text: str) -> list[str]:
         """The text with its leading space, cut where no merge can cross."""
         return self.segment.findall(" " + text.replace(SPACE, " ")) if text else []
@@ -158,15 +169,16 @@ class Agenda:
     def encode_batch(self, texts: list[str]) -> Iterator[list[tuple[list[int], str]]]:
         """Per text the (ids, ids joined by commas) of its segments."""
         cut = [self.segments(t) for t in texts]
+        found = [list(map(self.young.get, segments)) for segments in cut]
+        unknown = {s for segments, entries in zip(cut, found) if None in entries for s, e in zip(segments, entries) if e is None}
         young, old = self.young, self.old
-        new = set(chain.from_iterable(cut)).difference(young)
-        for segment in new.intersection(old):
+        for segment in unknown.intersection(old):
             young[segment] = old[segment]
-        new = list(new.difference(old))
+        new = list(unknown.difference(old))
         for segment, ids in zip(new, self.checked(new) if new else []):
             young[segment] = (ids, ",".join(map(str, ids)))
-        for segments in cut:
-            yield list(map(young.__getitem__, segments))
+        for segments, entries in zip(cut, found):
+            yield list(map(young.__getitem__, segments)) if None in entries else entries
         for segment in new:
             if len(segment) > LONGEST_KEPT:
                 del young[segment]
