@@ -162,26 +162,29 @@ def _judged(packed: DataFrame, evidence: Evidence | None) -> DataFrame:
 
 
 def posterior(docs: DataFrame, labels: DataFrame, scratch: Scratch, max_docs: int = MAX_DOCS, id_col: str = "doc_id", text_col: str = "text",
-              site_col: str = "source", path_cols: tuple[str, ...] = ("lang",)) -> DataFrame:
-    """The rows of ``docs`` packed into ``_row``, with _id, text_probability,
-    site_share, path_share, probability (all three levels together)."""
+              site_col: str = "source", path_cols: tuple[str, ...] = ("lang",), with_rows: bool = False) -> DataFrame:
+    """Per row of ``docs``: _id, text_probability, site_share, path_share,
+    probability (all three levels together), and with ``with_rows`` the whole
+    row packed into ``_row``. Texts are read once: their evidence is written
+    before sites are summed."""
     evidence = fit(docs, labels, max_docs, id_col, text_col)
     packed = keep_row(docs, id_col, text_col, site_col, *path_cols).toDF("_row", "_id", "_text", "_site", *[f"_path{i}" for i in range(len(path_cols))])
-    packed = packed.withColumn("_path", F.struct(*[f"_path{i}" for i in range(len(path_cols))]) if path_cols else F.lit(0)).select("_row", "_id", "_text", "_site", "_path")
-    shares = site_posteriors(_judged(packed.drop("_row"), evidence).select("_site", "_path", "_p"), scratch)
+    packed = packed.withColumn("_path", F.struct(*[f"_path{i}" for i in range(len(path_cols))]) if path_cols else F.lit(0))
+    packed = packed.select(*(["_row"] if with_rows else []), "_id", "_text", "_site", "_path")
+    judged = scratch.write(_judged(packed, evidence).drop("_text"), "judged")
+    shares = site_posteriors(judged.select("_site", "_path", "_p"), scratch)
     shares = shares.select(F.col("_site").alias("_s"), F.col("_path").alias("_q"), "site_share", "path_share")
     if shares.count() <= broadcast_max_rows(docs.sparkSession) // 10:
         shares = F.broadcast(shares)
     odds = lambda p: F.log(p / (1 - p))
     bounded = F.greatest(F.least(F.col("path_share"), F.lit(1 - 1e-6)), F.lit(1e-6))
-    prior = F.lit(evidence.sample_odds if evidence else 0.0)
-    joined = _judged(packed, evidence).join(shares, F.col("_site").eqNullSafe(F.col("_s")) & F.col("_path").eqNullSafe(F.col("_q")))
-    total = F.col("_odds") - prior + odds(bounded)
-    return joined.select("_row", "_id", F.col("_p").alias("text_probability"), "site_share", "path_share",
+    joined = judged.join(shares, F.col("_site").eqNullSafe(F.col("_s")) & F.col("_path").eqNullSafe(F.col("_q")))
+    total = F.col("_odds") - F.lit(evidence.sample_odds if evidence else 0.0) + odds(bounded)
+    return joined.select(*(["_row"] if with_rows else []), "_id", F.col("_p").alias("text_probability"), "site_share", "path_share",
                          (1 / (1 + F.exp(-total)) if evidence else F.lit(0.5)).alias("probability"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, scratch: Scratch, threshold: float = THRESHOLD, **names) -> DataFrame:
     """The rows of ``docs`` whose probability of being good reaches the threshold."""
-    kept = posterior(docs, labels, scratch, **names).filter(F.col("probability") >= threshold)
+    kept = posterior(docs, labels, scratch, with_rows=True, **names).filter(F.col("probability") >= threshold)
     return unpack_row(kept, docs.columns)
