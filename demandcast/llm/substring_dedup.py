@@ -43,15 +43,16 @@ from demandcast.llm.common import Memo, Scratch, keep_row, map_arrow, python_byt
 from demandcast.session import broadcast_max_rows
 
 WINDOW = 20
-BATCH_WORDS = 1 << 20
+BATCH_WORDS = 1 << 19
 BUCKET_BYTES = 8 << 20  # of text per bucket
 MOST_BUCKETS = 100_000  # buckets grow beyond it
 WORDS_KEPT = 300_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
-# Rows between the steps. kind: blob (for a bucket), part (of a document, on
-# its way through a bucket's task), info (of a document).
-BLOB, PART, INFO = 0, 1, 2
+# Rows between the steps. kind: blob (for a bucket), part (runs of a document,
+# on its way through a bucket's task), info (of a document), pack (findings of
+# a bucket for a group of documents).
+BLOB, PART, INFO, PACK = 0, 1, 2, 3
 ROW = "kind int, bucket int, key long, n long, digest string, a binary, b binary, c binary"
 _ROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("digest", pa.string()),
                   ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
@@ -119,8 +120,8 @@ def runs_mask(runs: np.ndarray, size: int, before: int = 0, after: int = 0) -> n
     return np.cumsum(edges[:size]) > 0
 
 
-def _runs_of(blobs: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), "<u4").reshape(-1, 2).astype(np.int64)
+def _runs_of(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, "<u4").reshape(-1, 2).astype(np.int64)
 
 
 def _by_bucket(values: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
@@ -145,6 +146,17 @@ def _parts(keys: np.ndarray, positions: np.ndarray, buckets: int, step: int = 1)
     return out
 
 
+def _packs(keys: np.ndarray, positions: np.ndarray, groups: int) -> list[tuple]:
+    """PACK rows of (key, position) pairs, one for each group of documents, so
+    that their number does not grow with the documents of a bucket."""
+    of = keys % groups
+    order = np.argsort(of, kind="stable")
+    of, keys, positions = of[order], keys[order], positions[order]
+    cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else []
+    ends = [*cuts[1:], len(of)]
+    return [(PACK, int(of[a]), None, None, None, keys[a:b].astype("<i8").tobytes(), positions[a:b].astype("<u4").tobytes(), None) for a, b in zip(cuts, ends)]
+
+
 def _batches_of_documents(batches, words_of_row: Callable) -> Iterator[list]:
     held, size = [], 0
     for batch in rows_in(batches, 256):
@@ -238,9 +250,8 @@ def _through_buckets(sent: DataFrame, judge: Callable, buckets: int) -> DataFram
             if others:
                 yield _rows(others)
             if blobs:
-                found = _parts(*judge(blobs), buckets)
-                for at in range(0, len(found), 4096):
-                    yield _rows(found[at:at + 4096])
+                if found := _packs(*judge(blobs), buckets):
+                    yield _rows(found)
 
     dealt = sent.repartition("bucket").sortWithinPartitions("kind", "bucket")
     return map_arrow(dealt, _nonempty(run), ROW)
@@ -312,9 +323,39 @@ def _repeated_windows(blobs: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _by_document(rows: DataFrame) -> DataFrame:
-    """(key, found array<binary>): the runs of each document, which are no
-    more than its words."""
-    return rows.filter(F.col("kind") == PART).groupBy("key").agg(F.collect_list("a").alias("found"))
+    """(key, found binary): the runs of each document that has any, joined up
+    from all buckets a group of documents at a time."""
+    schema = pa.schema([("key", pa.int64()), ("found", pa.binary())])
+
+    def joined(parts: list[tuple]) -> pa.RecordBatch:
+        keys, positions = [], []
+        for kind, _, key, a, b in parts:
+            if kind == PACK:
+                keys.append(np.frombuffer(a, "<i8"))
+                positions.append(np.frombuffer(b, "<u4").astype(np.int64))
+            else:
+                runs = _runs_of(a)
+                starts = np.repeat(runs[:, 0] - np.concatenate([[0], np.cumsum(runs[:-1, 1])]), runs[:, 1])
+                positions.append(starts + np.arange(len(starts)))
+                keys.append(np.full(len(starts), key, np.int64))
+        runs = [(r[2], r[5]) for r in _parts(np.concatenate(keys), np.concatenate(positions), 1)]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*runs), schema)], schema=schema)
+
+    def run(batches):
+        group, held = None, []
+        for batch in rows_in(batches, 1024):
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                if row[1] != group and held:
+                    yield joined(held)
+                    held = []
+                group = row[1]
+                held.append(row)
+        if held:
+            yield joined(held)
+
+    dealt = rows.filter(F.col("kind").isin(PART, PACK)).select("kind", "bucket", "key", "a", "b")
+    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    return map_arrow(dealt, run, "key long, found binary")
 
 
 def _with_found(docs: DataFrame, found: DataFrame) -> DataFrame:
