@@ -8,7 +8,7 @@ from demandcast.plans.pipeline import run_pipeline
 from demandcast.sources import files as io
 from demandcast.streaming.landing import land_new_files
 
-from conftest import CREDIT_ROWS, PANEL_ROWS
+from sample_rows import CREDIT_ROWS, PANEL_ROWS
 
 CREDIT_HEADER = "txn_id,customer_id,txn_date,sku,region,amount,price,quantity"
 PANEL_HEADER = "panel_id,customer_id,age_group,region,income_bin,household_size"
