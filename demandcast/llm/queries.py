@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandcast.llm import chat, mixing, quality_classifier, quality_rules, sentencepiece_bpe, simhash, substring_dedup, topk, toxicity, warc
+from demandcast.llm import chat, mixing, prefix_trie, quality_classifier, quality_rules, sentencepiece_bpe, simhash, substring_dedup, topk, toxicity, warc
 from demandcast.llm.common import Scratch, table
 
 
@@ -68,6 +68,17 @@ def op10_warc(spark, d):
     return warc.read(warc.build(table(spark, d, "pages"), Scratch(spark, "warc")))
 
 
+def conversation_trie(conversations, scratch):
+    """Trie of the conversations rebuilt to share beginnings."""
+    turns, ids = prefix_trie.conversations(conversations, scratch)
+    turns, ids = prefix_trie.rebuild(turns, ids)
+    return prefix_trie.trie(scratch.write(turns, "rebuilt"), ids, scratch)
+
+
+def op12_prefix_trie(spark, d):
+    return conversation_trie(table(spark, d, "conversations"), Scratch(spark, "trie"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
@@ -79,6 +90,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_chat": op9_chat,
     "op10_warc": op10_warc,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 # Words of a text as the contracts define them; window functions are spelled
@@ -178,7 +190,38 @@ SELECT page_id, strlen(p.html)::BIGINT AS payload_bytes, sha1(p.html) AS payload
 FROM p LEFT JOIN k USING (html)
 """
 
+# crc32 of decimal text: a byte at a time, a bit at a time
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({}, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda k, z: xor(k >> 1, (k & 1) * 3988292384))), 4294967295)"""
+
+_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, turn, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS m,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(m ORDER BY turn NULLS FIRST, k) AS turns FROM t GROUP BY conv_id
+), s AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1:o.h], o.turns[o.h + 1:]) AS turns
+  FROM (SELECT *, {_CRC.format("conv_id::VARCHAR")} % 9 AS h FROM own) AS o LEFT JOIN own AS b ON b.conv_id = o.conv_id - o.conv_id % 5
+), p AS (
+  SELECT conv_id, len(turns) AS n, d, turns[1:d] AS node FROM s, unnest(range(0, len(turns) + 1)) AS u(d)
+), n AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256,
+         CASE WHEN d > 0 THEN (count(*) - 1) * strlen(node[d].text) ELSE 0 END AS saves, max(n) = d AS leaf
+  FROM p GROUP BY node, d
+), a AS (
+  SELECT node[1:e] AS node, e AS d, sum(saves) AS saved, count(*) FILTER (leaf) AS leaves, count(*) FILTER (d = e + 1) AS children
+  FROM n, unnest(range(0, d + 1)) AS u(e) GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, b.conv_id AS parent_conv_id, n.n_convs, a.children AS n_children, a.leaves AS n_leaves,
+       a.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN a ON a.node = n.node AND a.d = n.d LEFT JOIN n AS b ON n.d > 0 AND b.d = n.d - 1 AND b.node = n.node[1:n.d - 1]
+"""
+
 SQL = {
+    "op12_prefix_trie": _TRIE,
     "op5_topk": _TOPK,
     "op8_mixing": _MIXING,
     "op9_chat": _CHAT,

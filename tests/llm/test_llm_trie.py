@@ -1,0 +1,90 @@
+"""Prefix trie against a plain trie."""
+
+import hashlib
+import zlib
+
+import pytest
+from llm_helpers import clashing, rng
+
+from demandcast.llm import prefix_trie as P
+from demandcast.llm.common import Scratch
+from demandcast.llm.queries import conversation_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def sequences(rows):
+    """Turns per conversation as the contract of the query orders them."""
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn, role or "", text or ""))
+    key = {c: sorted(t, key=lambda x: (x[0] is not None, x[0], hashlib.sha256(f"{len(x[1].encode())}:{x[1]}{x[2]}".encode()).digest())) for c, t in own.items()}
+    return {c: [x[1:] for x in t] for c, t in key.items()}
+
+
+def rebuilt(own):
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - int(abs(c) % 5 * (1 if c > 0 else -1))
+        out[c] = own.get(base, [])[:h] + turns[h:]
+    return out
+
+
+def brute(seqs):
+    nodes = {}
+    for c, turns in seqs.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(c)
+    out = []
+    for node, members in nodes.items():
+        below = [x for x in nodes if x[:len(node)] == node]
+        kids = [x for x in below if len(x) == len(node) + 1]
+        leaves = [x for x in below if not any(y[:len(x)] == x and len(y) > len(x) for y in below)]
+        saved = sum((len(nodes[x]) - 1) * len(x[-1][1].encode()) for x in below if x)
+        ends = ",".join(str(c) for c in sorted(members) if len(seqs[c]) == len(node))
+        out.append((min(members), len(node), min(nodes[node[:-1]]) if node else None, len(members), len(kids), len(leaves), saved,
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def some_rows(seed, n_convs):
+    r, rows = rng(seed), []
+    for c in r.sample(range(-3, 3 * n_convs), n_convs):
+        for t in range(r.randrange(1, 12)):
+            rows.append((c, t, r.choice(["user", "assistant"]), r.choice(["é" * 3, "b", "", "long " * 5])))
+    rows += [(2000 + i, t, "user", f"same {t}") for i in range(40) for t in range(6)]  # many copies
+    rows += [(3000, t, "user", "hi") for t in range(3)]  # a proper prefix of the next
+    rows += [(3005, t, "user", "hi") for t in range(9)]
+    rows += [(4000, 1, None, None), (4000, 1, None, None), (4000, None, "user", "first"), (None, 1, "user", "none")]
+    rows += [(5, t, "user", str(t % 3)) for t in range(60)]  # a long one
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_a_plain_trie(spark, monkeypatch, seed):
+    monkeypatch.setattr(P, "CHUNK", 8)
+    monkeypatch.setattr(P, "HOT_SHARE", 20)
+    rows = some_rows(seed, 60)
+    df = clashing(spark.createDataFrame(rows, SCHEMA)).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that ranges split conversations
+    try:
+        turns, ids = P.conversations(df, Scratch(spark, "t"))
+        found = P.trie(turns, ids.select("conv_id"), Scratch(spark, "t")).collect()
+        again = conversation_trie(df, Scratch(spark, "t")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    own = sequences(rows)
+    assert sorted(map(tuple, found), key=repr) == brute(own)
+    assert sorted(map(tuple, again), key=repr) == brute(rebuilt(own))
+
+
+def test_nothing_and_turnless(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert conversation_trie(empty, Scratch(spark, "t")).count() == 0
+    # crc32("7") % 9 turns are dropped and conversation 5 is absent
+    h = zlib.crc32(b"7") % 9
+    rows = [(7, t, "user", "x" * 200_000) for t in range(max(h, 1))]
+    found = conversation_trie(spark.createDataFrame(rows, SCHEMA), Scratch(spark, "t")).collect()
+    assert sorted(map(tuple, found), key=repr) == brute(rebuilt(sequences(rows)))
