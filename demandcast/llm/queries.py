@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandcast.llm import chat, mixing, prefix_trie, quality_classifier, quality_rules, sentencepiece_bpe, simhash, substring_dedup, topk, toxicity, warc
+from demandcast.llm import chat, mixing, prefix_trie, quality_classifier, quality_rules, sentencepiece_bpe, simhash, structure_repair, substring_dedup, topk, toxicity, warc
 from demandcast.llm.common import Scratch, table
 
 
@@ -68,6 +68,17 @@ def op10_warc(spark, d):
     return warc.read(warc.build(table(spark, d, "pages"), Scratch(spark, "warc")))
 
 
+def repaired_conversations(conversations, scratch):
+    """Report and digests of the damaged conversations' repair."""
+    damaged = structure_repair.damage(conversations)
+    report, messages = structure_repair.repair(damaged, scratch)
+    return structure_repair.summary(conversations, report, messages)
+
+
+def op11_structure_repair(spark, d):
+    return repaired_conversations(table(spark, d, "conversations"), Scratch(spark, "repair"))
+
+
 def conversation_trie(conversations, scratch):
     """Trie of the conversations rebuilt to share beginnings."""
     turns, ids = prefix_trie.conversations(conversations, scratch)
@@ -90,6 +101,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_chat": op9_chat,
     "op10_warc": op10_warc,
+    "op11_structure_repair": op11_structure_repair,
     "op12_prefix_trie": op12_prefix_trie,
 }
 
@@ -220,7 +232,68 @@ SELECT n.conv_id, n.d AS depth, b.conv_id AS parent_conv_id, n.n_convs, a.childr
 FROM n JOIN a ON a.node = n.node AND a.d = n.d LEFT JOIN n AS b ON n.d > 0 AND b.d = n.d - 1 AND b.node = n.node[1:n.d - 1]
 """
 
+# Least (cost, audit) per grammar state, a row at a time; up to two messages
+# are inserted after each row.
+_REPAIR = rf"""
+WITH RECURSIVE d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_CRC.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations
+), e AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM d, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS u(copy)
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM e
+), f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+                 WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE 'f' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
+  FROM p
+), keeps(st, init, nxt) AS (
+  VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), inserts(st, nxt, letters, lines) AS (
+  VALUES (0, 0, '', []::VARCHAR[]), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []),
+         (0, 2, 'I', ['user:']), (1, 2, 'I', ['user:']), (2, 3, 'I', ['assistant:']), (3, 2, 'I', ['user:']),
+         (0, 3, 'II', ['user:', 'assistant:']), (1, 3, 'II', ['user:', 'assistant:'])
+), r AS (
+  SELECT c.conv_id, 0::BIGINT AS i, nxt AS st, (2 * length(letters))::BIGINT AS cost, letters AS audit, lines
+  FROM (SELECT DISTINCT conv_id FROM e) AS c, inserts WHERE inserts.st = 0
+  UNION ALL
+  SELECT conv_id, i, st, x.cost, x.audit, x.lines FROM (
+    SELECT g.conv_id, g.i, n.nxt AS st, min({{'cost': g.cost + 2 * length(n.letters), 'audit': g.audit || n.letters, 'lines': list_concat(g.lines, n.lines)}}) AS x
+    FROM (
+      SELECT r.conv_id, r.i + 1 AS i, r.st, r.cost + 3 AS cost, r.audit || 'D' AS audit, r.lines
+      FROM r JOIN f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.pos = r.i + 1
+      UNION ALL
+      SELECT r.conv_id, r.i + 1, keeps.nxt, r.cost + (f.fault = 't')::INT, r.audit || 'K', list_append(r.lines, f.role || ':' || f.text)
+      FROM r JOIN f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.pos = r.i + 1 AND f.fault IN ('t', 'f')
+      JOIN keeps ON keeps.st = r.st AND keeps.init = left(f.role, 1)
+      UNION ALL
+      SELECT r.conv_id, r.i + 1, CASE r.st WHEN 2 THEN 3 ELSE 2 END, r.cost + 2 + (f.fault = 't')::INT, r.audit || 'R',
+             list_append(r.lines, CASE r.st WHEN 2 THEN 'assistant' ELSE 'user' END || ':' || f.text)
+      FROM r JOIN f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.pos = r.i + 1 AND f.fault IN ('t', 'f')
+    ) AS g JOIN inserts AS n ON n.st = g.st GROUP BY ALL
+  )
+), n AS (
+  SELECT conv_id, count(*) AS n, (max(turn) - min(turn) + 1 - count(DISTINCT turn))::BIGINT AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id
+), best AS (
+  SELECT n.conv_id, min({{'cost': r.cost, 'audit': r.audit, 'lines': r.lines}}) AS x
+  FROM n JOIN r ON r.conv_id IS NOT DISTINCT FROM n.conv_id AND r.i = n.n WHERE r.st IN (0, 3) GROUP BY n.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(x.cost, 0)::BIGINT AS cost, coalesce(x.audit, '') AS audit,
+       sha256(coalesce(array_to_string(x.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 SQL = {
+    "op11_structure_repair": _REPAIR,
     "op12_prefix_trie": _TRIE,
     "op5_topk": _TOPK,
     "op8_mixing": _MIXING,
