@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandcast.llm import chat, mixing, prefix_trie, quality_classifier, quality_rules, sentencepiece_bpe, simhash, structure_repair, substring_dedup, topk, toxicity, warc
+from demandcast.llm import chat, collision_ann, mixing, prefix_trie, quality_classifier, quality_rules, sentencepiece_bpe, simhash, structure_repair, substring_dedup, topk, toxicity, warc
 from demandcast.llm.common import Scratch, table
 
 
@@ -90,6 +90,11 @@ def op12_prefix_trie(spark, d):
     return conversation_trie(table(spark, d, "conversations"), Scratch(spark, "trie"))
 
 
+def op13_nearest(spark, d):
+    vectors = table(spark, d, "embeddings")
+    return collision_ann.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), Scratch(spark, "nearest"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_sentencepiece": op2_sentencepiece,
@@ -103,6 +108,7 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_structure_repair": op11_structure_repair,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_nearest": op13_nearest,
 }
 
 # Words of a text as the contracts define them; window functions are spelled
@@ -246,9 +252,11 @@ WITH RECURSIVE d AS (
 ), p AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM e
 ), f AS (
-  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b'
                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
-                 WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE 'f' END AS fault,
+                 WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 't' ELSE 'f' END AS fault,
          lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
   FROM p
 ), keeps(st, init, nxt) AS (
