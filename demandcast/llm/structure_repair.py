@@ -360,9 +360,13 @@ def repair(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     place = [F.col("b.conv_id").eqNullSafe(F.col("c.conv_id")), F.col("b.part") == F.col("c.part"), F.col("b.block") == F.col("c.block")]
     cut = blocks.filter("not whole").alias("b").join(chosen.select("conv_id", "part", "block", "entry", "edits").alias("c"), place).select(
         *[f"b.{c}" for c in body], "c.entry", "c.edits")
-    placed = map_arrow(ready.unionByName(cut), lambda b: _batches(_messages(b), _MESSAGES), "conv_id long, part int, block long, at long, role string, row_key binary")
+    edits = map_arrow(ready.unionByName(cut), lambda b: _batches(_messages(b), _MESSAGES), "conv_id long, part int, block long, at long, role string, row_key binary")
+    placed = scratch.write(edits, "edits")
     texts = keyed(rows).select("row_key", "text").dropDuplicates(["row_key"])
-    messages = placed.join(texts, "row_key", "left").select("conv_id", "part", "block", "at", "role", F.coalesce("text", F.lit("")).alias("text"))
+    columns = ["conv_id", "part", "block", "at", "role"]
+    kept = placed.join(texts, "row_key").select(*columns, F.coalesce("text", F.lit("")).alias("text"))
+    # inserted messages have no key to meet on
+    messages = kept.unionByName(placed.filter("row_key is null").select(*columns, F.lit("").alias("text")))
     return report, messages
 
 
