@@ -6,22 +6,21 @@ scaled to norm 1, so a larger product is a smaller distance. Each of
 ``projections`` fixed random directions is a hash function by itself: the
 projections of a chunk of vectors form one sorted array per direction.
 
-Query-centred windows are opened in every sorted array; a vector in a window
-collides with the query in that direction. The windows of all directions grow
-together (virtual rehashing: a larger radius is a wider window over the same
-array), and a vector that collides in at least ``share`` of the directions is a
-candidate. Two passes over the tiles (chunk x block of queries):
-
-1. windows grow level by level, and every tile reports how many of its vectors
-   are candidates at each level. Summed over the tiles, the first level with
-   ``wanted`` = least + fraction * number of vectors candidates is the query's;
-2. the windows of that level are opened, every candidate is verified by its
-   exact inner product, and the k nearest of each tile are merged.
-
-The last level has no bound, so a query with fewer vectors than wanted verifies
-all of them. All vectors are indexed; nothing is fitted on a sample, directions
-come from a seed. Every vector meets every query in a tile of bounded size, as
-the search is over a stated query set; a tile returns k rows a query.
+Query-centred windows are opened in every sorted array; a vector whose rank
+lies in a window collides with the query in that direction. The windows of all
+directions grow or shrink together by levels (virtual rehashing: a larger radius
+is a wider window over the same array), and a vector that collides in at least
+``share`` of the directions is a candidate. A query's level in a chunk is the
+first at which the chunk has its part of ``wanted`` = ``factor`` * sqrt(number
+of vectors) candidates, ``least`` at least. Candidates are verified by their
+exact inner product, and the k nearest of each chunk are merged.
+
+The last level has no bound, so a chunk with fewer vectors than its part
+verifies all of them. All vectors are indexed; nothing is fitted on a sample,
+directions come from a seed. Vectors are dealt into chunks by a hash of their
+id, so near ones spread over chunks. Every chunk meets every block of queries
+in a tile of bounded size, as the search is over a stated query set; a task
+merges its tiles and returns k rows a query.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components
 take no part; a query meets vectors of its own length only; a query's own are
@@ -46,12 +45,13 @@ from demandcast.llm.common import map_arrow, pick, rows_in, Scratch
 
 PROJECTIONS = 64
 SHARE = 0.75  # of the directions, to be a candidate
-LEAST, FRACTION = 1000, 0.2  # candidates wanted: LEAST + FRACTION * vectors
-FIRST_WIDTH, GROWTH, LEVELS = 1.0, 1.06, 32  # half-widths of the windows; the last is unbounded
-CHUNK_ROWS, QUERY_ROWS = 4096, 512
+FACTOR, LEAST = 20, 64  # candidates wanted: FACTOR * sqrt(vectors), LEAST in a chunk
+FIRST_WIDTH, GROWTH, LEVELS = 0.01, 1.06, 200  # half-widths of the windows; the last is unbounded
+FIRST_GUESS = 84  # level to begin with: about the width for unrelated vectors
+CHUNK_ROWS, QUERY_ROWS = 4096, 256
 SEED = 13
 
-_INDEX = "dim int, n int, ids binary, vals binary, keys binary, places binary"
+_INDEX = "dim int, n int, ids binary, vals binary, keys binary, ranks binary"
 _ASKED = "dim int, n int, q_ids binary, q_vals binary, q_keys binary"
 
 
@@ -64,10 +64,6 @@ def directions(dim: int, count: int, seed: int = SEED) -> np.ndarray:
     return np.concatenate(made, axis=1)[:, :count] * np.sqrt(dim)
 
 
-def radius(level: int) -> float:
-    return np.inf if level >= LEVELS - 1 else FIRST_WIDTH * GROWTH**level
-
-
 def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(_id, _vec, dim, norm) of the rows that take part."""
     vec = F.col("_vec")
@@ -79,11 +75,12 @@ def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return good.select("_id", "_vec", F.size(vec).alias("dim"), F.least(F.col("peak") * scaled, F.lit(1.7e308)).alias("norm"))
 
 
-def _packed(vectors: DataFrame, size: int, projections: int, index: bool) -> DataFrame:
-    """Up to ``size`` vectors (_id, _vec, dim, scale) of one length a row, with
-    their projections: sorted with the places for an index, plain for queries."""
+def _packed(vectors: DataFrame, size: int, groups: int, projections: int, index: bool) -> DataFrame:
+    """About ``size`` vectors (_id, _vec, dim, scale) of one length a row, with
+    their projections: sorted, with the rank of each vector, for an index; plain
+    for queries."""
     names = [("dim", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("vals", pa.binary()), ("keys", pa.binary())]
-    schema = pa.schema(names + ([("places", pa.binary())] if index else []))
+    schema = pa.schema(names + ([("ranks", pa.binary())] if index else []))
 
     def record(dim, ids, vals, scale):
         unit = vals / scale[:, None]
@@ -91,41 +88,56 @@ def _packed(vectors: DataFrame, size: int, projections: int, index: bool) -> Dat
         keys = (np.column_stack([unit, lift]) @ directions(dim + 1, projections)).T.astype("<f4")
         blobs = [ids.astype("<i8"), vals.astype("<f8")]
         if index:
-            places = np.argsort(keys, axis=1, kind="stable")
-            blobs += [np.take_along_axis(keys, places, axis=1), places.astype("<u2")]
+            blobs += sorted_arrays(keys)
         else:
             blobs.append(np.ascontiguousarray(keys.T))
         return pa.RecordBatch.from_arrays(
             [pa.array([dim], pa.int32()), pa.array([len(ids)], pa.int32())] + [pa.array([b.tobytes()], pa.binary()) for b in blobs], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        place, held = None, []
+
+        def flush():
+            ids, vals, scale = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            for at in range(0, len(ids), 2 * size):  # one id may stand in any number of rows
+                yield record(place[0], ids[at:at + 2 * size], vals[at:at + 2 * size], scale[at:at + 2 * size])
+
         for batch in rows_in(batches, size):
-            ids, dims, scale = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False)) for i in (0, 2, 3))
+            ids, dims, scale, part = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False)) for i in (0, 2, 3, 4))
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(dims)
-            for dim in np.unique(dims):
-                where = np.flatnonzero(dims == dim)
-                held.setdefault(int(dim), []).append((ids[where], flat[(ends[where] - dim)[:, None] + np.arange(dim)], scale[where]))
-                if sum(len(h[0]) for h in held[int(dim)]) >= size:
-                    ids_, vals, scales = (np.concatenate(x) for x in zip(*held.pop(int(dim))))
-                    yield record(int(dim), ids_[:size], vals[:size], scales[:size])
-                    if len(ids_) > size:
-                        held[int(dim)] = [(ids_[size:], vals[size:], scales[size:])]
-        for dim, parts in held.items():
-            ids_, vals, scales = (np.concatenate(x) for x in zip(*parts))
-            yield record(dim, ids_, vals, scales)
+            edges = np.flatnonzero((np.diff(dims) != 0) | (np.diff(part) != 0)) + 1
+            for a, b in zip([0, *edges], [*edges, len(ids)]):
+                if place != (dims[a], part[a]) or sum(len(h[0]) for h in held) >= 2 * size:
+                    if held:
+                        yield from flush()
+                    place = int(dims[a]), int(part[a])
+                held.append((ids[a:b], flat[ends[a] - dims[a]:ends[b - 1]].reshape(b - a, -1), scale[a:b]))
+        if held:
+            yield from flush()
+
+    # dealt by a hash of the id: groups of about ``size``, whatever the number of partitions
+    dealt = vectors.withColumn("part", F.pmod(F.xxhash64("_id"), F.lit(groups))).repartition("dim", "part").sortWithinPartitions("dim", "part")
+    return map_arrow(dealt.select("_id", "_vec", "dim", "scale", "part"), run, _INDEX if index else _ASKED)
 
-    return map_arrow(vectors.select("_id", "_vec", "dim", "scale"), run, _INDEX if index else _ASKED)
+
+def sorted_arrays(keys: np.ndarray) -> list[np.ndarray]:
+    """Each row of ``keys`` sorted, and the rank of each of its entries."""
+    order = np.argsort(keys, axis=1, kind="stable")
+    ranks = np.empty(order.shape, "<u2")
+    np.put_along_axis(ranks, order, np.arange(order.shape[1], dtype="<u2")[None], axis=1)
+    return [np.take_along_axis(keys, order, axis=1), ranks]
 
 
 class Chunk:
     """The sorted arrays of a chunk, and windows over them."""
 
-    def __init__(self, n: int, keys: bytes, places: bytes):
-        self.n = n
+    def __init__(self, n: int, keys: bytes, ranks: bytes, threshold: int):
+        self.n, self.threshold = n, threshold
         self.keys = np.frombuffer(keys, "<f4").reshape(-1, n)
-        self.places = np.frombuffer(places, "<u2").reshape(-1, n)
+        self.ranks = np.frombuffer(ranks, "<u2").reshape(-1, n)
+        self.offset, self.inside = np.empty(self.ranks.shape, np.uint16), np.empty(self.ranks.shape, bool)
 
     def windows(self, centres: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and end of each query's window in each sorted array, from
@@ -135,41 +147,40 @@ class Chunk:
         end = np.stack([np.searchsorted(k, x, "right") for k, x in zip(self.keys, high)], axis=1)
         return begin, end
 
-    def collisions(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Per vector, in how many of the windows it lies."""
-        return np.bincount(np.concatenate([p[a:b] for p, a, b in zip(self.places, begin, end)]), minlength=self.n)
-
-
-def _levels_of(chunk: Chunk, centres: np.ndarray, wanted: int, threshold: int) -> Iterator[tuple[int, int, int]]:
-    """(query, level, candidates) from the first level on until the chunk alone
-    has as many as wanted; windows only grow, so each level adds its rims."""
-    open_ = np.arange(len(centres))
-    counts = np.zeros((len(centres), chunk.n), np.int16)
-    old = None
-    for level in range(LEVELS):
-        if not len(open_):
-            return
-        if level == LEVELS - 1:
-            for q in open_:
-                yield int(q), level, chunk.n
-            return
-        begin, end = chunk.windows(centres[open_], np.full(len(open_), radius(level)))
-        left = []
-        for row, q in enumerate(open_):
-            if old is None:
-                counts[q] += chunk.collisions(begin[row], end[row]).astype(np.int16)
-            else:
-                counts[q] += (chunk.collisions(begin[row], old[0][row]) + chunk.collisions(old[1][row], end[row])).astype(np.int16)
-            found = int((counts[q] >= threshold).sum())
-            if found:
-                yield int(q), level, found
-            if found < min(wanted, chunk.n):
-                left.append(row)
-        old = begin[left], end[left]
-        open_ = open_[left]
-
-
-_FOUND = pa.schema([("block", pa.int64()), ("row", pa.int32()), ("level", pa.int32()), ("found", pa.int64())])
+    def candidates(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Places of the vectors that lie in enough of the windows."""
+        wide = end - begin
+        np.subtract(self.ranks, begin.astype(np.uint16)[:, None], out=self.offset)  # wraps below the window's begin
+        np.less(self.offset, np.minimum(wide, 0xFFFF).astype(np.uint16)[:, None], out=self.inside)
+        return np.flatnonzero(np.add.reduce(self.inside, axis=0, dtype=np.uint16) >= self.threshold)
+
+    def search(self, centres: np.ndarray, wanted: int, guess: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """Per query the candidates of its level, and the levels: the first
+        with ``wanted`` candidates. Levels are tried from ``guess`` on in
+        growing steps, then halved; all queries take a step together."""
+        n = len(centres)
+        short, enough = np.full(n, -1), np.full(n, LEVELS - 1)  # levels known to have too few, and enough
+        found: list[np.ndarray] = [np.arange(self.n)] * n  # at the unbounded level
+        level, step, open_ = np.full(n, min(guess, LEVELS - 2)), 1, np.arange(n)
+        if wanted >= self.n:
+            return found, enough
+        while len(open_):
+            begin, end = self.windows(centres[open_], WIDTHS[level[open_]])
+            for row, q in enumerate(open_):
+                some = self.candidates(begin[row], end[row])
+                if len(some) >= wanted:
+                    enough[q], found[q] = level[q], some
+                else:
+                    short[q] = level[q]
+            open_ = open_[enough[open_] - short[open_] > 1]
+            lo, hi = short[open_], enough[open_]
+            half = (lo + hi) // 2
+            level[open_] = np.where(hi == LEVELS - 1, np.minimum(lo + step, np.maximum(half, lo + 1)), np.where(lo < 0, np.maximum(hi - step, half), half))
+            step *= 2
+        return found, enough
+
+
+WIDTHS = np.array([FIRST_WIDTH * GROWTH**i for i in range(LEVELS - 1)] + [np.inf], np.float32)
 _HITS = pa.schema([("block", pa.int64()), ("row", pa.int32()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
@@ -177,84 +188,88 @@ def _threshold(projections: int) -> int:
     return max(1, int(np.ceil(SHARE * projections)))
 
 
-def _counted(tiles: DataFrame, projections: int) -> DataFrame:
-    """(block, row, level, found) of every tile, phase 1."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows_in(batches, 1):
-            r = batch.to_pylist()[0]
-            chunk, centres = Chunk(r["n"], r["keys"], r["places"]), np.frombuffer(r["q_keys"], "<f4").reshape(-1, projections)
-            found = list(_levels_of(chunk, centres, r["wanted"], _threshold(projections)))
-            if found:
-                q, level, n = zip(*found)
-                yield pa.RecordBatch.from_arrays([pa.array([r["block"]] * len(q), pa.int64()), pa.array(q, pa.int32()), pa.array(level, pa.int32()),
-                                                  pa.array(n, pa.int64())], schema=_FOUND)
+class _Best:
+    """The k best (vec_id, score) per query of the blocks a task meets."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.held: dict[tuple[int, int], tuple[int, np.ndarray, np.ndarray]] = {}
 
-    return map_arrow(tiles.select("block", "q_keys", "wanted", "n", "keys", "places"), run, "block long, row int, level int, found long")
+    def add(self, block: int, row: int, query: int, ids: np.ndarray, score: np.ndarray) -> None:
+        if (block, row) in self.held:
+            _, old_ids, old_score = self.held[block, row]
+            ids, score = np.concatenate([old_ids, ids]), np.concatenate([old_score, score])
+        if len(ids) > self.k:
+            line = np.partition(score, len(score) - self.k)[len(score) - self.k]
+            ids, score = ids[score >= line], score[score >= line]
+        best = np.lexsort((ids, -score))[:self.k]
+        self.held[block, row] = query, ids[best], score[best]
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        rows = [(block, row, query, int(i), float(x)) for (block, row), (query, ids, score) in self.held.items() for i, x in zip(ids, score)]
+        self.held.clear()
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _HITS)], schema=_HITS)
+
+
+HELD_QUERIES = 50_000  # queries whose best a task holds before it passes them on
 
 
 def _verified(tiles: DataFrame, projections: int, k: int) -> DataFrame:
     """(block, row, query_id, vec_id, score): the k nearest candidates of each
-    query in every tile, phase 2."""
+    query among the chunks a task meets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guess, best = FIRST_GUESS, _Best(k)
         for batch in rows_in(batches, 1):
             r = batch.to_pylist()[0]
-            chunk, centres = Chunk(r["n"], r["keys"], r["places"]), np.frombuffer(r["q_keys"], "<f4").reshape(-1, projections)
+            chunk = Chunk(r["n"], r["keys"], r["ranks"], _threshold(projections))
             ids, q_ids = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["q_ids"], "<i8")
             vals, q_vals = (np.frombuffer(r[c], "<f8").reshape(-1, r["dim"]) for c in ("vals", "q_vals"))
-            width = np.array([radius(LEVELS if v is None else v) for v in r["levels"]], np.float32)
-            begin, end = chunk.windows(centres, width)
-            out: list[tuple] = []
-            for q in range(len(q_ids)):
-                some = np.flatnonzero((chunk.collisions(begin[q], end[q]) >= _threshold(projections)) & (ids != q_ids[q]))
+            found, levels = chunk.search(np.frombuffer(r["q_keys"], "<f4").reshape(-1, projections), max(r["least"], -(-r["wanted"] * r["n"] // r["total"])), guess)
+            guess = int(np.median(levels))
+            for q, some in enumerate(found):
+                some = some[ids[some] != q_ids[q]]
                 with np.errstate(over="ignore", invalid="ignore"):
                     score = np.nan_to_num((vals[some] * q_vals[q]).sum(axis=1), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
-                if len(some) > k:
-                    line = np.partition(score, len(score) - k)[len(score) - k]
-                    some, score = some[score >= line], score[score >= line]
-                best = np.lexsort((ids[some], -score))[:k]
-                out += [(r["block"], q, int(q_ids[q]), int(ids[some[b]]), float(score[b])) for b in best]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _HITS)], schema=_HITS)
-
-    columns = ["block", "dim", "q_ids", "q_vals", "q_keys", "levels", "n", "ids", "vals", "keys", "places"]
+                best.add(r["block"], q, int(q_ids[q]), ids[some], score)
+            if len(best.held) > HELD_QUERIES:
+                yield from best.take()
+        yield from best.take()
+
+    columns = ["block", "dim", "q_ids", "q_vals", "q_keys", "wanted", "least", "total", "n", "ids", "vals", "keys", "ranks"]
     return map_arrow(tiles.select(*columns), run, "block long, row int, query_id long, vec_id long, score double")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, scratch: Scratch, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-            projections: int = PROJECTIONS, least: int = LEAST, fraction: float = FRACTION, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+            projections: int = PROJECTIONS, factor: float = FACTOR, least: int = LEAST, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest other vectors found."""
-    if not 0 < chunk_rows <= 1 << 16:
-        raise ValueError("a chunk holds 1 to 65536 vectors")
-    base = valid_vectors(vectors, id_col, vec_col)
+    if not 0 < 2 * chunk_rows < 1 << 16:
+        raise ValueError("a chunk holds 1 to 32767 vectors")
+    base, wants = valid_vectors(vectors, id_col, vec_col), valid_vectors(queries, id_col, vec_col)
     # a row per vector length: D lengths take D * D / 2 components, so few
     sizes = scratch.write(base.groupBy("dim").agg(F.max("norm").alias("scale"), F.count(F.lit(1)).alias("total")), "sizes")
-    scaled = base.join(F.broadcast(sizes.select("dim", "scale")), "dim")
+    chunks = max(1, -(-(sizes.agg(F.sum("total")).first()[0] or 0) // chunk_rows))
+    blocks = max(1, -(-wants.count() // QUERY_ROWS))
     number = F.monotonically_increasing_id()
-    index = scratch.write(_packed(scaled, chunk_rows, projections, True).withColumn("chunk", number), "index")
-    wanted = F.ceil(F.lit(k + least) + F.lit(float(fraction)) * F.col("total")).cast("long").alias("wanted")
-    asked = _packed(valid_vectors(queries, id_col, vec_col).withColumnRenamed("norm", "scale"), QUERY_ROWS, projections, False)
+    scaled = base.join(F.broadcast(sizes.select("dim", "scale")), "dim")
+    index = scratch.write(_packed(scaled, chunk_rows, chunks, projections, True).withColumn("chunk", number), "index")
+    asked = _packed(wants.withColumnRenamed("norm", "scale"), QUERY_ROWS, blocks, projections, False)
     asked = scratch.write(asked.toDF("dim", "q_n", "q_ids", "q_vals", "q_keys").join(F.broadcast(sizes), "dim").select(
-        number.alias("block"), "dim", "q_n", "q_ids", "q_vals", "q_keys", wanted), "queries")
-
-    # a tile for every chunk and query block of one length: chunks are dealt
-    # into slots, and a query block goes to every slot once
-    slots = max(1, min(index.count(), 4096))
-    dealt = index.withColumn("slot", F.pmod(F.xxhash64("chunk"), F.lit(slots)))
-
-    def tiles(blocks: DataFrame) -> DataFrame:
-        sent = blocks.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
-        return sent.join(dealt.drop("chunk"), ["dim", "slot"])
-
-    counts = _counted(tiles(asked.select("block", "dim", "q_keys", "wanted")), projections)
-    summed = counts.groupBy("block", "row", "level").agg(F.sum("found").alias("found"))
-    enough = summed.join(asked.select("block", "wanted"), "block").filter("found >= wanted").groupBy("block", "row").agg(F.min("level").alias("level"))
-    by_block = enough.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("row", "level"))).alias("known"))  # QUERY_ROWS entries at most
-    rows = F.sequence(F.lit(0), F.col("q_n") - 1)
-    known = F.coalesce("known", F.create_map().cast("map<int,int>"))
-    ready = asked.join(by_block, "block", "left").withColumn("known", known).withColumn("levels", F.transform(rows, lambda r: F.try_element_at("known", r)))
-    ready = scratch.write(ready.drop("known", "wanted", "q_n"), "levels")
-
-    hits = _verified(tiles(ready), projections, k)
+        number.alias("block"), "dim", "q_ids", "q_vals", "q_keys", "total", F.lit(max(k + 1, least)).cast("long").alias("least"),
+        F.ceil(F.lit(float(factor)) * F.sqrt("total")).cast("long").alias("wanted")), "queries")
+
+    # a tile for every chunk and query block of one length, on a grid: chunks
+    # are dealt into columns and blocks into rows, a cell is a task's work. Rows
+    # come first, as a query's best are merged over the cells of its row
+    cells = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    high = min(blocks, cells)
+    wide = min(chunks, -(-cells // high))
+
+    def dealt(df, number, own, own_n, other, other_n):
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other_n - 1).cast("long")))
+        return df.withColumn(own, F.pmod(F.xxhash64(number), F.lit(own_n))).withColumn(other, every)
+
+    tiles = dealt(asked, "block", "high", high, "wide", wide).join(dealt(index, "chunk", "wide", wide, "high", high).drop("chunk"), ["dim", "high", "wide"])
     order = Window.partitionBy("block", "row").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+    return _verified(tiles, projections, k).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast(T.IntegerType()).alias("rank"), "vec_id", "score")

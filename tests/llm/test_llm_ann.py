@@ -44,6 +44,7 @@ def test_small_tables_are_exact(spark):
     rows += [(500, [1.0, 2.0]), (501, [3.0, -1.0]), (520, [1.0] * 3), (540, [2.0**63] * 12), (541, [2.0**-66] * 12)]
     want = {q: x[0] for q, x in brute(rows).items() if x[0]}
     got = run(spark, rows, chunk_rows=16)
+    assert run(spark, rows, parts=9, chunk_rows=40) == got
     assert got.keys() == want.keys()
     for q, near in want.items():
         assert [x[:2] for x in got[q]] == [x[:2] for x in near]
@@ -67,26 +68,29 @@ def test_recall(spark, kind):
     if kind == "norms":
         x *= r.uniform(0.5, 1.5, 3000)[:, None]
     rows = [(i, [float(c) for c in v.astype(np.float32)]) for i, v in enumerate(x)]
-    got, want = run(spark, rows, least=300, chunk_rows=700), brute(rows)
+    got, want = run(spark, rows, chunk_rows=700), brute(rows)
     hit = sum(len({i for _, i, _ in got[q]} & {i for _, i, _ in near[0]}) for q, near in want.items())
     assert hit >= 0.93 * 20 * len(want)
-    again = run(spark, rows, parts=7, least=300, chunk_rows=500)  # levels are global: chunks do not matter
-    assert sum(again[q] == got[q] for q in got) >= len(got) - 1
 
 
-def test_windows_and_threshold_decide():
-    """The first level counts what lies in the windows, by plain comparison."""
+def test_level_is_the_first_with_enough():
+    """Candidates and levels, by plain comparison of projections."""
     r = np.random.default_rng(6)
     x = r.normal(size=(500, 16))
     x /= np.linalg.norm(x, axis=1)[:, None]
     keys = (np.column_stack([x, np.zeros(500)]) @ A.directions(17, 32)).T.astype("<f4")
-    places = np.argsort(keys, axis=1, kind="stable")
-    chunk = A.Chunk(500, np.take_along_axis(keys, places, axis=1).tobytes(), places.astype("<u2").tobytes())
-    centres = keys.T[:5]
-    want = {}
-    for q in range(5):
-        for level in range(A.LEVELS - 1):
-            want[q, level] = int(((np.abs(keys.T - centres[q]) <= np.float32(A.radius(level))).sum(axis=1) >= 24).sum())
-    seen = list(A._levels_of(chunk, centres, 200, 24))
-    assert all(abs(want[q, level] - found) <= 1 for q, level, found in seen if level < A.LEVELS - 1)
-    assert {q for q, _, _ in seen} == set(range(5)) and all(max(f for p, _, f in seen if p == q) >= 200 for q in range(5))
+    ordered, ranks = A.sorted_arrays(keys)
+    chunk = A.Chunk(500, ordered.tobytes(), ranks.tobytes(), 24)
+    centres = np.concatenate([keys.T[:5], 9 + keys.T[5:7], keys.T[7:9] * 0])
+
+    def plain(q, level):
+        low, high = centres[q] - A.WIDTHS[level], centres[q] + A.WIDTHS[level]
+        return np.flatnonzero(((keys.T >= low) & (keys.T <= high)).sum(axis=1) >= 24)
+
+    for wanted in (1, 60, 499):
+        for guess in (0, A.FIRST_GUESS, 198):
+            found, levels = chunk.search(centres, wanted, guess)
+            for q, (some, level) in enumerate(zip(found, levels)):
+                assert some.tolist() == plain(q, level).tolist() and len(some) >= wanted
+                assert level == 0 or len(plain(q, level - 1)) < wanted
+    assert chunk.search(centres, 500, 3)[1].tolist() == [A.LEVELS - 1] * len(centres)
