@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from demandcast.operators.checks import check_required_columns
 from demandcast.schemas import CREDIT_COLUMNS, CREDIT_SCHEMA, PANEL_COLUMNS, PANEL_SCHEMA
+from demandcast.sources import quoted_csv
 
 logger = logging.getLogger(__name__)
 
@@ -34,6 +35,10 @@ FORECAST_DEEPAR_TABLE = "forecast_deepar"
 FORECAST_ENSEMBLE_TABLE = "forecast_ensemble"
 
 
+# One CSV dialect for every reader: a quote inside a quoted field is doubled.
+DIALECT = {"quote": '"', "escape": '"'}
+
+
 class IngestError(Exception):
     """Reading, validating or writing a landing file failed."""
 
@@ -50,18 +55,28 @@ def artefact_path(directory: str, name: str) -> str:
     return f"{directory.rstrip('/')}/{name}.parquet"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None, line_breaks: bool = True) -> DataFrame:
     """Read a headered CSV; declared columns are cast by name, others stay text.
 
-    Quoted fields may hold doubled quotes and line breaks. Line breaks need
-    ``multi_line``, which makes a file one split; switch it off for large
-    files without them. Every file of a folder must have the same header: one
-    with other columns, or in another order, fails the job.
+    Quoted fields may hold doubled quotes and line breaks. Files are read in
+    splits in either case: a first pass counts quotes per split, and only if
+    some record goes over a line break are the lines joined again (see
+    ``demandcast.sources.quoted_csv``). ``line_breaks=False`` saves the pass
+    for files known to have none. Every file of a folder must have the same
+    header: one with other columns, or in another order, fails the job.
     """
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
-    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    paths = path if isinstance(path, str) else list(path)
+    reader = spark.read.options(**DIALECT).option("header", True).option("mode", "FAILFAST")
     try:
-        names = reader.option("inferSchema", False).csv(path).columns
+        # the header alone may go over a break, too; only the first record is read
+        first = paths if isinstance(paths, str) else paths[0]
+        names = reader.option("inferSchema", False).option("multiLine", True).csv(first).columns
+        if not names:
+            raise IngestError(f"no header in {path}")
+        raw = quoted_csv.read_quoted(spark, paths, names, DIALECT) if line_breaks else None
+        if raw is None:
+            as_text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+            raw = reader.schema(as_text).option("multiLine", False).option("enforceSchema", False).csv(paths)
     except AnalysisException as err:
         if _condition(err) == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err):
             # Fixed value: callers match "File not found".
@@ -69,10 +84,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         if "Permission denied" in str(err):
             raise IngestError(f"no permission to read {path}") from None
         raise
-    if not names:
-        raise IngestError(f"no header in {path}")
-    as_text = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    raw = reader.schema(as_text).option("enforceSchema", False).csv(path)
     if schema is None:
         return raw
     types = {f.name: f.dataType for f in schema.fields}
