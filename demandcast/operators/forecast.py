@@ -8,7 +8,7 @@ slot suffix. The producers here are Spark jobs over the feature table:
   last observed week (last units, or the 4-week mean); spread = exact
   empirical quantiles of the series' one-step changes (pooled over the SKU
   for a series with little history), widened by sqrt(k) for step k. Pure
-  DataFrame: one aggregation over two grouping sets of the weekly table.
+  DataFrame; quantiles are read off ranks, no group is collected.
 * ``regression_quantile_forecast`` (in ``demandcast.operators.regression``):
   one gradient-boosted model shared by all series.
 """
@@ -17,10 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandcast.functions.quantiles import clip_lower
+from demandcast.functions.ranks import counted_quantiles, interpolated
 from demandcast.operators.features import series_window
 from demandcast.schemas import DEFAULT_HORIZON_WEEKS, QUANTILES, SERIES_KEYS, qname
 
@@ -56,43 +57,36 @@ def naive_quantile_forecast(
     spread is 0. Values are rounded to
     ``decimals`` and clamped at 0 unless ``clamp`` is False.
 
-    Per-series state is bounded by the number of weeks of the series (and
-    per-SKU state by regions x weeks), never by transaction volume: the
-    input is the weekly feature table.
+    A series' changes are ranked within the series, whose rows are its observed
+    weeks, in the partitioning its window has already. Only SKUs with a thin
+    series are pooled; their changes, counted per SKU, are ranked in buckets
+    (``demandcast.functions.ranks``), so a SKU sold in any number of regions
+    never meets in one task.
     """
+    series = Window.partitionBy(*SERIES_KEYS)
     changes = features.select(
         *SERIES_KEYS,
         "week",
         F.col(level_col).cast("double").alias("_level"),
-        (F.col("units_sold") - F.lag("units_sold", 1).over(series_window())).alias("_change"),
+        (F.col("units_sold") - F.lag("units_sold", 1).over(series_window())).cast("double").alias("_change"),
     )
-    # One aggregation pass over two grouping sets: per series and per SKU
-    # (no grand total). A SKU group holds its regions x weeks rows.
-    agg = changes.groupingSets([list(SERIES_KEYS), ["sku"]], "sku", "region").agg(
-        F.grouping_id().alias("_gid"),
-        F.max("week").alias("_last_week"),
-        F.max_by("_level", "week").alias("_level"),
-        F.count("_change").alias("_n_changes"),
-        # one map of distinct changes per group, whatever the number of quantiles
-        F.percentile("_change", [float(q) for q in quantiles]).alias("_own"),
-    )
-    agg = agg.select("*", *[F.get("_own", F.lit(i)).alias(f"_own{i}") for i in range(len(quantiles))]).drop("_own")
-    series = agg.filter(F.col("_gid") == 0).drop("_gid")
-    by_sku = agg.filter(F.col("_gid") == 1).select(
-        "sku", *[F.col(f"_own{i}").alias(f"_pool{i}") for i in range(len(quantiles))]
-    )
-    stats = series.join(by_sku, on="sku", how="left")
+    by_size = series.orderBy(F.col("_change").asc_nulls_last())
+    ranked = changes.select("*", (F.row_number().over(by_size) - 1).alias("_rank"), F.count("_change").over(series).alias("_n"))
+    own = [interpolated(F.col("_change"), F.col("_rank"), F.col("_rank"), F.col("_n"), q).alias(f"_own{i}") for i, q in enumerate(quantiles)]
+    stats = ranked.groupBy(*SERIES_KEYS).agg(
+        F.max("week").alias("_last_week"), F.max_by("_level", "week").alias("_level"), F.count("_change").alias("_n_changes"), *own)
     thin = F.col("_n_changes") < F.lit(int(min_changes))
     if not pooled:
         stats = stats.filter(~thin)
-    stats = stats.select(
-        *SERIES_KEYS, "_last_week", "_level",
-        *[
-            F.when(thin, F.coalesce(F.col(f"_pool{i}"), F.col(f"_own{i}"))).otherwise(F.col(f"_own{i}"))
-            .alias(f"_spread{i}")
-            for i in range(len(quantiles))
-        ],
-    )
+    else:
+        names = [f"_pool{i}" for i in range(len(quantiles))]
+        thin_skus = ranked.filter(F.col("_n") < F.lit(int(min_changes))).select("sku").distinct()
+        counts = changes.dropna(subset=["_change"]).groupBy("sku", "_change").agg(F.count(F.lit(1)).alias("_copies"))
+        pool = counted_quantiles(counts.join(thin_skus, "sku", "left_semi"), ["sku"], "_change", "_copies", quantiles, names)
+        stats = stats.join(pool, on="sku", how="left")
+    spread = [F.when(thin, F.coalesce(F.col(f"_pool{i}"), F.col(f"_own{i}"))).otherwise(F.col(f"_own{i}")) if pooled else F.col(f"_own{i}")
+              for i in range(len(quantiles))]
+    stats = stats.select(*SERIES_KEYS, "_last_week", "_level", *[x.alias(f"_spread{i}") for i, x in enumerate(spread)])
     stepped = stats.select("*", F.explode(_steps(horizon)).alias("_k"))
     out = {}
     for i, q in enumerate(quantiles):
