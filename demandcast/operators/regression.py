@@ -19,7 +19,7 @@ is the training set, so training is distributed like any Spark ML fit):
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -42,9 +42,17 @@ class InsufficientHistoryError(ValueError):
 
 @dataclass
 class RegressionForecast:
+    """The lazy forecast, its model and offsets. :meth:`release` frees the
+    tables the forecast keeps, once it has been read."""
+
     forecast: DataFrame
     model: PipelineModel
     residual_quantiles: DataFrame
+    held: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        while self.held:
+            self.held.pop().unpersist()
 
 
 def _origins(features: DataFrame) -> DataFrame:
@@ -82,7 +90,15 @@ def training_examples(features: DataFrame, horizon: int = DEFAULT_HORIZON_WEEKS)
     return _with_steps(_origins(features), horizon).join(actual, on=[*SERIES_KEYS, "target_date"], how="inner")
 
 
-def conformal_offsets(residuals: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+def placed_residuals(residuals: DataFrame) -> DataFrame:
+    """(step, r, n, part): residuals counted and placed in order over range
+    partitions, kept so that all readers see the same parts."""
+    counted = residuals.groupBy("step", "r").agg(F.count(F.lit(1)).alias("n"))
+    placed = counted.repartitionByRange("step", "r").sortWithinPartitions("step", "r").withColumn("part", F.spark_partition_id())
+    return placed.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def offsets_of(placed: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
     """(step, _off0, _off1, ...): the smallest residual ``r`` of a step whose
     rank reaches the share q of the step's residuals.
 
@@ -91,9 +107,6 @@ def conformal_offsets(residuals: DataFrame, quantiles: Sequence[float] = QUANTIL
     partitions of (step, residual) by a total per partition, so a step's
     residuals never meet in one task.
     """
-    counted = residuals.groupBy("step", "r").agg(F.count(F.lit(1)).alias("n"))
-    placed = counted.repartitionByRange("step", "r").sortWithinPartitions("step", "r").withColumn("part", F.spark_partition_id())
-    placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
     parts = placed.groupBy("step", "part").agg(F.sum("n").alias("m"))  # a row per partition and step
     order = Window.partitionBy("step").orderBy("part")
     ahead = parts.select("step", "part", (F.sum("m").over(order) - F.col("m")).alias("ahead"), F.sum("m").over(Window.partitionBy("step")).alias("total"))
@@ -103,6 +116,11 @@ def conformal_offsets(residuals: DataFrame, quantiles: Sequence[float] = QUANTIL
     return ranked.groupBy("step").agg(*reached)
 
 
+def conformal_offsets(residuals: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+    """:func:`offsets_of` residuals (step, r)."""
+    return offsets_of(placed_residuals(residuals), quantiles)
+
+
 def nearest_offsets(offsets: DataFrame, horizon: int, n: int) -> DataFrame:
     """Offsets of every step 1..horizon: those of the nearest step that has
     some, the smaller one of two (a few rows)."""
@@ -152,6 +170,7 @@ def regression_quantile_forecast(
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     if train.isEmpty():
         train.unpersist()
+        features.unpersist()
         raise InsufficientHistoryError(
             f"no training example before the last {calibration_weeks} weeks; history too short"
         )
@@ -161,8 +180,10 @@ def regression_quantile_forecast(
         train.unpersist()
 
     residuals = model.transform(calibration).select("step", (F.col("label") - F.col("pred")).alias("r"))
-    offsets = conformal_offsets(residuals, quantiles).persist(StorageLevel.MEMORY_AND_DISK)
+    placed = placed_residuals(residuals)
+    offsets = offsets_of(placed, quantiles).persist(StorageLevel.MEMORY_AND_DISK)
     if offsets.isEmpty():
+        RegressionForecast(residuals, model, offsets, [features, placed, offsets]).release()
         raise InsufficientHistoryError(f"no example within the last {calibration_weeks} weeks to calibrate on")
 
     last = origins.withColumn("_rank", F.row_number().over(
@@ -178,4 +199,4 @@ def regression_quantile_forecast(
             value = F.round(value, decimals)
         out.append(clip_lower(value).alias(qname(q, suffix)))
     forecast = scored.select(*SERIES_KEYS, F.col("target_date").alias("date"), *out)
-    return RegressionForecast(forecast, model, offsets)
+    return RegressionForecast(forecast, model, offsets, [features, placed, offsets])

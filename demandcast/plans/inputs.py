@@ -1,12 +1,16 @@
 """Derived inputs shared by the registered queries (Spark side).
 
-Everything is derived from the test tables with lazy DataFrame plans, so
-each query's work grows with the data. ``demandcast.plans.oracle`` holds the
+Everything is derived from the test tables, so each query's work grows with the
+data. Operators up to the weekly table are lazy plans over the sources; what
+comes after reads the stored weekly table, as the pipeline's stages do. ``demandcast.plans.oracle`` holds the
 same derivations in SQL.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,8 @@ from demandcast.operators.ensemble import ensemble
 from demandcast.operators.features import build_features
 from demandcast.operators.forecast import naive_quantile_forecast
 from demandcast.operators.linking import link_panel_credit
+from demandcast.plans.stages import session_store
+from demandcast.schemas import FORECAST_KEYS
 from demandcast.session import broadcast_max_rows
 from demandcast.sources.tpch import (
     credit_from_tpch,
@@ -46,8 +52,26 @@ def linked(spark: SparkSession, d: str) -> DataFrame:
     return link_panel_credit(panel(spark, d), credit(spark, d), broadcast_panel=small_panel)
 
 
-def features(spark: SparkSession, d: str, lk: DataFrame | None = None) -> DataFrame:
-    return build_features(linked(spark, d) if lk is None else lk)
+# Columns of the link that features and lookup requests read.
+LINK_COLUMNS = ["panel_id", "region_panel", "household_size", "txn_id", "txn_date", "sku", "region", "amount", "price", "quantity"]
+SOURCE_TABLES = ["lineitem", "orders", "part", "supplier", "customer", "nation", "region"]
+
+
+def _stage(spark: SparkSession, d: str, name: str, parameters: dict, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that several queries share: written once a session into the
+    checkpoint folder, made anew if a source file or a parameter has changed."""
+    store = session_store(spark, "shared-" + hashlib.sha256(d.encode()).hexdigest()[:12])
+    return store.run(name, [f"{d}/{t}.parquet" for t in SOURCE_TABLES], parameters, build)
+
+
+def stored_linked(spark: SparkSession, d: str) -> DataFrame:
+    return _stage(spark, d, "linked", {"columns": LINK_COLUMNS}, lambda: linked(spark, d).select(*LINK_COLUMNS))
+
+
+def features(spark: SparkSession, d: str) -> DataFrame:
+    """The weekly table, stored: whatever forecasts, looks up or scores reads it
+    and not the transactions."""
+    return _stage(spark, d, "features", {}, lambda: build_features(stored_linked(spark, d)))
 
 
 def lgb_slot(feats: DataFrame) -> DataFrame:
@@ -58,13 +82,17 @@ def deepar_slot(feats: DataFrame) -> DataFrame:
     return naive_quantile_forecast(feats, **DEEPAR_SLOT)
 
 
-def ensembled(spark: SparkSession, d: str, feats: DataFrame | None = None) -> DataFrame:
-    feats = features(spark, d) if feats is None else feats
-    return ensemble(lgb_slot(feats), deepar_slot(feats))
+def ensembled(spark: SparkSession, d: str) -> DataFrame:
+    """The blended forecast, stored as the pipeline stores it."""
+    def build():
+        feats = features(spark, d)
+        return ensemble(lgb_slot(feats), deepar_slot(feats)).sortWithinPartitions(*FORECAST_KEYS)
+
+    return _stage(spark, d, "forecast_ensemble", {"lgb": LGB_SLOT, "deepar": DEEPAR_SLOT}, build)
 
 
-def requests(spark: SparkSession, d: str, lk: DataFrame | None = None) -> DataFrame:
-    return requests_from_linked(linked(spark, d) if lk is None else lk)
+def requests(spark: SparkSession, d: str) -> DataFrame:
+    return requests_from_linked(stored_linked(spark, d))
 
 
 def marginals(spark: SparkSession, d: str) -> DataFrame:

@@ -17,7 +17,7 @@ from demandcast.functions.hashing import hmac_sha256_hex
 from demandcast.operators import reports
 from demandcast.operators.checks import totals_report
 from demandcast.operators.ensemble import clip_nonnegative, ensemble, normalize_quantile_columns
-from demandcast.operators.features import add_lag, add_rolling_mean, weekly_rollup
+from demandcast.operators.features import add_lag, add_rolling_mean, build_features, weekly_rollup
 from demandcast.operators.forecast import backtest_pairs, naive_quantile_forecast
 from demandcast.operators.linking import canonical_region
 from demandcast.operators.lookup import (
@@ -73,7 +73,7 @@ def q_rolling_mean_feature(spark, d):
 
 
 def q_weekly_features(spark, d):
-    return I.features(spark, d)
+    return build_features(I.linked(spark, d))
 
 
 def q_totals_close(spark, d):
@@ -142,7 +142,8 @@ def q_normalize_quantiles(spark, d):
 
 
 def q_ensemble_both(spark, d):
-    return I.ensembled(spark, d)
+    feats = I.features(spark, d)
+    return ensemble(I.lgb_slot(feats), I.deepar_slot(feats))
 
 
 def q_ensemble_lgb_only(spark, d):
@@ -159,7 +160,7 @@ def q_forecast_summary(spark, d):
 
 def q_series_index(spark, d):
     feats = I.features(spark, d)
-    candidates = [ensemble(I.lgb_slot(feats), I.deepar_slot(feats)), I.lgb_slot(feats), I.deepar_slot(feats)]
+    candidates = [I.ensembled(spark, d), I.lgb_slot(feats), I.deepar_slot(feats)]
     return reports.first_series_index(candidates)
 
 
@@ -170,7 +171,7 @@ def q_regions_by_sku(spark, d):
 def q_forecast_slice(spark, d):
     feats = I.features(spark, d)
     sku = I.top_sku(feats)
-    return forecast_slice(ensemble(I.lgb_slot(feats), I.deepar_slot(feats)), sku, I.top_region_of(feats, sku))
+    return forecast_slice(I.ensembled(spark, d), sku, I.top_region_of(feats, sku))
 
 
 def q_forecast_table(spark, d):
@@ -178,18 +179,15 @@ def q_forecast_table(spark, d):
 
 
 def q_forecast_lookup(spark, d):
-    lk = I.linked(spark, d)
-    return lookup_forecasts(I.ensembled(spark, d, I.features(spark, d, lk)), I.requests(spark, d, lk))
+    return lookup_forecasts(I.ensembled(spark, d), I.requests(spark, d))
 
 
 def q_forecast_missing(spark, d):
-    lk = I.linked(spark, d)
-    return missing_forecasts(I.ensembled(spark, d, I.features(spark, d, lk)), I.requests(spark, d, lk))
+    return missing_forecasts(I.ensembled(spark, d), I.requests(spark, d))
 
 
 def q_forecast_missing_suggestions(spark, d):
-    lk = I.linked(spark, d)
-    return missing_with_suggestions(I.ensembled(spark, d, I.features(spark, d, lk)), I.requests(spark, d, lk))
+    return missing_with_suggestions(I.ensembled(spark, d), I.requests(spark, d))
 
 
 def _pairs(spark, d):

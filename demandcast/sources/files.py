@@ -55,6 +55,29 @@ def artefact_path(directory: str, name: str) -> str:
     return f"{directory.rstrip('/')}/{name}.parquet"
 
 
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file, or of the first one of a folder: its first
+    record alone is read."""
+    try:
+        names = spark.read.options(**DIALECT).option("header", True).option("inferSchema", False).option("multiLine", True).csv(path).columns
+    except AnalysisException as err:
+        if _condition(err) == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err):
+            # Fixed value: callers match "File not found".
+            raise IngestError(f"File not found, so nothing was read: {path}") from None
+        if "Permission denied" in str(err):
+            raise IngestError(f"no permission to read {path}") from None
+        raise
+    if not names:
+        raise IngestError(f"no header in {path}")
+    return names
+
+
+def check_header(spark: SparkSession, path: str, columns: Sequence[str], name: str) -> None:
+    """The column contract of a CSV, without reading its rows."""
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in header_of(spark, path)])
+    check_required_columns(spark.createDataFrame([], layout), columns, name)
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None, line_breaks: bool = True) -> DataFrame:
     """Read a headered CSV; declared columns are cast by name, others stay text.
 
@@ -66,24 +89,12 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     header: one with other columns, or in another order, fails the job.
     """
     paths = path if isinstance(path, str) else list(path)
-    reader = spark.read.options(**DIALECT).option("header", True).option("mode", "FAILFAST")
-    try:
-        # the header alone may go over a break, too; only the first record is read
-        first = paths if isinstance(paths, str) else paths[0]
-        names = reader.option("inferSchema", False).option("multiLine", True).csv(first).columns
-        if not names:
-            raise IngestError(f"no header in {path}")
-        raw = quoted_csv.read_quoted(spark, paths, names, DIALECT) if line_breaks else None
-        if raw is None:
-            as_text = T.StructType([T.StructField(c, T.StringType()) for c in names])
-            raw = reader.schema(as_text).option("multiLine", False).option("enforceSchema", False).csv(paths)
-    except AnalysisException as err:
-        if _condition(err) == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err):
-            # Fixed value: callers match "File not found".
-            raise IngestError(f"File not found, so nothing was read: {path}") from None
-        if "Permission denied" in str(err):
-            raise IngestError(f"no permission to read {path}") from None
-        raise
+    names = header_of(spark, paths if isinstance(paths, str) else paths[0])
+    raw = quoted_csv.read_quoted(spark, paths, names, DIALECT) if line_breaks else None
+    if raw is None:
+        as_text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        reader = spark.read.options(**DIALECT).option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
+        raw = reader.schema(as_text).csv(paths)
     if schema is None:
         return raw
     types = {f.name: f.dataType for f in schema.fields}

@@ -106,3 +106,46 @@ def test_unreadable_optional_table_is_skipped(spark, tmp_dir, caplog):
         fh.write("this is not Parquet")
     assert set(io.load_tables(spark, tmp_dir, tmp_dir)) == {"credit", "panel", "linked"}
     assert "skipped" in caplog.text
+
+
+STAGES = [io.CREDIT_TABLE, io.PANEL_TABLE, io.LINKED_TABLE, io.PANEL_WEIGHTED_TABLE, io.FEATURES_TABLE, io.FORECAST_DEEPAR_TABLE, io.FORECAST_ENSEMBLE_TABLE]
+
+
+def test_a_failed_run_resumes_after_any_stage(spark, tmp_dir, monkeypatch):
+    credit = write_csv(os.path.join(tmp_dir, "credit.csv"), CREDIT_HEADER, CREDIT_ROWS)
+    panel = write_csv(os.path.join(tmp_dir, "panel.csv"), PANEL_HEADER, PANEL_ROWS)
+    marginals = {"region": {"north": 2.0, "south": 2.0}}
+    options = {"marginals": marginals, "horizon": 3, "use_regression": False}
+    landing, feats = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "features")
+
+    write = io.write_parquet
+    for i, failing in enumerate(STAGES):
+        def half(df, directory, name, mode="overwrite", failing=failing):
+            out = write(df, directory, name, mode)
+            if name == failing:  # the table is there, the commit is not
+                raise io.IngestError("lost")
+            return out
+
+        monkeypatch.setattr(io, "write_parquet", half)
+        with pytest.raises(io.IngestError):
+            run_pipeline(spark, credit, panel, landing, feats, **options)
+        monkeypatch.setattr(io, "write_parquet", write)
+        if i == 3:  # a file of a committed stage goes missing: that stage is done anew
+            part = next(f for f in os.listdir(os.path.join(landing, "linked_panel_credit.parquet")) if f.endswith(".parquet"))
+            with open(os.path.join(landing, "linked_panel_credit.parquet", part), "ab") as fh:
+                fh.write(b"x")
+    run = run_pipeline(spark, credit, panel, landing, feats, **options)
+    assert run.reused[:3] == STAGES[:3] and run.done == STAGES[-1:] and run.rake is None
+    assert run.notes[io.PANEL_WEIGHTED_TABLE]["converged"] and run.rows[io.LINKED_TABLE] == 7
+    whole = run_pipeline(spark, credit, panel, os.path.join(tmp_dir, "l2"), os.path.join(tmp_dir, "f2"), **options)
+    assert whole.done == STAGES
+    for name in STAGES:
+        assert sorted(map(repr, spark.read.parquet(run.paths[name]).collect())) == sorted(map(repr, spark.read.parquet(whole.paths[name]).collect()))
+
+    assert run_pipeline(spark, credit, panel, landing, feats, **options).done == []
+    assert run_pipeline(spark, credit, panel, landing, feats, **options | {"horizon": 4}).done == STAGES[-2:]
+    assert run_pipeline(spark, credit, panel, landing, feats, **options | {"salt": "other"}).done[0] == io.LINKED_TABLE
+    write_csv(credit, CREDIT_HEADER, CREDIT_ROWS[:5])
+    changed = run_pipeline(spark, credit, panel, landing, feats, **options)
+    assert changed.done[0] == io.CREDIT_TABLE and io.PANEL_TABLE in changed.reused and changed.rows[io.CREDIT_TABLE] == 5
+    assert len(run_pipeline(spark, credit, panel, landing, feats, resume=False, **options).done) == 7
