@@ -88,5 +88,9 @@ def build_features(linked: DataFrame, date_format: str | None = None) -> DataFra
     (sku, region) of already aggregated rows, rows per partition bounded by
     the number of weeks of a series.
     """
-    weekly = weekly_rollup(linked, date_format)
+    return features_of_weekly(weekly_rollup(linked, date_format))
+
+
+def features_of_weekly(weekly: DataFrame) -> DataFrame:
+    """The window and calendar columns over a weekly roll-up."""
     return add_calendar(add_rolling_mean(add_lag(weekly))).select(*FEATURE_COLUMNS)

@@ -75,7 +75,8 @@ class StageStore:
         finally:
             stream.close()
 
-    def _commit(self, name: str, manifest: Mapping) -> None:
+    def commit(self, name: str, manifest: Mapping) -> None:
+        """Write a stage's manifest (callers that write their table by parts)."""
         at, fs = self._manifest(name)
         stream = fs.create(at, True)
         try:
@@ -108,7 +109,7 @@ class StageStore:
         else:
             write(table, path)
         written = self.spark.read.parquet(path)
-        self._commit(name, {"inputs": made, "parameters": json.loads(json.dumps(parameters, default=str)),
+        self.commit(name, {"inputs": made, "parameters": json.loads(json.dumps(parameters, default=str)),
                             "output": listing(self.spark, [path]), "rows": written.count(), "notes": notes})
         self.done.append(name)
         return written

@@ -114,11 +114,12 @@ def write_parquet(df: DataFrame, directory: str, name: str, mode: str = "overwri
     return out
 
 
-def load_optional(spark: SparkSession, path: str) -> DataFrame | None:
-    """Parquet at ``path``, or None when it does not exist (or is not
+def load_optional(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """Parquet at ``path`` (an empty folder has rows only of a given
+    ``schema``), or None when it does not exist (or is not
     readable: logged). Any other error propagates."""
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as err:
         if _condition(err) == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err):
             return None
