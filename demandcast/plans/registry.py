@@ -223,7 +223,7 @@ def q_rake_weights(spark, d):
 
 def q_rake_totals(spark, d):
     result = _raked(spark, d)
-    out = rake_totals(result, I.marginals(spark, d), I.RAKE_MARGINS)
+    out = rake_totals(result, None, I.RAKE_MARGINS)
     return out.withColumn("weighted_total", F.round("weighted_total", DEC))
 
 
@@ -233,6 +233,13 @@ def q_rake_inconsistent(spark, d):
     return result.weighted.select("panel_id", F.round("weight", DEC).alias("weight"))
 
 
+def q_rake_until_met(spark, d):
+    """Stops by tolerance: the margins' targets do not differ in total."""
+    result = rake(I.panel(spark, d), I.marginals(spark, d), margins=I.RAKE_MARGINS, max_iter=50, tol=I.RAKE_TOLERANCE)
+    out = rake_totals(result, None, I.RAKE_MARGINS).withColumn("weighted_total", F.round("weighted_total", 3))
+    return out.withColumns({"converged": F.lit(result.converged), "met": F.abs(F.col("weighted_total") - F.col("target")) < F.col("target") * I.RAKE_TOLERANCE * 10})
+
+
 def q_regression_examples(spark, d):
     return training_examples(I.features(spark, d))
 
