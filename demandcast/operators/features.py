@@ -13,7 +13,7 @@ from demandcast.functions.calendar import (
     require_not_null,
     week_start,
 )
-from demandcast.functions.numeric import fixed_mean, fixed_sum, skip_nan
+from demandcast.functions.numeric import fixed_sums, skip_nan
 from demandcast.operators.checks import check_required_columns
 from demandcast.schemas import FEATURE_COLUMNS, FEATURE_REQUIRED, SERIES_KEYS
 
@@ -54,12 +54,12 @@ def weekly_rollup(linked: DataFrame, date_format: str | None = None) -> DataFram
     quantity = F.col("quantity")
     if isinstance(linked.schema["quantity"].dataType, (T.DoubleType, T.FloatType)):
         quantity = skip_nan(quantity)
-    return rows.groupBy(*SERIES_KEYS, "week").agg(
-        F.coalesce(F.sum(quantity), F.lit(0)).alias("units_sold"),
-        F.coalesce(fixed_sum(skip_nan(F.col("amount"))), F.lit(0.0)).alias("sales_dollars"),
-        F.countDistinct("txn_id").alias("n_transactions"),
-        fixed_mean(skip_nan(F.col("price"))).alias("avg_price"),
-    )
+    money = {"amount": skip_nan(F.col("amount")), "price": skip_nan(F.col("price"))}
+    counts = [F.coalesce(F.sum(quantity), F.lit(0)).alias("units_sold"), F.countDistinct("txn_id").alias("n_transactions")]
+    summed = fixed_sums(rows, [*SERIES_KEYS, "week"], money, counts, keep=["quantity", "txn_id"])
+    return summed.select(
+        *SERIES_KEYS, "week", "units_sold", F.coalesce("amount_sum", F.lit(0.0)).alias("sales_dollars"),
+        "n_transactions", F.try_divide("price_sum", F.col("price_n").cast("double")).alias("avg_price"))
 
 
 def add_lag(weekly: DataFrame) -> DataFrame:

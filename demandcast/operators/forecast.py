@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from demandcast.functions.quantiles import clip_lower
 from demandcast.functions.ranks import counted_quantiles, interpolated
-from demandcast.operators.features import series_window
 from demandcast.schemas import DEFAULT_HORIZON_WEEKS, QUANTILES, SERIES_KEYS, qname
 
 # A series needs this many observed one-step changes for its own spread.
@@ -47,6 +46,7 @@ def naive_quantile_forecast(
     decimals: int | None = 6,
     min_changes: int = MIN_SERIES_CHANGES,
     pooled: bool = True,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Forecast ``horizon`` weeks after each series' last observed week.
 
@@ -57,36 +57,40 @@ def naive_quantile_forecast(
     spread is 0. Values are rounded to
     ``decimals`` and clamped at 0 unless ``clamp`` is False.
 
+    Columns ``by`` name independent histories in one table, as the cutoffs of a
+    rolling evaluation do; they lead the result's columns.
+
     A series' changes are ranked within the series, whose rows are its observed
     weeks, in the partitioning its window has already. Only SKUs with a thin
     series are pooled; their changes, counted per SKU, are ranked in buckets
     (``demandcast.functions.ranks``), so a SKU sold in any number of regions
     never meets in one task.
     """
-    series = Window.partitionBy(*SERIES_KEYS)
+    keys = [*by, *SERIES_KEYS]
+    series = Window.partitionBy(*keys)
     changes = features.select(
-        *SERIES_KEYS,
+        *keys,
         "week",
         F.col(level_col).cast("double").alias("_level"),
-        (F.col("units_sold") - F.lag("units_sold", 1).over(series_window())).cast("double").alias("_change"),
+        (F.col("units_sold") - F.lag("units_sold", 1).over(series.orderBy("week"))).cast("double").alias("_change"),
     )
     by_size = series.orderBy(F.col("_change").asc_nulls_last())
     ranked = changes.select("*", (F.row_number().over(by_size) - 1).alias("_rank"), F.count("_change").over(series).alias("_n"))
     own = [interpolated(F.col("_change"), F.col("_rank"), F.col("_rank"), F.col("_n"), q).alias(f"_own{i}") for i, q in enumerate(quantiles)]
-    stats = ranked.groupBy(*SERIES_KEYS).agg(
+    stats = ranked.groupBy(*keys).agg(
         F.max("week").alias("_last_week"), F.max_by("_level", "week").alias("_level"), F.count("_change").alias("_n_changes"), *own)
     thin = F.col("_n_changes") < F.lit(int(min_changes))
     if not pooled:
         stats = stats.filter(~thin)
     else:
         names = [f"_pool{i}" for i in range(len(quantiles))]
-        thin_skus = ranked.filter(F.col("_n") < F.lit(int(min_changes))).select("sku").distinct()
-        counts = changes.dropna(subset=["_change"]).groupBy("sku", "_change").agg(F.count(F.lit(1)).alias("_copies"))
-        pool = counted_quantiles(counts.join(thin_skus, "sku", "left_semi"), ["sku"], "_change", "_copies", quantiles, names)
-        stats = stats.join(pool, on="sku", how="left")
+        thin_skus = ranked.filter(F.col("_n") < F.lit(int(min_changes))).select(*by, "sku").distinct()
+        counts = changes.dropna(subset=["_change"]).groupBy(*by, "sku", "_change").agg(F.count(F.lit(1)).alias("_copies"))
+        pool = counted_quantiles(counts.join(thin_skus, [*by, "sku"], "left_semi"), [*by, "sku"], "_change", "_copies", quantiles, names)
+        stats = stats.join(pool, on=[*by, "sku"], how="left")
     spread = [F.when(thin, F.coalesce(F.col(f"_pool{i}"), F.col(f"_own{i}"))).otherwise(F.col(f"_own{i}")) if pooled else F.col(f"_own{i}")
               for i in range(len(quantiles))]
-    stats = stats.select(*SERIES_KEYS, "_last_week", "_level", *[x.alias(f"_spread{i}") for i, x in enumerate(spread)])
+    stats = stats.select(*keys, "_last_week", "_level", *[x.alias(f"_spread{i}") for i, x in enumerate(spread)])
     stepped = stats.select("*", F.explode(_steps(horizon)).alias("_k"))
     out = {}
     for i, q in enumerate(quantiles):
@@ -95,7 +99,7 @@ def naive_quantile_forecast(
             value = F.round(value, decimals)
         out[qname(q, suffix)] = clip_lower(value) if clamp else value
     return stepped.select(
-        *SERIES_KEYS,
+        *keys,
         F.date_add(F.to_date("_last_week"), F.col("_k") * 7).alias("date"),
         *[v.alias(k) for k, v in out.items()],
     )
@@ -129,3 +133,32 @@ def backtest_pairs(
     """Forecast from the history before the holdout and pair with actuals."""
     train, test = holdout_split(features, holdout_weeks)
     return pair_with_actuals(forecaster(train, horizon=holdout_weeks), test)
+
+
+def rolling_histories(features: DataFrame, n_cutoffs: int, holdout_weeks: int = DEFAULT_HORIZON_WEEKS) -> DataFrame:
+    """``features`` once per cutoff, with the rows up to it: the column
+    ``cutoff`` is a key of the plan, and the table is read once.
+
+    The cutoffs lie ``holdout_weeks`` apart, the last one that long before the
+    end of the table."""
+    if n_cutoffs < 1:
+        raise ValueError("n_cutoffs must be >= 1")
+    last = features.select(F.max(F.to_date("week"))).scalar()
+    cutoff = F.date_sub("_last", F.col("_k") * 7 * holdout_weeks)
+    copies = features.withColumn("_last", last).select("*", F.explode(F.sequence(F.lit(1), F.lit(int(n_cutoffs)))).alias("_k")).withColumn("cutoff", cutoff)
+    return copies.filter(F.to_date("week") <= F.col("cutoff")).drop("_last", "_k")
+
+
+def rolling_pairs(
+    features: DataFrame,
+    forecaster: Callable[..., DataFrame] = naive_quantile_forecast,
+    n_cutoffs: int = 4,
+    holdout_weeks: int = DEFAULT_HORIZON_WEEKS,
+) -> DataFrame:
+    """Rolling-origin evaluation: forecasts from every cutoff's history, paired
+    with the weeks of its holdout. ``forecaster`` keeps the histories of its
+    ``by`` columns apart; nothing is fitted or derived in a loop over cutoffs."""
+    forecast = forecaster(rolling_histories(features, n_cutoffs, holdout_weeks), horizon=holdout_weeks, by=["cutoff"])
+    day = F.col("date")
+    held_out = forecast.filter((day > F.col("cutoff")) & (day <= F.date_add("cutoff", 7 * holdout_weeks)))
+    return pair_with_actuals(held_out, features)

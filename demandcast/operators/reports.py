@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandcast.functions.calendar import as_timestamp_ntz
-from demandcast.functions.numeric import fixed_mean, skip_nan
+from demandcast.functions.numeric import fixed_sums, skip_nan
 from demandcast.schemas import LINKED_SAMPLE_COLUMNS, SERIES_KEYS, qcol
 
 # Pipeline steps and the artefacts each one needs.
@@ -110,12 +110,10 @@ def forecast_summary(forecast: DataFrame) -> DataFrame:
     """Horizon = rows floor-divided by series, series count, mean median
     (exact fixed-point sum)."""
     n_series = forecast.select(*SERIES_KEYS).distinct().select(_count()).scalar()
-    return forecast.agg(
-        _count().alias("_rows"), fixed_mean(skip_nan(qcol("q0.5"))).alias("mean_q50")
-    ).select(
+    return fixed_sums(forecast, [], {"median": skip_nan(qcol("q0.5"))}, [_count().alias("_rows")]).select(
         F.floor(F.try_divide(F.col("_rows"), n_series)).cast("bigint").alias("horizon_weeks"),
         n_series.alias("n_series"),
-        "mean_q50",
+        F.try_divide("median_sum", F.col("median_n").cast("double")).alias("mean_q50"),
     )
 
 

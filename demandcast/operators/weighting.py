@@ -153,7 +153,7 @@ class _StoredFactors:
     """The factors as tables (number, target, category, f), a table a margin."""
 
     def __init__(self, tables: list[DataFrame], small: list[bool], folder: str):
-        self.tables, self.small, self.folder, self.n = tables, small, folder, 0
+        self.tables, self.small, self.folder, self.steps = tables, small, folder, [0] * len(tables)
 
     def weight(self, coded: DataFrame) -> tuple[DataFrame, Column]:
         rows, product = coded, F.lit(1.0)
@@ -170,8 +170,9 @@ class _StoredFactors:
         joined = self.tables[i].join(sums, "number")
         new = joined.select("number", "category", "target", (F.col("f") * factor).alias("f"), F.abs(1.0 - factor).alias("change"),
                             F.when((F.col("s") == 0) & (F.col("target") > 0), F.col("category")).alias("bad"))
-        self.n += 1
-        new = _materialize(new, self.folder, f"factors-{i}-{'ab'[self.n % 2]}")
+        self.steps[i] += 1
+        # two folders a margin in turn: a step reads one and overwrites the other
+        new = _materialize(new, self.folder, f"factors-{i}-{'ab'[self.steps[i] % 2]}")
         row = new.agg(F.max("change"), F.min("bad")).first()
         self.tables[i] = new.drop("change", "bad")
         return float(row[0] or 0.0), row[1]

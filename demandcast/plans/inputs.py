@@ -37,6 +37,7 @@ DEEPAR_SLOT = {"horizon": 8, "level_col": "units_sold", "suffix": "_deepar"}
 RAKE_MARGINS = ["region", "age_group"]
 RAKE_CHECK_ITERATIONS = 10
 RAKE_TOLERANCE = 1e-9
+ROLLING_CUTOFFS = 4
 GAP_MARGINS = ["region", "income_bin"]
 
 

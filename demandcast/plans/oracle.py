@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from demandcast.functions.hashing import DEFAULT_SALT, hmac_pads
 from demandcast.functions.numeric import SCALE, decimal_places
 from demandcast.operators.forecast import MIN_SERIES_CHANGES
-from demandcast.plans.inputs import DEEPAR_SLOT, GAP_MARGINS, LGB_SLOT, RAKE_CHECK_ITERATIONS, RAKE_MARGINS
+from demandcast.plans.inputs import DEEPAR_SLOT, GAP_MARGINS, LGB_SLOT, RAKE_CHECK_ITERATIONS, RAKE_MARGINS, ROLLING_CUTOFFS
 from demandcast.schemas import DEFAULT_HORIZON_WEEKS, QUANTILES, qname
 
 DEC = 6
@@ -419,6 +419,25 @@ FROM (SELECT DISTINCT {m} FROM panel WHERE {m} IS NOT NULL) p
 JOIN (SELECT category, SUM(target) AS target FROM marginals WHERE margin = '{m}' GROUP BY category) g ON g.category = CAST(p.{m} AS VARCHAR)"""
     for m in RAKE_MARGINS), "panel", "marginals")
 
+for _k in range(1, ROLLING_CUTOFFS + 1):
+    cte(f"roll{_k}", ["features"], f"""
+SELECT *, CAST((SELECT max(week) FROM features) AS DATE) - {7 * DEFAULT_HORIZON_WEEKS * _k} AS cutoff FROM features
+WHERE CAST(week AS DATE) <= (SELECT CAST(max(week) AS DATE) - {7 * DEFAULT_HORIZON_WEEKS * _k} FROM features)""")
+    cte(f"roll_fc{_k}", [f"roll{_k}"], naive_sql(f"roll{_k}", DEFAULT_HORIZON_WEEKS))
+cte("roll_pairs", [f"roll_fc{k}" for k in range(1, ROLLING_CUTOFFS + 1)] + ["features"], " UNION ALL ".join(f"""
+SELECT c.cutoff, f."q0.1", f."q0.5", f."q0.9", CAST(a.units_sold AS DOUBLE) AS actual
+FROM roll_fc{k} f JOIN features a ON f.sku = a.sku AND f.region = a.region AND f.date = CAST(a.week AS DATE)
+JOIN (SELECT DISTINCT cutoff FROM roll{k}) c ON f.date > c.cutoff AND f.date <= c.cutoff + {7 * DEFAULT_HORIZON_WEEKS}"""
+    for k in range(1, ROLLING_CUTOFFS + 1)))
+SQL["rolling_origin_naive"] = with_ctes(
+    "SELECT cutoff, COUNT(*) AS n_weeks, " + _wape() + " AS wape, "
+    + ", ".join(f'{_pinball(q)} AS "pinball_{qname(q)}"' for q in QUANTILES) + ", "
+    + ", ".join(f'avg((actual <= "{qname(q)}")::INT)::DOUBLE AS "below_{qname(q)}"' for q in QUANTILES)
+    + ', avg(("q0.1" <= actual AND actual <= "q0.9")::INT)::DOUBLE AS coverage FROM roll_pairs GROUP BY cutoff', "roll_pairs")
+SQL["pipeline_naive"] = _with_extra("nf", naive_sql("features", DEFAULT_HORIZON_WEEKS), "SELECT * FROM nf", "features")
+SQL["valid_skus"] = with_ctes("SELECT DISTINCT sku FROM ens WHERE sku IS NOT NULL", "ens")
+SQL["unknown_skus"] = with_ctes("SELECT * FROM requests r WHERE NOT EXISTS (SELECT 1 FROM ens f WHERE f.sku = r.sku)", "requests", "ens")
+
 SQL["pipeline_status"] = """
 SELECT 'Data Ingestion' AS step, EXISTS (SELECT 1 FROM lineitem) AND EXISTS (SELECT 1 FROM customer) AS ready
 UNION ALL SELECT 'Data Linking' AS step, EXISTS (SELECT 1 FROM orders) AS ready

@@ -18,7 +18,7 @@ from demandcast.operators import reports
 from demandcast.operators.checks import totals_report
 from demandcast.operators.ensemble import clip_nonnegative, ensemble, normalize_quantile_columns
 from demandcast.operators.features import add_lag, add_rolling_mean, build_features, weekly_rollup
-from demandcast.operators.forecast import backtest_pairs, naive_quantile_forecast
+from demandcast.operators.forecast import backtest_pairs, naive_quantile_forecast, rolling_pairs
 from demandcast.operators.linking import canonical_region
 from demandcast.operators.lookup import (
     feature_slice,
@@ -27,8 +27,10 @@ from demandcast.operators.lookup import (
     lookup_forecasts,
     missing_forecasts,
     missing_with_suggestions,
+    unknown_skus,
+    valid_skus,
 )
-from demandcast.operators.metrics import pinball_loss, score_by_series, wape
+from demandcast.operators.metrics import pinball_loss, score_by_cutoff, score_by_series, wape
 from demandcast.operators.regression import conformal_offsets, regression_quantile_forecast, training_examples
 from demandcast.operators.weighting import rake, rake_totals
 from demandcast.plans import inputs as I
@@ -186,6 +188,15 @@ def q_forecast_missing(spark, d):
     return missing_forecasts(I.ensembled(spark, d), I.requests(spark, d))
 
 
+def q_unknown_skus(spark, d):
+    """Requests for a SKU that no region is forecast for."""
+    return unknown_skus(I.ensembled(spark, d), I.requests(spark, d))
+
+
+def q_valid_skus(spark, d):
+    return valid_skus(I.ensembled(spark, d))
+
+
 def q_forecast_missing_suggestions(spark, d):
     return missing_with_suggestions(I.ensembled(spark, d), I.requests(spark, d))
 
@@ -210,6 +221,16 @@ def q_backtest_naive(spark, d):
     return score_by_series(_pairs(spark, d))
 
 
+def q_rolling_origin_naive(spark, d):
+    """Four cutoffs scored in one plan, with the coverage of the interval."""
+    return score_by_cutoff(rolling_pairs(I.features(spark, d), n_cutoffs=I.ROLLING_CUTOFFS))
+
+
+def q_pipeline_naive(spark, d):
+    """The pipeline's forecast where the regression slot is switched off."""
+    return forecast_from_features(I.features(spark, d), use_regression=False)
+
+
 def _raked(spark, d):
     return rake(
         I.panel(spark, d), I.marginals(spark, d), margins=I.RAKE_MARGINS,

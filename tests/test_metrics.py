@@ -1,5 +1,9 @@
 import math
+import random
 
+from pyspark.sql import functions as F
+
+from demandcast.functions.numeric import fixed_sums
 import pytest
 
 from demandcast.operators.metrics import pinball_loss, score_by_series, wape
@@ -70,3 +74,35 @@ def test_missing_infinite_tiny_and_huge_numbers_count(spark):
     assert w == pytest.approx(2.0) and loss[0.5] == pytest.approx(1e-8)
     w, loss = scores([1e25, 1.0], [2e25, 1.0])
     assert w == pytest.approx(1.0) and loss[0.1] == pytest.approx(0.9 * 1e25 / 2)
+
+
+def test_close_numbers_are_not_taken_for_equal(spark):
+    pairs = spark.createDataFrame([(1 + 4e-13, 1.0)], "actual double, `q0.5` double")
+    got = wape(pairs).first()[0]
+    assert abs(got - 4e-13) < 1e-15
+    assert wape(spark.createDataFrame([(1e-30, 3e-30)], "actual double, `q0.5` double")).first()[0] > 0
+
+
+def test_scores_do_not_depend_on_the_partitioning(spark):
+    r = random.Random(11)
+    rows = [(r.choice([-1, 1]) * 10 ** r.uniform(-30, 30), r.choice([-1, 1]) * 10 ** r.uniform(-30, 30)) for _ in range(3000)]
+    rows += [(r.uniform(0, 1) / 3, r.uniform(0, 9) / 7) for _ in range(3000)]
+    seen = set()
+    for parts, seed in ((1, 0), (3, 1), (11, 2), (16, 3)):
+        random.Random(seed).shuffle(rows)
+        pairs = spark.createDataFrame(rows, "actual double, `q0.5` double").repartition(parts)
+        total = fixed_sums(pairs, [], {"a": F.col("actual"), "q": F.col("`q0.5`")}).first()
+        seen.add((wape(pairs).first()[0], *[x.pinball_loss for x in pinball_loss(pairs, [0.5]).collect()], *total))
+    assert len(seen) == 1
+    exact = math.fsum(a for a, _ in rows)
+    assert abs(seen.pop()[2] - exact) <= 1e-12 * abs(exact)
+
+
+def test_bands_hold_any_value_of_their_range(spark):
+    r = random.Random(12)
+    for low, high in ((-36, -30), (-12, 0), (0, 12), (40, 47)):
+        values = [r.choice([-1, 1]) * 10 ** r.uniform(low, high) for _ in range(500)]
+        got = spark.createDataFrame([(v,) for v in values], "v double").transform(lambda d: fixed_sums(d, [], {"v": F.col("v")})).first()[0]
+        assert abs(got - math.fsum(values)) <= 1e-14 * math.fsum(map(abs, values))
+    odd = [float("inf"), 1.0, 1e300, 1e-300]
+    assert spark.createDataFrame([(v,) for v in odd], "v double").transform(lambda d: fixed_sums(d, [], {"v": F.col("v")})).first()[0] == float("inf")
