@@ -10,8 +10,8 @@ Every other value is scaled by a power of two into [1, 2^40), exactly, and
 summed as a decimal there: one sum for each band of forty binary orders. Decimal
 sums have no order, and the few bands are added up smallest first, so these
 sums do not depend on the partitioning either, nor is a small value rounded
-away beside a large one. The bands reach from 2^-120 to 2^160 (about 1e-36 to
-1e48); values beyond, infinite ones and NaN are summed as doubles beside them.
+away beside a large one. The bands reach from 2^-80 to 2^120 (about 1e-24 to
+1e36); values beyond, infinite ones and NaN are summed as doubles beside them.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ SCALE = 12
 PRECISION = 28  # leaves ten digits for the sum
 TOLERANCE = 2.0**-50  # a few last bits of a double
 BAND_BITS = 40
-BANDS = range(-3, 4)
+BANDS = range(-2, 3)
 BAND_TYPE = "decimal(31,16)"  # 2^40 and the 17 digits of a double
 
 

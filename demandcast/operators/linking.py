@@ -34,11 +34,20 @@ def canonical_region(linked: DataFrame) -> DataFrame:
     return linked.withColumn("region", F.coalesce(*[_q(c) for c in sources]))
 
 
-def hot_customers(credit: DataFrame, support: float, column: str = "customer_id") -> list:
-    """Ids holding at least ``support`` of the rows (approximate, one pass;
-    the list has at most 1/support entries, possibly a few false positives)."""
-    row = credit.select(F.col(f"`{column}`").cast("string").alias(column)).stat.freqItems([column], support).first()
-    return [x for x in row[0] if x is not None] if row else []
+def hot_customers(credit: DataFrame, support: float, column: str = "customer_id", min_rows: int = 0) -> list:
+    """Ids holding at least ``support`` of the rows, and ``min_rows`` rows.
+
+    A frequency sketch names at most 1/support candidates in one pass over the
+    id column, all frequent ids among them; they alone are then counted, so an
+    id that is not frequent costs nothing."""
+    ids = credit.select(F.col(f"`{column}`").cast("string").alias("id"))
+    row = ids.stat.freqItems(["id"], support).first()
+    candidates = [x for x in row[0] if x is not None] if row else []
+    if not candidates:
+        return []
+    counts = ids.select(F.when(F.col("id").isin(candidates), F.col("id")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in counts)
+    return sorted(r["id"] for r in counts if r["id"] is not None and r["n"] >= max(support * total, min_rows))
 
 
 def _salted_join(p: DataFrame, c: DataFrame, hot_ids: list, buckets: int) -> DataFrame:
@@ -64,6 +73,7 @@ def link_panel_credit(
     broadcast_panel: bool = False,
     hot_key_support: float | None = None,
     salt_buckets: int = 32,
+    hot_key_rows: int = 0,
 ) -> DataFrame:
     """Inner equi-join of panel and transactions on ``cust_hash``.
 
@@ -80,11 +90,11 @@ def link_panel_credit(
     a switch to broadcast when the panel turns out small.
 
     ``hot_key_support`` (e.g. 0.01) makes the hot-customer split explicit
-    instead: customers with at least that share of the transactions are
-    found in one approximate frequent-items pass (at most 1/support keys,
-    false positives only cost a little replication), their transactions are
-    spread over ``salt_buckets`` salts and their panel rows replicated once
-    per salt; every other key joins on salt 0. The result is identical.
+    instead: customers with at least that share of the transactions, and
+    ``hot_key_rows`` of them, are found by :func:`hot_customers`, their
+    transactions are spread over ``salt_buckets`` salts and their panel rows
+    replicated once per salt; every other key joins on salt 0. The result is
+    identical. The pipeline links this way.
     """
     check_required_columns(credit, LINK_REQUIRED, "credit_txn")
     check_required_columns(panel, LINK_REQUIRED, "panel")
@@ -102,7 +112,7 @@ def link_panel_credit(
     if broadcast_panel:
         linked = F.broadcast(p).join(c, on="_key", how="inner")
     elif hot_key_support:
-        linked = _salted_join(p, c, hot_customers(credit, hot_key_support), salt_buckets)
+        linked = _salted_join(p, c, hot_customers(credit, hot_key_support, min_rows=hot_key_rows), salt_buckets)
     else:
         linked = p.join(c, on="_key", how="inner")
     panel_cols = [x for x in p.columns if x != "_key"]

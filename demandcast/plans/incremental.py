@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from demandcast.functions.hashing import DEFAULT_SALT
 from demandcast.operators.features import features_of_weekly, weekly_rollup, with_week
-from demandcast.operators.linking import link_panel_credit
-from demandcast.plans.pipeline import PipelineRun, _digest, _Stages, forecast_stages
+from demandcast.plans.pipeline import PipelineRun, _digest, _Stages, forecast_stages, link_stored
 from demandcast.plans.stages import StageStore
 from demandcast.schemas import CREDIT_COLUMNS, DEFAULT_HORIZON_WEEKS, PANEL_COLUMNS, PANEL_SCHEMA
 from demandcast.sources import files as io
@@ -37,7 +36,7 @@ def _link_batches(spark: SparkSession, run: PipelineRun, credit_path: str, check
     for batch in landed_batches(spark, checkpoint):
         def build(batch=batch):
             credit = read_landed(spark, credit_path, checkpoint, batch)
-            return with_week(link_panel_credit(panel, credit, salt)).withColumn(WEEK, F.date_format("week", "yyyy-MM-dd")).drop("week")
+            return with_week(link_stored(panel, credit, salt)).withColumn(WEEK, F.date_format("week", "yyyy-MM-dd")).drop("week")
 
         name = f"batch={batch}"
         inputs = [run.paths[io.PANEL_TABLE], f"{credit_path.rstrip('/')}/landing_batch={batch}"]

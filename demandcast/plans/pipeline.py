@@ -61,6 +61,16 @@ class _Stages:
         return table
 
 
+# A customer with this share of the transactions, and this many, is spread over
+# tasks when the pipeline links, with or without adaptive execution.
+HOT_KEY_SUPPORT, HOT_KEY_ROWS = 0.01, 100_000
+
+
+def link_stored(panel: DataFrame, credit: DataFrame, salt: str | bytes) -> DataFrame:
+    """The link of stored tables: the transactions' ids are sketched first."""
+    return link_panel_credit(panel, credit, salt, hot_key_support=HOT_KEY_SUPPORT, hot_key_rows=HOT_KEY_ROWS)
+
+
 def _digest(value) -> str:
     """A parameter that is long, or must not be written down, as a digest."""
     return hashlib.sha256(repr(value).encode()).hexdigest()
@@ -121,7 +131,7 @@ def run_pipeline(
     credit, panel = landed[io.CREDIT_TABLE], landed[io.PANEL_TABLE]
 
     linked = stage(landing_dir, io.LINKED_TABLE, [run.paths[io.PANEL_TABLE], run.paths[io.CREDIT_TABLE]], {"salt": _digest(salt)},
-                   lambda: link_panel_credit(panel, credit, salt))
+                   lambda: link_stored(panel, credit, salt))
 
     if marginals is not None:
         def weights():

@@ -80,12 +80,12 @@ def test_close_numbers_are_not_taken_for_equal(spark):
     pairs = spark.createDataFrame([(1 + 4e-13, 1.0)], "actual double, `q0.5` double")
     got = wape(pairs).first()[0]
     assert abs(got - 4e-13) < 1e-15
-    assert wape(spark.createDataFrame([(1e-30, 3e-30)], "actual double, `q0.5` double")).first()[0] > 0
+    assert wape(spark.createDataFrame([(1e-20, 3e-20)], "actual double, `q0.5` double")).first()[0] > 0
 
 
 def test_scores_do_not_depend_on_the_partitioning(spark):
     r = random.Random(11)
-    rows = [(r.choice([-1, 1]) * 10 ** r.uniform(-30, 30), r.choice([-1, 1]) * 10 ** r.uniform(-30, 30)) for _ in range(3000)]
+    rows = [(r.choice([-1, 1]) * 10 ** r.uniform(-20, 30), r.choice([-1, 1]) * 10 ** r.uniform(-20, 30)) for _ in range(3000)]
     rows += [(r.uniform(0, 1) / 3, r.uniform(0, 9) / 7) for _ in range(3000)]
     seen = set()
     for parts, seed in ((1, 0), (3, 1), (11, 2), (16, 3)):
@@ -100,7 +100,7 @@ def test_scores_do_not_depend_on_the_partitioning(spark):
 
 def test_bands_hold_any_value_of_their_range(spark):
     r = random.Random(12)
-    for low, high in ((-36, -30), (-12, 0), (0, 12), (40, 47)):
+    for low, high in ((-23, -15), (-12, 0), (0, 12), (28, 35)):
         values = [r.choice([-1, 1]) * 10 ** r.uniform(low, high) for _ in range(500)]
         got = spark.createDataFrame([(v,) for v in values], "v double").transform(lambda d: fixed_sums(d, [], {"v": F.col("v")})).first()[0]
         assert abs(got - math.fsum(values)) <= 1e-14 * math.fsum(map(abs, values))

@@ -69,3 +69,26 @@ def test_salted_link_matches(spark):
         rows = salted.select("panel_id", "txn_id").collect()
     assert sorted(rows) == sorted(plain)
     assert len(rows) == 9_000
+
+
+def test_pipeline_spreads_a_hot_customer_by_itself(spark, tmp_dir, monkeypatch):
+    """No caller names the hot key, and adaptive execution is off."""
+    import os
+
+    from demandcast.operators.linking import hot_customers
+    from demandcast.plans import pipeline
+    from sample_rows import PANEL_ROWS
+    from test_pipeline_and_streaming import CREDIT_HEADER, PANEL_HEADER, write_csv
+
+    rows = [(i, "K7" if i % 3 == 0 else f"X{i % 500}", "2024-01-%02d" % (1 + i % 28), "oat", "north", 1.0, 1.0, 1) for i in range(6000)]
+    credit = write_csv(os.path.join(tmp_dir, "credit.csv"), CREDIT_HEADER, rows)
+    panel = write_csv(os.path.join(tmp_dir, "panel.csv"), PANEL_HEADER, PANEL_ROWS)
+    monkeypatch.setattr(pipeline, "HOT_KEY_ROWS", 500)
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    with conf(spark, off):
+        run = pipeline.run_pipeline(spark, credit, panel, os.path.join(tmp_dir, "l"), os.path.join(tmp_dir, "f"), use_regression=False)
+        linked = spark.read.parquet(run.paths["linked_panel_credit"])
+        files = [r["count"] for r in linked.groupBy(F.input_file_name()).count().collect()]
+    assert linked.count() == 2000 and len(files) >= 6 and max(files) < 700
+    landed = spark.read.parquet(run.paths["credit_txn"])
+    assert hot_customers(landed, 0.01) == ["K7"] and hot_customers(landed, 0.01, min_rows=5000) == []
