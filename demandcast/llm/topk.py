@@ -17,8 +17,9 @@ blocks, and every (chunk, query block) tile is one small matrix product.
 3. The full scores of the vectors that stay are resolved exactly, and the k
    best per tile are merged into the k best per query.
 
-Components are floor(scale * x) as integers. Products run in float64 while
-every sum is below 2^53, where it is exact, and in Python integers beyond.
+Components are floor(scale * x) as integers, of any size. Products run in
+float64 while every sum is below 2^53, where it is exact, and in Python
+integers beyond; only a score that does not fit 64 bits fails.
 
 Every vector is compared with every query, in tiles, as the search is exact
 over a stated query set; a tile returns k rows a query at most. Chunks hold
@@ -54,11 +55,19 @@ _HITS = pa.schema([("block", pa.int64()), ("row", pa.int32()), ("query_id", pa.i
 HITS = "block long, row int, query_id long, vec_id long, score long"
 
 
-def _matrix(blob: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(blob, "<i8").reshape(-1, dim)
+_whole = np.frompyfunc(int, 1, 1)
 
 
-def _packed(vectors: DataFrame, scale: int, rows: int) -> DataFrame:
+def _matrix(blob: bytes, dim: int, scale: int) -> np.ndarray:
+    """floor(scale * x) of packed components: whole float64 numbers, or Python
+    integers where they go beyond the range of doubles."""
+    x = np.frombuffer(blob, "<f8").reshape(-1, dim)
+    with np.errstate(over="ignore"):
+        scaled = np.floor(x * scale)
+    return scaled if np.isfinite(scaled).all() else np.where(np.isfinite(scaled), 0, _whole(x) * scale) + _whole(np.where(np.isfinite(scaled), scaled, 0))
+
+
+def _packed(vectors: DataFrame, rows: int) -> DataFrame:
     """(dim, n, ids, vals): up to ``rows`` valid vectors of one length a row."""
     schema = pa.schema([("dim", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("vals", pa.binary())])
 
@@ -71,7 +80,7 @@ def _packed(vectors: DataFrame, scale: int, rows: int) -> DataFrame:
                 part = slice(at, at + rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([dim], pa.int32()), pa.array([len(ids[part])], pa.int32()),
-                     pa.array([ids[part].astype("<i8").tobytes()], pa.binary()), pa.array([vals[part].astype("<i8").tobytes()], pa.binary())],
+                     pa.array([ids[part].astype("<i8").tobytes()], pa.binary()), pa.array([vals[part].astype("<f8").tobytes()], pa.binary())],
                     schema=schema)
 
         for batch in rows_in(batches, rows):
@@ -81,13 +90,11 @@ def _packed(vectors: DataFrame, scale: int, rows: int) -> DataFrame:
             values = flat.to_numpy(zero_copy_only=False)  # null as NaN
             lengths = np.array([0 if n is None else n for n in pa.compute.list_value_length(lists).to_pylist()], np.int64)
             ends = np.cumsum(lengths)
-            scaled = np.floor(values * scale)
-            finite = np.concatenate([[0], np.cumsum(np.isfinite(values) & (np.abs(scaled) < 2.0**62))])
+            finite = np.concatenate([[0], np.cumsum(np.isfinite(values))])
             good = (lengths > 0) & (finite[ends] - finite[ends - lengths] == lengths)
             for dim in np.unique(lengths[good]):
                 where = np.flatnonzero(good & (lengths == dim))
-                took = scaled[(ends[where] - dim)[:, None] + np.arange(dim)]
-                held.setdefault(int(dim), []).append((ids[where], took.astype(np.int64)))
+                held.setdefault(int(dim), []).append((ids[where], values[(ends[where] - dim)[:, None] + np.arange(dim)]))
                 if sum(len(i) for i, _ in held[int(dim)]) >= rows:
                     yield from flush(int(dim))
         for dim in list(held):
@@ -100,9 +107,9 @@ def _product(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """q @ v.T of integers, exact."""
     if not q.size or not v.size:
         return np.zeros((len(q), len(v)))
-    if float(np.abs(q).max()) * float(np.abs(v).max()) * q.shape[1] < EXACT:
-        return q.astype(np.float64) @ v.astype(np.float64).T
-    return q.astype(object) @ v.astype(object).T
+    if q.dtype != object and v.dtype != object and float(np.abs(q).max()) * float(np.abs(v).max()) * q.shape[1] < EXACT:
+        return q @ v.T
+    return _whole(q) @ _whole(v).T
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -140,13 +147,13 @@ def _tile(q_ids, q, v_ids, v, k, blocks, bounds) -> Iterator[tuple[int, np.ndarr
         yield i, other[some[best]], scores[best]
 
 
-def _search(tiles: DataFrame, k: int, blocks: int) -> DataFrame:
+def _search(tiles: DataFrame, k: int, blocks: int, scale: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_in(batches, 1):
             row = batch.to_pylist()[0]
             q_ids, v_ids = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["ids"], "<i8")
             out: list[tuple] = []
-            found = _tile(q_ids, _matrix(row["q_vals"], row["dim"]), v_ids, _matrix(row["vals"], row["dim"]), k, blocks, row["bounds"])
+            found = _tile(q_ids, _matrix(row["q_vals"], row["dim"], scale), v_ids, _matrix(row["vals"], row["dim"], scale), k, blocks, row["bounds"])
             for i, at, scores in found:
                 out += [(row["block"], i, int(q_ids[i]), int(v_ids[a]), int(s)) for a, s in zip(at, scores)]
             if out:
@@ -174,9 +181,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, scratch: Scratch, k: int = 5,
             F.col("_id").cast("long").alias("_id"), F.col("_vec").cast("array<double>").alias("_vec"))
 
     number = F.monotonically_increasing_id()
-    chunks = scratch.write(_packed(source(vectors), scale, chunk_rows).withColumn("chunk", number), "chunks")
+    chunks = scratch.write(_packed(source(vectors), chunk_rows).withColumn("chunk", number), "chunks")
     asked = scratch.write(
-        _packed(source(queries), scale, max(1, chunk_rows // 8)).select(
+        _packed(source(queries), max(1, chunk_rows // 8)).select(
             number.alias("block"), F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals")), "queries")
 
     # a tile per chunk and query block of one length: the query blocks, a
@@ -188,7 +195,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, scratch: Scratch, k: int = 5,
         sent = blocks_of_queries.join(places, F.col("q_dim") == F.col("dim")).drop("dim").withColumn("to", F.explode("places")).drop("places")
         return sent.join(chunks, F.col("to") == F.col("chunk"))
 
-    first = scratch.write(_merge(_search(tiles(asked.select("*", no_bounds)), k, blocks), k), "lists")
+    first = scratch.write(_merge(_search(tiles(asked.select("*", no_bounds)), k, blocks, scale), k), "lists")
     kth = F.when(F.size("best") >= k, -F.element_at("best", k)["neg"])
     bounds = first.select("block", F.struct("row", kth.alias("kth")).alias("b")).groupBy("block").agg(F.collect_list("b").alias("known"))
 
@@ -199,6 +206,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, scratch: Scratch, k: int = 5,
             F.transform(rows, lambda r: F.try_element_at(by_row, r)))
 
     bounded = asked.join(bounds, "block", "left").withColumn("bounds", spread(F.col("known"), F.col("q_ids"))).drop("known")
-    final = _merge(_search(tiles(bounded), k, blocks), k)
+    final = _merge(_search(tiles(bounded), k, blocks, scale), k)
     return final.select("query_id", F.posexplode("best").alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).cast(T.IntegerType()).alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.neg")).alias("score"))

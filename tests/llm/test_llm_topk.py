@@ -1,7 +1,9 @@
 """Exact top-k against brute force."""
 
 import math
+from fractions import Fraction
 
+import pytest
 from llm_helpers import clashing, rng
 
 from demandcast.llm import topk as K
@@ -12,7 +14,7 @@ def brute(rows, queries, k=5):
     def ints(v):
         if not v or any(x is None or not math.isfinite(x) for x in v):
             return None
-        return [math.floor(256 * x) for x in v]
+        return [math.floor(256 * Fraction(x)) for x in v]
 
     good = [(i, v) for i, v in ((i, ints(v)) for i, v in rows) if i is not None and v]
     out = []
@@ -59,3 +61,14 @@ def test_fewer_candidates_and_large_products(spark):
     rows = [(i, as_float(v)) for i, v in rows]
     assert run(spark, rows) == brute(rows, rows[:1])
     assert run(spark, []) == []
+
+
+def test_components_of_any_size_take_part(spark):
+    """No vector is left out for the size of its components, as long as its
+    scores fit 64 bits."""
+    rows = [(0, [0.0, 1.0]), (1, [2e16, 5.0]), (2, [1e300, 4.0]), (3, [1.7e308, 9.0]), (4, [-1e306, 2.0]), (6, [0.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, K.top_k(df, df.filter("vec_id = 0"), Scratch(spark, "t")).collect()))
+    assert found == brute(rows, rows[:1])
+    with pytest.raises(Exception):
+        K.top_k(df, df.filter("vec_id = 1"), Scratch(spark, "t")).collect()
