@@ -12,15 +12,14 @@ from demandcast.schemas import FORECAST_OUTPUT
 
 LGB = "sku string, region string, date date, `q0.1_lgb` double, `q0.5_lgb` double, `q0.9_lgb` double"
 DEEPAR = "sku string, region string, date date, `q0.1_deepar` double, `q0.5_deepar` double, `q0.9_deepar` double"
-d1, d2 = dt.date(2025, 2, 1), dt.date(2025, 2, 8)
+d1, d2 = dt.date(2023, 8, 7), dt.date(2023, 8, 14)
 
 
-def test_lgb_only_layout(spark):
-    lgb = spark.createDataFrame([("S1", "NE", d1, 1.0, 2.0, 3.0)], LGB)
-    out = ensemble(lgb=lgb)
+def test_lgb_only_passes_through_clamped(spark):
+    rows = [("spelt", "east", d2, -0.75, 0.0, 11.5), ("spelt", "east", d1, 3.25, 6.5, None)]
+    out = ensemble(lgb=spark.createDataFrame(rows, LGB))
     assert out.columns == FORECAST_OUTPUT
-    row = out.first()
-    assert all(row[c] >= 0 for c in ["q0.1", "q0.5", "q0.9"])
+    assert sorted(tuple(r)[2:] for r in out.collect()) == [(d1, 3.25, 6.5, None), (d2, 0.0, 0.0, 11.5)]
 
 
 def test_no_slots():

@@ -21,22 +21,14 @@ def test_known_value_of_default_salt(spark):
 
 
 def test_matches_python_hmac(spark):
-    values = ["customer_123", "customer_456", "", "Zoë-ß-東京", None, "x" * 300]
-    salts = ["salt1", "salt2", "s" * 100, "ключ"]
+    values = ["K7", "K07", "", "Zoë-ß-東京", None, "x" * 300, "a\x00b"]
     df = spark.createDataFrame([(v,) for v in values], "id string")
-    for salt in salts:
+    digests = set()
+    for salt in ["rye", "s" * 64, "s" * 100, "ключ"]:  # up to and beyond the block of SHA-256
         got = [r["h"] for r in df.select(hmac_sha256_hex(F.col("id"), salt).alias("h")).collect()]
         assert got == [py_hmac(v, salt) for v in values]
-
-
-def test_deterministic_and_sensitive(spark):
-    df = spark.createDataFrame([("customer_123",), ("customer_456",)], "id string")
-    a = [r[0] for r in df.select(hmac_sha256_hex("id", "salt1")).collect()]
-    b = [r[0] for r in df.select(hmac_sha256_hex("id", "salt1")).collect()]
-    c = [r[0] for r in df.select(hmac_sha256_hex("id", "salt2")).collect()]
-    assert a == b
-    assert a[0] != a[1]
-    assert a[0] != c[0]
+        digests.update(h for h in got if h)
+    assert len(digests) == 4 * 6  # every id and every salt gives another one
 
 
 def test_numeric_ids_hash_their_text(spark):

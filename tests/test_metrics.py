@@ -1,11 +1,10 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from demandcast.functions.numeric import fixed_sums
-import pytest
-
 from demandcast.operators.metrics import pinball_loss, score_by_series, wape
 
 SCHEMA = "actual double, `q0.1` double, `q0.5` double, `q0.9` double"
@@ -16,12 +15,12 @@ def pairs(spark, ys, ps):
 
 
 def test_wape_known_value(spark):
-    assert wape(pairs(spark, [10, 20, 30], [12, 18, 30])).first()["wape"] == pytest.approx(4 / 60)
+    # errors 3, 0.5, 0, 6.5 of 3 + 4.5 + 16 + 1 sold
+    assert wape(pairs(spark, [3, 4.5, 16, -1], [0, 5, 16, 5.5])).first()["wape"] == pytest.approx(10 / 24.5)
 
 
-def test_wape_zero_actual_is_finite(spark):
-    value = wape(pairs(spark, [0, 0], [1, 2])).first()["wape"]
-    assert math.isfinite(value)
+def test_wape_without_sales_divides_by_its_floor(spark):
+    assert wape(pairs(spark, [0, 0, 0], [0.25, -0.5, 0])).first()["wape"] == pytest.approx(0.75 / 1e-9)
 
 
 def test_wape_empty_is_zero(spark):
@@ -34,13 +33,11 @@ def test_wape_nan_propagates(spark):
 
 
 def test_pinball(spark):
-    perfect = {r["quantile"]: r["pinball_loss"] for r in pinball_loss(pairs(spark, [1, 2, 3], [1, 2, 3])).collect()}
-    assert perfect == {0.1: 0.0, 0.5: 0.0, 0.9: 0.0}
-    errs = {r["quantile"]: r["pinball_loss"] for r in pinball_loss(pairs(spark, [1, 2, 3], [0, 3, 3])).collect()}
-    # e = (1, -1, 0)
-    assert errs[0.5] == pytest.approx(1 / 3)
-    assert errs[0.1] == pytest.approx((0.1 * 1 + 0.9 * 1) / 3)
-    assert errs[0.9] == pytest.approx((0.9 * 1 + 0.1 * 1) / 3)
+    """Two sold above the forecast by 4 and 2.5, one below by 8, one met."""
+    got = {r["quantile"]: r["pinball_loss"] for r in pinball_loss(pairs(spark, [9, 6.5, 1, 7], [5, 4, 9, 7])).collect()}
+    for q in (0.1, 0.5, 0.9):
+        assert got[q] == pytest.approx((q * 6.5 + (1 - q) * 8) / 4)
+    assert {r["pinball_loss"] for r in pinball_loss(pairs(spark, [4, 8], [4, 8])).collect()} == {0.0}
 
 
 def test_pinball_empty_is_null(spark):

@@ -28,25 +28,38 @@ def write(path, text):
 
 
 def test_required_columns(spark):
-    df = spark.createDataFrame([(1, 2, 3)], "a long, b long, c long")
-    check_required_columns(df, ["a", "b"])
-    df2 = spark.createDataFrame([(1, 2)], "a long, b long")
-    with pytest.raises(ValueError, match=r"missing required columns: \['c'\]"):
-        check_required_columns(df2, ["a", "c"], "df")
-
-
-def test_totals(spark):
-    p = spark.createDataFrame([(10,), (20,)], "quantity long")
-    c = spark.createDataFrame([(28,), (2,)], "quantity long")
-    check_totals_close(p, c, tol=0.25)
-    check_totals_close(p, c, tol=0.0)
-    zero = spark.createDataFrame([(0,)], "quantity long")
-    check_totals_close(zero, zero)
-    assert totals_report(zero, zero).first()["ratio"] is None
-    with pytest.raises(TotalsMismatchError, match="deviate"):
-        check_totals_close(spark.createDataFrame([(30,)], "quantity long"), spark.createDataFrame([(100,)], "quantity long"))
-    no_col = spark.createDataFrame([(1,)], "x long")
-    assert totals_report(no_col, c).first()["panel_total"] == 0.0
+    """All missing names are told, in the contract's order, under the table's name."""
+    shelf = spark.createDataFrame([], "tray string, loaves long, baked date")
+    assert check_required_columns(shelf, ["baked", "tray"], "shelf") is None
+    with pytest.raises(ValueError, match=r"^shelf missing required columns: \['oven', 'baker'\]$"):
+        check_required_columns(shelf, ["oven", "tray", "baker"], "shelf")
+
+
+def sold(spark, *quantities):
+    return spark.createDataFrame([(q,) for q in quantities], "quantity long")
+
+
+@pytest.mark.parametrize("panel, credit, tolerance, close", [
+    ((7, 1), (8,), 0.0, True),
+    ((9,), (6, 6), 0.25, True),  # exactly a quarter off
+    ((89,), (12, 108), 0.25, False),
+    ((5,), (-4,), 0.25, True),  # a negative total gives a negative ratio
+    ((None, 3), (3, None), 0.0, True),
+    ((40,), (0,), 0.25, True),  # nothing to compare with
+])
+def test_totals(spark, panel, credit, tolerance, close):
+    p, c = sold(spark, *panel), sold(spark, *credit)
+    if close:
+        check_totals_close(p, c, tol=tolerance)
+    else:
+        with pytest.raises(TotalsMismatchError, match="deviate"):
+            check_totals_close(p, c, tol=tolerance)
+
+
+def test_totals_report(spark):
+    assert tuple(totals_report(sold(spark, 2, 4), sold(spark, 8)).first()) == (6.0, 8.0, 0.25)
+    assert totals_report(sold(spark, 2), sold(spark)).first()["ratio"] is None
+    assert totals_report(spark.createDataFrame([("r",)], "tray string"), sold(spark, 8)).first()["panel_total"] == 0.0
 
 
 CREDIT_HEADER = "txn_id,customer_id,txn_date,sku,region,amount,price,quantity\n"
@@ -60,18 +73,17 @@ def test_missing_file(spark, tmp_dir):
 
 def test_csv_by_name_keeps_text_ids_and_na(spark, tmp_dir):
     path = write(os.path.join(tmp_dir, "c.csv"),
-                 "quantity,customer_id,txn_id,txn_date,sku,region,amount,price\n5,00123,1,2025-01-01,S1,NA,10.0,2.0\n")
+                 "quantity,customer_id,txn_id,txn_date,sku,region,amount,price\n12,0077,31,2023-03-09,spelt,NA,42.0,3.5\n")
     row = read_csv(spark, path, CREDIT_SCHEMA).first()
-    assert row["customer_id"] == "00123" and row["region"] == "NA" and row["quantity"] == 5 and row["txn_id"] == 1
+    assert row["customer_id"] == "0077" and row["region"] == "NA" and row["quantity"] == 12 and row["txn_id"] == 31
 
 
 def test_ingest_validates_before_writing(spark, tmp_dir):
-    credit = write(os.path.join(tmp_dir, "credit.csv"), CREDIT_HEADER + "1,x,2025-01-01,S1,NE,10.0,2.0,5\n")
-    bad_credit = write(os.path.join(tmp_dir, "bad_credit.csv"),
-                       "txn_id,customer_id,txn_date,sku,region,amount,price\n1,x,2025-01-01,S1,NE,10.0,2.0\n")
-    panel = write(os.path.join(tmp_dir, "panel.csv"), PANEL_HEADER + "p1,x,35-54,NE,50k,3\n")
-    bad_panel = write(os.path.join(tmp_dir, "bad_panel.csv"),
-                      "panel_id,customer_id,age_group,region,income_bin\np1,x,35-54,NE,50k\n")
+    sale, member = "58,K4,2023-11-20,rye,east,12.0,4.0,3\n", "m7,K4,50+,east,mid,2\n"
+    credit = write(os.path.join(tmp_dir, "credit.csv"), CREDIT_HEADER + sale)
+    bad_credit = write(os.path.join(tmp_dir, "bad_credit.csv"), CREDIT_HEADER.replace("quantity", "pieces") + sale)
+    panel = write(os.path.join(tmp_dir, "panel.csv"), PANEL_HEADER + member)
+    bad_panel = write(os.path.join(tmp_dir, "bad_panel.csv"), PANEL_HEADER.replace("household_size", "heads") + member)
     landing = os.path.join(tmp_dir, "landing")
     with pytest.raises(ValueError, match="credit_csv missing required columns"):
         ingest(spark, bad_credit, panel, landing)
@@ -80,7 +92,7 @@ def test_ingest_validates_before_writing(spark, tmp_dir):
     assert load_optional(spark, artefact_path(landing, "credit_txn")) is None
     written = ingest(spark, credit, panel, landing)
     assert set(written) == {"credit_txn", "panel"}
-    assert spark.read.parquet(written["panel"]).first()["household_size"] == 3
+    assert spark.read.parquet(written["panel"]).first()["household_size"] == 2
 
 
 def test_parquet_roundtrip_and_optional_loads(spark, tmp_dir):
