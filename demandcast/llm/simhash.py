@@ -2,35 +2,42 @@
 
 A fingerprint is eight bytes at eight positions. Two fingerprints that differ
 in at most d bits differ in at most d bytes, so they share at least 8 - d
-positional bytes: the guaranteed minimum. Posting lists of single positional
-bytes hold 1/256 of all fingerprints each, and pairing within them grows with
-the square of the corpus; the index is therefore kept by sets of 8 - d
-positions and their bytes. Every pair that reaches the minimum tally meets in
-a list, and pairs below it in none.
+positional bytes: the guaranteed minimum.
 
 * Fingerprints are made distinct first, so copies of any number are one entry.
-* A list of two is its pair. Lists up to ``PAIRED`` members are paired; the
-  tally of shared positional bytes is taken per pair, pairs below the minimum
-  go, the rest are verified by their bit distance.
-* The members of a longer list differ in d bytes only. There a pair within d
-  bits (d = 2) has a midpoint one bit from each at most: every member names
-  its 1 + 8d possible midpoints, and members of a midpoint are linked to the
-  smallest of them. These links are true links, reach every pair within the
-  distance, and grow in proportion to the list, so no list is capped.
+* Index. A posting list holds the fingerprints with the same bytes at a set of
+  positions. Lists of one position hold 1/256 of all fingerprints each; a list
+  of over ``paired`` members is heavy and is split by each further position.
+  Sizes at which even lists would hold over ``LOAD`` members on average are
+  passed over, since they would be split anyway.
+* Count. A list that is not heavy gives its pairs, each with the positions of
+  the list. Gathered per pair, they are the positions its two members share; at
+  8 - d or more the pair is retained, below it goes. Splitting keeps the count
+  whole: every shared position stands in a list that is not heavy, or in a
+  heavy one of 8 - d positions, which both members are in.
+* Verify by the bit distance.
+* Heavy lists of 8 - d positions are not split further, as their members may
+  differ in all other bytes. Their pairs have met the minimum by being there. A
+  pair within d bits has a point within d // 2 bits of one and d - d // 2 of
+  the other: members name these points, and all that name a point are linked to
+  the smallest of those within d // 2 bits of it. These links are true links,
+  connect every pair within the distance, and grow in proportion to the list
+  (17 rows a member for two bits), so no list is capped.
 
 Groups are the connected components over links (see ``components``).
 
 Cases: a null or empty text has fingerprint 0, linked like any other; fewer
-words than a shingle make one shingle of them all; rows that share an id are
-judged one by one and share the group's smallest id; a group without any id
-has a null id; an empty table gives an empty result. ``one_of_each`` keeps
-one row of a group: that of the smallest id, of several such rows any one of
-smallest fingerprint.
+words than a shingle make one shingle of them all; a very long text is hashed
+in pieces; rows that share an id are judged one by one and share the group's
+smallest id; a group without any id has a null id; an empty table gives an
+empty result. ``one_of_each`` keeps one row of a group: that of the smallest
+id, of several such rows the one of smallest fingerprint, then text, then row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -46,7 +53,8 @@ SHINGLE = 3
 DISTANCE = 2
 HASH_SEED = 42
 BYTES = 8
-PAIRED = 32  # longer lists are linked through midpoints
+PAIRED = 32  # longer lists are heavy
+LOAD = 1 / 8  # members of an even list; beyond it lists of one more position
 PIECE = 1 << 16  # shingles hashed at a time
 
 
@@ -85,51 +93,78 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _mask(positions: tuple[int, ...]) -> int:
-    return sum(0xFF << (8 * p) for p in positions)
+def _first_size(n: int, shared: int) -> int:
+    """Positions of the lists that indexing begins with."""
+    size = 1
+    while size < shared and n > LOAD * 256**size:
+        size += 1
+    return size
+
+
+def _bits(positions: tuple[int, ...]) -> int:
+    return sum(1 << p for p in positions)
+
+
+def _keyed(entries: DataFrame) -> DataFrame:
+    """(set, key, fp) of (set, fp): the bytes at the positions of ``set``."""
+    held = [F.when(F.col("set").bitwiseAND(F.lit(1 << p)) != 0, F.lit(_signed(0xFF << 8 * p)).cast("long")).otherwise(F.lit(0).cast("long"))
+            for p in range(BYTES)]
+    return entries.select("set", F.col("fp").bitwiseAND(reduce(lambda x, y: x.bitwiseOR(y), held)).alias("key"), "fp")
+
+
+def meetings(distinct: DataFrame, scratch: Scratch, shared: int, paired: int = PAIRED) -> tuple[DataFrame, DataFrame]:
+    """((a, b, set) per meeting of a pair in a list that is not heavy,
+    (set, key, fp) of the heavy lists of ``shared`` positions)."""
+    size = _first_size(distinct.count(), shared)
+    sets = F.array(*[F.lit(_bits(s)) for s in combinations(range(BYTES), size)])
+    entries = distinct.select(F.explode(sets).alias("set"), "fp")
+    met = []
+    while True:
+        index = _keyed(entries)
+        lists = scratch.write(
+            index.groupBy("set", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1"), "lists")
+        members = scratch.write(index.join(lists.filter("n > 2").select("set", "key", "n"), ["set", "key"]), "members")
+        short, heavy = members.filter(F.col("n") <= paired), members.filter(F.col("n") > paired)
+        other = short.select("set", "key", F.col("fp").alias("b"))
+        met.append(lists.filter("n = 2").select("a", "b", "set"))
+        met.append(short.select("set", "key", F.col("fp").alias("a")).join(other, ["set", "key"]).filter("a < b").select("a", "b", "set"))
+        if size == shared or heavy.isEmpty():
+            return reduce(DataFrame.union, met), heavy.select("set", "key", "fp")
+        wider = F.filter(F.array(*[F.col("set").bitwiseOR(F.lit(1 << p)) for p in range(BYTES)]), lambda s: s != F.col("set"))
+        entries = scratch.write(heavy.select(F.explode(wider).alias("set"), "fp").distinct(), "split")
+        size += 1
+
+
+def tally(met: DataFrame) -> DataFrame:
+    """(a, b, tally): positions at which the members of a pair share a byte."""
+    return met.groupBy("a", "b").agg(F.bit_count(F.bit_or("set")).alias("tally"))
 
 
 def links(distinct: DataFrame, scratch: Scratch, distance: int = DISTANCE, paired: int = PAIRED) -> DataFrame:
     """True links (a, b) between distinct fingerprints ``fp`` that connect all
-    pairs within ``distance`` bits."""
+    pairs within ``distance`` bits (0 to 7)."""
+    if not 0 <= distance < BYTES:
+        raise ValueError(f"distance must be 0 to {BYTES - 1} bits")
     shared = BYTES - distance
-    sets = list(combinations(range(BYTES), shared))
-    keys = F.array(*[F.struct(F.lit(i).cast("byte").alias("set"), F.col("fp").bitwiseAND(F.lit(_signed(_mask(s)))).alias("key")) for i, s in enumerate(sets)])
-    postings = distinct.select("fp", F.explode(keys).alias("k")).select("k.set", "k.key", "fp")
-    lists = scratch.write(
-        postings.groupBy("set", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1"), "lists")
-
-    def near(pairs: DataFrame) -> DataFrame:
-        equal = [(F.shiftrightunsigned(F.col("a").bitwiseXOR(F.col("b")), 8 * p).bitwiseAND(F.lit(0xFF)) == 0).cast("int") for p in range(BYTES)]
-        tally = sum(equal[1:], equal[0])
-        return pairs.withColumn("tally", tally).filter(F.col("tally") >= shared).filter(
-            F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance).select("a", "b")
-
-    twos = near(lists.filter("n = 2").select("a", "b"))
-    members = scratch.write(postings.join(lists.filter("n > 2").select("set", "key", "n"), ["set", "key"]), "members")
-    short = members.filter(F.col("n") <= paired)
-    some = near(
-        short.select("set", "key", F.col("fp").alias("a")).join(short.select("set", "key", F.col("fp").alias("b")), ["set", "key"]).filter("a < b").select("a", "b"))
-    return twos.union(some).union(_midpoint_links(members.filter(F.col("n") > paired), sets, distance)).distinct()
-
-
-def _midpoint_links(members: DataFrame, sets: list[tuple[int, ...]], distance: int) -> DataFrame:
-    """Links of long lists: members to the smallest member of each midpoint.
-
-    Midpoints differ from a member in floor(distance / 2) bits at most, so two
-    members of one differ in ``distance`` at most; for an odd distance the
-    members one bit farther are linked to the midpoint's members as well.
-    """
-    if distance != 2:
-        raise ValueError("long lists are linked for a distance of 2 bits")
+    met, heavy = meetings(distinct, scratch, shared, paired)
+    retained = tally(met).filter(F.col("tally") >= shared)
+    verified = retained.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance).select("a", "b")
+    return verified.union(_point_links(heavy, distance)).distinct()
+
+
+def _point_links(members: DataFrame, distance: int) -> DataFrame:
+    """Links of heavy lists: members to the smallest near member of each point
+    they name. The table of flips depends on the distance alone (476 rows for
+    two bits)."""
+    near, far = distance // 2, distance - distance // 2
     flips = []
-    for held in sets:
+    for held in combinations(range(BYTES), BYTES - distance):
         free = [8 * p + b for p in range(BYTES) if p not in held for b in range(8)]
-        flips.append(F.array(F.lit(0).cast("long"), *[F.lit(_signed(1 << b)).cast("long") for b in free]))
-    chosen = F.element_at(F.array(*flips), F.col("set").cast("int") + 1)
-    named = members.select("fp", F.explode(chosen).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
-    least = named.groupBy("middle").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return named.join(least, "middle").filter("fp <> b").select(F.col("fp").alias("a"), "b")
+        flips += [(_bits(held), _signed(_bits(bits)), n <= near) for n in range(far + 1) for bits in combinations(free, n)]
+    table = members.sparkSession.createDataFrame(flips, "set int, flip long, near boolean")
+    named = members.select("set", "fp").join(F.broadcast(table), "set").select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"), "near")
+    least = named.groupBy("point").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return named.join(least, "point").filter("fp <> b").select(F.col("fp").alias("a"), "b")
 
 
 def groups(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,7 +200,8 @@ def one_of_each(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, dista
         rows = packed.join(shared, F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
         told = _with_fingerprint(rows, shingle)
         picked = told.join(winners.select("doc_id", F.col("fp").alias("_won"), "root"), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_fp") == F.col("_won")))
-        kept = kept.union(picked.groupBy("root").agg(F.first("_row").alias("_row")).select("_row"))
+        first = F.min_by("_row", F.struct("_text", F.to_json("_row")))
+        kept = kept.union(picked.groupBy("root").agg(first.alias("_row")).select("_row"))
     return unpack_row(kept, docs.columns)
 
 

@@ -1,6 +1,7 @@
-"""SimHash groups against brute force, also through midpoints of long lists."""
+"""SimHash groups against brute force, also through points of heavy lists."""
 
 import numpy as np
+import pytest
 import xxhash
 from llm_helpers import clashing, documents, random_text, rng, words
 
@@ -64,21 +65,65 @@ def planted(r):
     return sorted(set(fps))
 
 
-def test_links_with_and_without_midpoints(spark):
-    fps = planted(rng(9))
-    roots = brute_groups(fps)
-    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
-    for paired in (2, 8, 1000):
-        edges = H.links(df, Scratch(spark, "t"), paired=paired).collect()
-        assert all(bin((e.a ^ e.b) & (1 << 64) - 1).count("1") <= 2 for e in edges)
-        found = {f: f for f in fps}
-        scratch = Scratch(spark, "t")
-        linked = spark.createDataFrame(edges, "a long, b long")
-        unsigned = lambda v: v & (1 << 64) - 1
-        for r in components(linked, scratch).collect():
-            found[unsigned(r.node)] = unsigned(r.root)
-        same = lambda m: {frozenset(f for f in fps if m[f] == g) for g in m.values()}
-        assert same(found) == same(roots)
+def signed(spark, fps):
+    return spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+
+
+def unsigned(v):
+    return v & (1 << 64) - 1
+
+
+def shared_bytes(a, b):
+    return sum((a ^ b) >> 8 * p & 0xFF == 0 for p in range(8))
+
+
+def check_links(spark, fps, distance, paired):
+    roots = brute_groups(fps, distance)
+    edges = H.links(signed(spark, fps), Scratch(spark, "t"), distance, paired).collect()
+    assert all(bin(unsigned(e.a ^ e.b)).count("1") <= distance for e in edges)
+    found = {f: f for f in fps}
+    for r in components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "t")).collect():
+        found[unsigned(r.node)] = unsigned(r.root)
+    same = lambda m: {frozenset(f for f in fps if m[f] == g) for g in m.values()}
+    assert same(found) == same(roots)
+
+
+@pytest.mark.parametrize("paired", [2, 8, 1000])
+def test_links_with_and_without_heavy_lists(spark, paired):
+    check_links(spark, planted(rng(9)), 2, paired)
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3])
+def test_links_at_other_distances(spark, distance):
+    check_links(spark, planted(rng(9))[:120], distance, 8)
+    with pytest.raises(ValueError, match="distance"):
+        H.links(signed(spark, [1]), Scratch(spark, "t"), 8)
+
+
+@pytest.mark.parametrize("paired", [4, 1000])
+def test_tally_counts_shared_bytes(spark, paired):
+    """Pairs that share six bytes are counted in full unless they lie in a
+    heavy list of six; pairs that share fewer are met too, and are rejected."""
+    fps = planted(rng(4))
+    met, heavy = H.meetings(signed(spark, fps), Scratch(spark, "t"), 6, paired)
+    counts = {(unsigned(r.a), unsigned(r.b)): r.tally for r in H.tally(met).collect()}
+    lists = {}
+    for r in heavy.collect():
+        lists.setdefault((r.set, r.key), set()).add(unsigned(r.fp))
+    assert all(len(m) > paired for m in lists.values()) and bool(lists) == (paired == 4)
+    for i, a in enumerate(fps):
+        for b in fps[i + 1:]:
+            shared = shared_bytes(a, b)
+            pair = (a, b) if (a, b) in counts else (b, a)
+            told = counts.get(pair, 0)
+            assert told <= shared
+            if shared >= 6 and not any(a in m and b in m for m in lists.values()):
+                assert told == shared
+    assert any(n < 6 for n in counts.values())
+
+
+def test_lists_begin_with_more_positions_for_more_fingerprints():
+    assert [H._first_size(n, 6) for n in (0, 32, 33, 8192, 8193, 10**7, 10**11, 10**14)] == [1, 1, 2, 2, 3, 4, 5, 6]
 
 
 def test_components_of_paths_stars_and_nothing(spark):
