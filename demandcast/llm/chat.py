@@ -17,13 +17,18 @@ out by (conversation, turn), so one long conversation is many groups, and
 holds one message at a time. Only what is defined over a whole conversation
 in order (:func:`conversation_digests`) reads it in one task, as a stream.
 
+:func:`streamed_rows` writes a table of finished messages as such a log. Digests
+are taken from the joined text: it is parsed by the template's marks alone, and
+a text that does not end with a message raises.
+
 Template: ``<|im_start|>ROLE\\nTEXT<|im_end|>\\n``. Inside texts a backslash is
 doubled and every control string is broken by a backslash after its first
 character, so no control string occurs in a formatted text but the template's
 own, and removing the backslashes gives the text back.
 
-Cases: null text and null role are empty; a null kind is ``message``; an
-unknown kind raises; deltas, edits and regenerations without a message before
+Cases: null text and null role are empty; kinds are read without case and
+surrounding spaces, a null kind is ``message``, and events of any other kind
+(logs carry reactions, pings and the like) change nothing; deltas, edits and regenerations without a message before
 them start one; rows that tie in (turn, sequence) are taken by kind, role,
 text; repeated ``message`` rows are messages of their own; a null
 conversation id is a conversation; an empty log gives no rows.
@@ -34,9 +39,10 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandcast.llm.common import map_arrow, pick, rows_in
@@ -49,6 +55,7 @@ _CONTROL = re.compile("|".join(re.escape(c) for c in CONTROL))
 _BACKSLASH = re.compile(r"\\(\\?)")
 KINDS = ("message", "delta", "edit", "regenerate", "delete")
 ROWS_AT_A_TIME = 1024
+PIECES = 4  # deltas a text is streamed in
 
 
 def escape(text: str) -> str:
@@ -79,9 +86,23 @@ def parse_message(segment: str) -> tuple[str, str]:
         raise ValueError("not a formatted message")
     inner = segment[len(BEGIN):-len(END) - 1]
     head = _HEAD.match(inner)
+    if head is None:
+        raise ValueError("a formatted message without a role line")
     return unescape(head[1]), unescape(inner[head.end():])
 
 
+def parse_conversation(text: str) -> Iterator[tuple[str, str]]:
+    """(role, text) of the messages of joined formatted text."""
+    at = 0
+    while at < len(text):
+        end = text.find(END + "\n", at)
+        if end < 0:
+            raise ValueError("formatted text ends inside a message")
+        end += len(END) + 1
+        yield parse_message(text[at:end])
+        at = end
+
+
 def events_of_rows(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """A table of finished messages as a log: one ``message`` event per row."""
     return pick(df, conv, turn, role, text).toDF("conv_id", "turn", "role", "text").select(
@@ -90,14 +111,36 @@ def events_of_rows(df: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
     )
 
 
+def streamed_rows(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """A table of finished messages as the log a chat service leaves: texts come
+    in deltas. By a hash of (conversation, turn) a third of them are begun,
+    dropped and regenerated, a third broken off and edited."""
+    rows = events_of_rows(df, conv, turn, role, text)
+    size = F.ceil(F.length("text") / F.lit(PIECES)).cast("int")
+    pieces = F.array(*[F.substring(F.col("text"), F.lit(i) * size + F.lit(1), size) for i in range(PIECES)])
+    event = lambda kind, t: F.struct(F.lit(kind).alias("kind"), t.cast("string").alias("text"))
+    deltas = F.transform(pieces, lambda t: event("delta", t))
+    begun = [event("message", F.lit("")), event("delta", pieces[0])]
+    way = F.crc32(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).cast("binary")) % 3
+    log: Column = (
+        F.when(way == 0, F.concat(F.array(*begun, event("regenerate", F.lit(None))), deltas))
+        .when(way == 1, F.array(*begun, event("edit", F.col("text"))))
+        .otherwise(F.concat(F.array(begun[0]), deltas)))
+    # rows of one turn are messages one after the other
+    place = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")) * F.lit(PIECES + 3)
+    return rows.withColumn("place", place).select("conv_id", "turn", "place", "role", F.posexplode(log).alias("step", "event")).select(
+        "conv_id", "turn", (F.col("place") + F.col("step")).cast("long").alias("seq"), F.col("event.kind").alias("kind"),
+        F.when(F.col("event.kind") == "message", F.col("role")).alias("role"), F.col("event.text").alias("text"))
+
+
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """(conv, turn, part, role, text) of a log sorted by (conv, turn, seq)."""
     key, part, role, text = None, 0, None, []
     for batch in batches:
         for conv, turn, _, kind, r, t in zip(*[c.to_pylist() for c in batch.columns]):
-            kind, r, t = kind or "message", r or "", t or ""
+            kind, r, t = (kind or "message").strip().lower(), r or "", t or ""
             if kind not in KINDS:
-                raise ValueError(f"unknown event kind {kind!r}")
+                continue
             new_turn = key != (conv, turn)
             if new_turn or kind == "message":
                 if role is not None:
@@ -175,22 +218,31 @@ def conversation_digests(segments: DataFrame) -> DataFrame:
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
                         ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
+    def runs(batches):
+        """(conversation, its joined text in a batch, loss spans in that)."""
+        for batch in rows_in(batches, ROWS_AT_A_TIME):
+            columns = [batch.column(i).to_pylist() for i in (0, 3, 4, 5)]
+            for conv, group in groupby(zip(*columns), key=lambda row: row[0]):
+                texts, spans, at = [], [], 0
+                for _, segment, start, end in group:
+                    texts.append(segment)
+                    spans.append((at + start, at + end))
+                    at += len(segment)
+                yield conv, "".join(texts), spans
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            begun, conv, n, chars, loss = False, None, 0, 0, 0
-            turns = lost = None
-            for batch in rows_in(batches, ROWS_AT_A_TIME):
-                for c, _, _, segment, start, end in zip(*[x.to_pylist() for x in batch.columns]):
-                    if not begun or c != conv:
-                        if begun:
-                            yield conv, n, turns.hexdigest(), loss, lost.hexdigest(), chars
-                        begun, conv, n, chars, loss, turns, lost = True, c, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
-                    role, text = parse_message(segment)
-                    turns.update(f"{role}\n{text}\n".encode())
-                    masked = unescape(segment[start:end])
-                    lost.update(masked.encode())
-                    n, chars, loss = n + 1, chars + len(segment), loss + len(masked)
-            if begun:
+            for conv, parts in groupby(runs(batches), key=lambda part: part[0]):
+                n, chars, loss, turns, lost = 0, 0, 0, hashlib.sha256(), hashlib.sha256()
+                for _, text, spans in parts:
+                    for role, said in parse_conversation(text):
+                        turns.update(f"{role}\n{said}\n".encode())
+                        n += 1
+                    for start, end in spans:
+                        masked = unescape(text[start:end])
+                        lost.update(masked.encode())
+                        loss += len(masked)
+                    chars += len(text)
                 yield conv, n, turns.hexdigest(), loss, lost.hexdigest(), chars
 
         yield from _in_batches(rows(), schema)

@@ -57,11 +57,10 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
 def op9_chat(spark, d):
-    events = chat.events_of_rows(table(spark, d, "conversations"))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.range(2).select(
-        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit(0).cast("long").alias("seq"), F.lit("message").alias("kind"),
-        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
-    return chat.conversation_digests(chat.render(events.unionByName(own)))
+        F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    return chat.conversation_digests(chat.render(chat.streamed_rows(rows.unionByName(own))))
 
 
 def op10_warc(spark, d):

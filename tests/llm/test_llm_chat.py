@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
-from llm_helpers import clashing
+from llm_helpers import clashing, random_text, rng
 
 from demandcast.llm import chat as C
 
@@ -49,7 +49,30 @@ def test_digests_read_back(spark):
     assert C.conversation_digests(C.render(spark.createDataFrame([], LOG))).collect() == []
 
 
-def test_unknown_kind_raises(spark):
-    log = spark.createDataFrame([(1, 0, 0, "shout", "user", "x")], LOG)
-    with pytest.raises(Exception, match="unknown event kind"):
-        C.render(log).collect()
+def test_kinds_in_any_case_and_other_events(spark):
+    log = [(1, 0, 0, " Message", "user", "x"), (1, 0, 1, "SHOUT", "user", "y"), (1, 0, 2, "Delta", None, "z"), (2, 0, 0, "ping", "user", "alone")]
+    got = C.read_back(C.render(spark.createDataFrame(log, LOG))).collect()
+    assert [(m.conv_id, m.role, m.text) for m in got] == [(1, "user", "xz")]
+
+
+def test_streams_fold_back(spark):
+    r = rng(8)
+    rows = [(c, t, ("user", "assistant")[t % 2], random_text(r, r.randrange(9)) + "</s>é🤖"[:r.randrange(7)]) for c in range(8) for t in range(6)]
+    rows += [(1, 2, "user", "same turn"), (1, 2, "user", "same turn"), (None, None, None, None), (9, None, "user", ""), (9, 0, "assistant", "x" * 50_000)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = C.streamed_rows(clashing(table))
+    assert {x.kind for x in log.collect()} == {"message", "delta", "regenerate", "edit"}
+    plain = C.read_back(C.render(C.events_of_rows(table)))
+    assert sorted(map(repr, C.read_back(C.render(log)).collect())) == sorted(map(repr, plain.collect()))
+    assert C.streamed_rows(spark.createDataFrame([], table.schema)).collect() == []
+
+
+def test_joined_text_is_parsed_by_its_marks(monkeypatch):
+    said = [("user", C.END + "\n" + C.BEGIN + "x"), ("assistant", "\\"), ("", "")]
+    joined = "".join(C.format_message(*m)[0] for m in said)
+    assert list(C.parse_conversation(joined)) == said
+    with pytest.raises(ValueError, match="inside a message"):
+        list(C.parse_conversation(joined[:-3]))
+    monkeypatch.setattr(C, "escape", lambda text: text)  # marks inside texts then cut messages apart
+    with pytest.raises(ValueError):
+        list(C.parse_conversation("".join(C.format_message(*m)[0] for m in said)))
