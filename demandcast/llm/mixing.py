@@ -7,20 +7,22 @@ Poisson(r) by inverting the distribution at a uniform number hashed from
 its source's rate and the seed. Documents are exploded by their counts and
 dealt out globally by a hash of (seed, id, copy).
 
-The distribution is tabulated once per source (a table of a row per source);
-the corpus joins it by a broadcast when the counted rows are within
-``broadcast_max_rows``, else by a shuffle join that AQE splits at a hot source.
+The distribution is tabulated once per source, by running sums over its steps,
+to an array as long as the rate; a document scans it once and is written that
+many times. The corpus joins the arrays by a broadcast when their counted
+entries are within ``broadcast_max_rows``, else by a shuffle join that AQE
+splits at a hot source.
 
 Cases: a null source is a source of its own; a null id draws as the empty id;
 rows with one id draw alike, so repeated rows are repeated alike; a source
 with target weight 0 or without a target goes; an empty table stays empty;
-columns of the input that are named like the added ones are kept apart by the
-caller's choice of ``copy_col`` and ``key_col`` (a clash raises).
+an added column whose name the input has, in whatever case, gets underscores
+until it is new; very long texts are moved and never read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandcast.llm.common import Scratch, keep_row, pick
@@ -37,15 +39,22 @@ def uniform(seed: str, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, UNIFORM_BITS // 4), 16, 10).cast("long") / F.lit(float(1 << UNIFORM_BITS))
 
 
-def poisson_table(rate: Column) -> Column:
-    """P(X <= k) for k = 0, 1, ... far into the tail, summed from logarithms."""
-    ks = F.sequence(F.lit(1), F.ceil(rate + F.lit(TAIL) * F.sqrt(rate) + F.lit(20)).cast("int"))
-    step = lambda a, k: F.struct(
-        (a["log_p"] + F.log(rate) - F.log(k.cast("double"))).alias("log_p"),
-        F.concat(a["cdf"], F.array(F.element_at(a["cdf"], -1) + F.exp(a["log_p"] + F.log(rate) - F.log(k.cast("double"))))).alias("cdf"),
-    )
-    start = F.struct((-rate).alias("log_p"), F.array(F.exp(-rate)).alias("cdf"))
-    return F.aggregate(ks, start, step, lambda a: a["cdf"])
+def poisson_tables(rates: DataFrame) -> DataFrame:
+    """(_source, _cdf) of (_source, _rate): P(X <= k) for k = 0, 1, ... far into
+    the tail, summed from logarithms."""
+    last = F.ceil(F.col("_rate") + F.lit(TAIL) * F.sqrt("_rate") + F.lit(20)).cast("int")
+    steps = rates.select("_source", "_rate", F.explode(F.sequence(F.lit(0), last)).alias("_k"))
+    upto = Window.partitionBy("_source").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    factor = F.when(F.col("_k") == 0, -F.col("_rate")).otherwise(F.log("_rate") - F.log(F.col("_k").cast("double")))
+    summed = steps.withColumn("_log_p", F.sum(factor).over(upto)).withColumn("_upto", F.sum(F.exp("_log_p")).over(upto))
+    return summed.groupBy("_source").agg(F.sort_array(F.collect_list("_upto")).alias("_cdf"))
+
+
+def _new_name(name: str | None, columns: list[str]) -> str | None:
+    taken = {c.lower() for c in columns}
+    while name and name.lower() in taken:
+        name += "_"
+    return name
 
 
 def square_root_targets(sizes: DataFrame) -> DataFrame:
@@ -77,11 +86,10 @@ def mix(docs: DataFrame, scratch: Scratch, targets: DataFrame | None = None, tot
     Adds ``copy_col`` (1, 2, ...) and ``key_col`` (the hash that orders the
     result within its partitions) unless they are None.
     """
-    clash = {c for c in (copy_col, key_col) if c} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns already there: {sorted(clash)}")
-    rates = source_rates(docs, scratch, targets, total, source_col).select("_source", poisson_table(F.col("_rate")).alias("_cdf"))
-    if rates.count() <= broadcast_max_rows(docs.sparkSession) // 100:
+    copy_col = _new_name(copy_col, docs.columns)
+    key_col = _new_name(key_col, [*docs.columns, copy_col or ""])
+    rates = scratch.write(poisson_tables(source_rates(docs, scratch, targets, total, source_col)), "tables")
+    if (rates.agg(F.sum(F.size("_cdf")).alias("n")).first()["n"] or 0) <= broadcast_max_rows(docs.sparkSession):
         rates = F.broadcast(rates)
     packed = keep_row(docs, id_col, source_col).toDF("_row", "_id", "_from")
     u = uniform(seed, F.col("_id"))

@@ -3,7 +3,6 @@
 import hashlib
 import math
 
-import pytest
 from llm_helpers import clashing, documents
 
 from demandcast.llm import mixing as M
@@ -54,8 +53,14 @@ def test_large_rates_and_nothing(spark):
     out = M.mix(documents(spark, [(7, "t", "a")]), Scratch(spark, "t"), total=2000.0)
     assert abs(out.count() - brute_count_large(2000.0, uniform(M.SEED, 7))) <= 1
     assert M.mix(documents(spark, []), Scratch(spark, "t")).collect() == []
-    with pytest.raises(ValueError, match="copy"):
-        M.mix(documents(spark, []).withColumnRenamed("lang", "copy"), Scratch(spark, "t"))
+
+
+def test_columns_named_like_the_added_ones_stay(spark):
+    df = documents(spark, [(i, f"t{i}", "a") for i in range(20)]).withColumnRenamed("lang", "Copy").withColumnRenamed("n_chars", "shuffle_key")
+    out = M.mix(df, Scratch(spark, "t"))
+    assert out.columns == [*df.columns, "copy_", "shuffle_key_"]
+    assert out.filter("Copy = 'en' and copy_ >= 1").count() == out.count() > 0
+    assert M._new_name("a", ["A", "a_"]) == "a__" and M._new_name(None, ["a"]) is None
 
 
 def brute_count_large(rate, u):
