@@ -9,11 +9,12 @@ neighbours in no piece, so a text falls into segments that are encoded on their
 ``segment_pattern``); a worker remembers the segments it has met.
 
 Every segment not met before is also encoded by the sentencepiece library,
-in one call per Arrow batch, and the library's ids win on any difference;
-:func:`encode_texts` counts such differences (none known).
+in one call per Arrow batch; on any difference (none known) the task fails and
+names the segment. The result is the agenda's, never the library's.
 
 Cases: a null or empty text has no ids and decodes to the empty text;
-repeated rows give repeated rows; an empty table gives an empty table.
+repeated rows give repeated rows; an empty table gives an empty table; a very
+long text is encoded whole, segment by segment.
 """
 
 from __future__ import annotations
@@ -61,12 +62,11 @@ class Agenda:
         longer = [p for p in self.pieces if len(p) > 1]
         if any(SPACE in p.lstrip(SPACE) for p in longer):
             raise ValueError("pieces that hold a space after other characters are not supported")
-        if m.encode(" a  b ", out_type=str)[:1] != [SPACE * 2] and m.encode("a", out_type=str)[0][:1] != SPACE:
+        if "".join(m.encode(" a  b ", out_type=str)) != "  a  b ".replace(" ", SPACE):
             raise ValueError("the model must keep all spaces and add one in front")
         self.segment = re.compile(self.segment_pattern(longer))
         self.young: dict[str, tuple[list[int], str]] = {}
         self.old: dict[str, tuple[list[int], str]] = {}
-        self.differences = 0
 
     @staticmethod
     def segment_pattern(longer: list[str]) -> str:
@@ -150,7 +150,8 @@ class Agenda:
         return self.to_ids(symbols)
 
     def checked(self, segments: list[str]) -> list[list[int]]:
-        """Agenda ids of the segments, held against one library call for all."""
+        """Agenda ids of the segments, held against one library call for all; a
+        difference raises, since the ids of the agenda are the result."""
         # The library puts a space in front: it stands for a segment's first
         # space; other segments follow a line break, whose ids are cut off.
         asked = [s[1:] if s[0] == " " else "\n" + s for s in segments]
@@ -161,8 +162,7 @@ class Agenda:
             ids = self.merge(segment)
             theirs = self.merge(" ") if not text else theirs if segment[0] == " " else theirs[lead:]
             if ids != theirs:
-                self.differences += 1
-                ids = theirs
+                raise ValueError(f"agenda and library differ on {segment!r}: {ids} and {theirs}")
             out.append(ids)
         return out
 
@@ -203,27 +203,21 @@ def _encoded(df: DataFrame, id_col: str, text_col: str, model_path: str | None)
 
 
 def encode_texts(df: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>, decoded string, differences long) per row.
-
-    ``differences`` counts segments first met for this batch on which agenda
-    and library disagreed (the library's ids were taken).
-    """
+    """(id, ids array<int>, decoded string) per row."""
     source, path = _encoded(df, id_col, text_col, model_path)
     kind = source.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = agenda_for(path)
         for batch in rows_in(batches, ROWS_AT_A_TIME):
-            before = encoder.differences
             ids = [list(chain.from_iterable(e[0] for e in x)) for x in encoder.encode_batch(python_strings(batch.column(1)))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array([encoder.library.decode(x) for x in ids], pa.string()),
-                 pa.array([encoder.differences - before] * len(ids), pa.int64())],
-                names=["_id", "ids", "decoded", "differences"],
+                 pa.array([encoder.library.decode(x) for x in ids], pa.string())],
+                names=["_id", "ids", "decoded"],
             )
 
-    out = map_arrow(source, run, f"_id {kind}, ids array<int>, decoded string, differences long")
+    out = map_arrow(source, run, f"_id {kind}, ids array<int>, decoded string")
     return out.withColumnRenamed("_id", id_col)
 
 
