@@ -20,7 +20,8 @@ stand somewhere else, at whatever position.
 Hashes of step 1 keep 48 bits and may only bring too many windows to step 2.
 The text itself moves only for documents with hits. Nothing is paired: per
 hash or digest the entries of a bucket are one per batch, and batches hold
-``BATCH_WORDS`` words.
+``BATCH_WORDS`` words. Buckets hold ``BUCKET_BYTES`` of text at any size of the
+corpus, and the number of tasks follows them.
 
 Cases: a null or empty text has no words; texts shorter than a window keep
 all; of rows that share an id (or have none) the order is fixed by sorting,
@@ -44,8 +45,9 @@ from demandcast.session import broadcast_max_rows
 
 WINDOW = 20
 BATCH_WORDS = 1 << 19
-BUCKET_BYTES = 8 << 20  # of text per bucket
-MOST_BUCKETS = 100_000  # buckets grow beyond it
+BUCKET_BYTES = 8 << 20  # of text per bucket, whatever the size of the corpus
+LEAST_BUCKETS = 64  # of small corpora, to spread their work
+TASK_BUCKETS = 4  # per task, where the session's shuffle partitions are too few
 WORDS_KEPT = 300_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -241,6 +243,20 @@ def _buckets_in(batches) -> Iterator[tuple[list, list]]:
         yield blobs, others
 
 
+def bucket_count(size: int) -> int:
+    """Buckets of a corpus of ``size`` bytes of text."""
+    return max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+
+
+def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows by bucket, to tasks whose number follows the buckets: a task holds
+    ``TASK_BUCKETS`` of them on average, or fewer."""
+    tasks = -(-buckets // TASK_BUCKETS)
+    if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return rows.repartition(tasks, "bucket")
+    return rows.repartition("bucket")
+
+
 def _through_buckets(sent: DataFrame, judge: Callable, buckets: int) -> DataFrame:
     """Deal rows out by bucket and let ``judge`` turn a bucket's blobs into
     (keys, positions); these and the rows passing through come out."""
@@ -253,7 +269,7 @@ def _through_buckets(sent: DataFrame, judge: Callable, buckets: int) -> DataFram
                 if found := _packs(*judge(blobs), buckets):
                     yield _rows(found)
 
-    dealt = sent.repartition("bucket").sortWithinPartitions("kind", "bucket")
+    dealt = _dealt(sent, buckets).sortWithinPartitions("kind", "bucket")
     return map_arrow(dealt, _nonempty(run), ROW)
 
 
@@ -322,7 +338,7 @@ def _repeated_windows(blobs: list) -> tuple[np.ndarray, np.ndarray]:
     return key[again], at[again]
 
 
-def _by_document(rows: DataFrame) -> DataFrame:
+def _by_document(rows: DataFrame, buckets: int) -> DataFrame:
     """(key, found binary): the runs of each document that has any, joined up
     from all buckets a group of documents at a time."""
     schema = pa.schema([("key", pa.int64()), ("found", pa.binary())])
@@ -354,7 +370,7 @@ def _by_document(rows: DataFrame) -> DataFrame:
             yield joined(held)
 
     dealt = rows.filter(F.col("kind").isin(PART, PACK)).select("kind", "bucket", "key", "a", "b")
-    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    dealt = _dealt(dealt, buckets).sortWithinPartitions("bucket")
     return map_arrow(dealt, run, "key long, found binary")
 
 
@@ -372,12 +388,12 @@ def repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW) -> tuple[Da
     if window < 2 or window % 2:
         raise ValueError("the window must be an even number of words")
     size = docs.agg(F.sum(F.octet_length("text")).alias("s")).first()["s"] or 0
-    buckets = int(min(MOST_BUCKETS, max(1, -(-size // BUCKET_BYTES))))
+    buckets = bucket_count(size)
     probed = scratch.write(_through_buckets(_index(docs, window, buckets), _hit_blocks, buckets), "probed")
     info = probed.filter(F.col("kind") == INFO).select("key", F.col("n").alias("n_words"), "digest")
-    hits = scratch.write(_by_document(probed), "hits")
+    hits = scratch.write(_by_document(probed, buckets), "hits")
     judged = scratch.write(_through_buckets(_extend(_with_found(docs, hits), window, buckets), _repeated_windows, buckets), "judged")
-    return info, scratch.write(_by_document(judged), "repeats")
+    return info, scratch.write(_by_document(judged, buckets), "repeats")
 
 
 def _cut(found: DataFrame, window: int, keep_text: bool) -> DataFrame:

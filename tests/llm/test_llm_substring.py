@@ -50,6 +50,7 @@ def test_removed_matches_brute_force(spark, monkeypatch):
     for batch, bucket in ((1 << 20, 8 << 20), (40, 300)):
         monkeypatch.setattr(D, "BATCH_WORDS", batch)
         monkeypatch.setattr(D, "BUCKET_BYTES", bucket)
+        monkeypatch.setattr(D, "LEAST_BUCKETS", 1)
         df = clashing(documents(spark, table)).repartition(3)
         got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in D.removed(df, Scratch(spark, "t")).collect())
         assert got == want
@@ -92,3 +93,11 @@ def test_packing_round_trip():
         assert D.unpack(D.pack(v)).tolist() == values
     assert D.to_runs(np.array([1, 2, 3, 7, 9, 10])).tolist() == [[1, 3], [7, 1], [9, 2]]
     assert D.runs_mask(np.array([[2, 1], [3, 2]]), 8, before=1, after=1).tolist() == [False, True, True, True, True, True, False, False]
+
+
+def test_buckets_and_tasks_follow_the_corpus(spark):
+    assert [D.bucket_count(n << 20) for n in (0, 1, 512, 520, 100 << 20)] == [64, 64, 64, 65, 13_107_200]
+    rows = spark.range(10).withColumnRenamed("id", "bucket")
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert D._dealt(rows, 4 * few + 40).rdd.getNumPartitions() == few + 10
+    assert D._dealt(rows, 4 * few).rdd.getNumPartitions() <= few
