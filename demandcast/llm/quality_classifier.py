@@ -141,9 +141,12 @@ def _strength(groups: DataFrame, prior: Column) -> Column:
 def site_posteriors(judged: DataFrame, scratch: Scratch) -> DataFrame:
     """(_site, _path, _n, site_share, path_share) from (_site, _path, _p): the
     posterior mean shares of good documents of each site and path."""
-    paths = scratch.write(judged.groupBy("_site", "_path").agg(F.count(F.lit(1)).alias("_n"), F.sum("_p").alias("_good")), "paths")
-    sites = scratch.write(paths.groupBy("_site").agg(F.sum("_n").alias("_n"), F.sum("_good").alias("_good")), "sites")
-    whole = sites.agg((F.sum("_good") / F.sum("_n")).alias("share")).first()["share"]
+    # probabilities are summed as decimals, so shares do not depend on partitions
+    counted = judged.groupBy("_site", "_path").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("_p").cast("decimal(18,15)")).alias("_sum"))
+    paths = scratch.write(counted, "paths")
+    sites = scratch.write(paths.groupBy("_site").agg(F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum")), "sites")
+    whole = sites.agg((F.sum("_sum").cast("double") / F.sum("_n")).alias("share")).first()["share"]
+    paths, sites = (t.withColumn("_good", F.col("_sum").cast("double")).drop("_sum") for t in (paths, sites))
     prior = F.lit(min(max(float(whole if whole is not None else 0.5), 1e-6), 1 - 1e-6))
     k_site = sites.agg(_strength(sites, prior).alias("k")).first()["k"] or LARGEST_STRENGTH
     shrunk = lambda k, above: (F.lit(k) * above + F.col("_good")) / (F.lit(k) + F.col("_n"))
