@@ -9,14 +9,20 @@ never seen shares most n-grams with the words it resembles.
 A document is scored by its worst bag, so a few words count in a text of any
 length. Training knows labels of documents only: a first round gives every bag
 its document's label, a second keeps as positive only the bags the first model
-finds toxic (a document's worst one at least). A part of the sample is kept
-out of both rounds to map worst-bag scores to probabilities.
+finds toxic (a document's worst one at least). A fifth of the sample is kept
+out of both rounds: its documents, scored whole, map worst-bag scores to
+probabilities, with classes weighed by their shares of all labels, toxic ones
+``MISS_COST`` times. A score s so weighed stands for a probability of
+s / (s + MISS_COST (1 - s)), and 0.5 is where a miss costs what a false alarm
+does.
 
 Bounds: the model is fitted on at most ``max_docs`` labelled documents per
-class, chosen by a hash of their ids, and ``max_bags`` bags of each, chosen at
-random from the whole text. Everything else reads all rows: all texts are
-scored whole. The fitted model is a table of 2^16 vectors whatever the input,
-broadcast as one float per bucket.
+class, chosen by a hash of their ids, and on ``MAX_BAGS`` bags of each, chosen
+at random from the whole text; words of over ``LONGEST_WORD`` characters do not
+train. The tasks cut the bags, so the driver sees no more than these.
+Everything else reads all rows: all texts are scored whole. The fitted model
+is a table of 2^16 vectors whatever the input, broadcast as one float per
+bucket.
 
 Cases: a null or empty text has no bag and the model's bias as its score;
 labels that are null do not train; a document labelled both ways is toxic;
@@ -26,23 +32,27 @@ scored one by one; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import map_arrow, pick, python_strings, rows_in
+from demandcast.llm.common import Scratch, map_arrow, pick, python_strings, rows_in
 
 BUCKETS = 1 << 16
 DIM = 8
 BAG = 5
 GRAMS = (3, 4, 5)
 MAX_DOCS = 1500
-MAX_BAGS = 60
+MAX_BAGS = 400
+MISS_COST = 3.0  # of a toxic document that is missed, in false alarms
+LONGEST_WORD = 100
+CALIBRATE = 5  # one document of so many is kept out of the fit
 ROUNDS = 2
 EPOCHS = 3  # per round, more of them until there are STEPS batches
 STEPS = 250
@@ -99,9 +109,6 @@ class Model:
         flat = self.buckets[np.fromiter((x for b in found for x in b), np.int64, int(sizes.sum()))]
         return _means(flat, sizes)
 
-    def probability(self, worst: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (worst + self.bias) + self.shift, -30, 30)))
-
 
 class _Trainer:
     def __init__(self, words: list[str], seed: int = 7):
@@ -151,60 +158,64 @@ class _Trainer:
         return _means((self.vectors @ edge)[self.flat], self.sizes), float(self.bias[1] - self.bias[0])
 
 
-def _cut(words: np.ndarray, bag: int, limit: int, rng) -> np.ndarray:
-    """Bags of a document, padded with -1; ``limit`` of them at random."""
-    n = max(1, -(-len(words) // bag))
-    padded = np.full(n * bag, -1, np.int64)
-    padded[:len(words)] = words
-    bags = padded.reshape(n, bag)
-    return bags[rng.choice(n, limit, replace=False)] if n > limit else bags
+def cut(text: str, bag: int, limit: int, seed: int) -> list[str]:
+    """Bags of a text, their words joined by spaces; ``limit`` of them at random."""
+    words = [w if len(w) <= LONGEST_WORD else "" for w in words_of(text)]
+    starts = range(0, max(1, len(words)), bag)
+    if len(starts) > limit:
+        starts = random.Random(seed).sample(starts, limit)
+    return [" ".join(words[at:at + bag]) for at in starts]
 
 
-def train(texts: list[str], labels: list[int], bag: int = BAG, max_bags: int = MAX_BAGS) -> Model | None:
-    """Fit the model; None unless both classes are present."""
+def train(cuts: list[list[str]], labels: list[int], bag: int = BAG) -> Model | None:
+    """Fit the model on the bags of each document; None unless both classes
+    are present. Its probabilities are the softmax's, see :func:`calibrate`."""
     truth = np.array(labels, np.int64)
     if not len(truth) or truth.min() == truth.max():
         return None
     ids: dict[str, int] = {}
-    docs = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t)], np.int64) for t in texts]
+    owner = np.repeat(np.arange(len(cuts)), [len(c) for c in cuts])
+    bags = np.full((len(owner), bag), -1, np.int64)
+    for row, text in enumerate(b for c in cuts for b in c):
+        words = text.split(" ")
+        bags[row, :len(words)] = [ids.setdefault(w, len(ids)) for w in words]
     trainer = _Trainer(list(ids))
-    rng = trainer.rng
-    # every fifth document of a class is kept for the probabilities
-    kept_out = np.zeros(len(docs), bool)
-    for label in (0, 1):
-        kept_out[np.flatnonzero(truth == label)[4::5]] = True
-    cuts = [_cut(d, bag, len(d) + 1 if t else max_bags, rng) for d, t in zip(docs, truth)]
-    mine = [i for i in range(len(docs)) if not kept_out[i]]
-    bags = np.concatenate([cuts[i] for i in mine])
-    owner = np.concatenate([np.full(len(cuts[i]), i) for i in mine])
+    present = bags >= 0
     y, use = truth[owner], np.ones(len(bags), bool)
     for _ in range(ROUNDS):
         rows = np.flatnonzero(use)
         epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, len(rows))))
         balance = np.where(y == 1, 0.5 / max(1, y[rows].sum()), 0.5 / max(1, (1 - y[rows]).sum())) * len(rows)
         for _ in range(epochs):
-            rng.shuffle(rows)
+            trainer.rng.shuffle(rows)
             for at in range(0, len(rows), BATCH):
                 some = rows[at:at + BATCH]
-                trainer.step(np.maximum(bags[some], 0), bags[some] >= 0, y[some], balance[some])
+                trainer.step(np.maximum(bags[some], 0), present[some], y[some], balance[some])
         scores, bias = trainer.logits()
-        present = bags >= 0
         of_bag = (scores[np.maximum(bags, 0)] * present).sum(1) / np.maximum(present.sum(1), 1) + bias
-        best = np.full(len(docs), -np.inf)
+        best = np.full(len(cuts), -np.inf)
         np.maximum.at(best, owner, of_bag)
         use = (truth[owner] == 0) | (of_bag > 0) & (of_bag > 0.5 * best[owner]) | (of_bag == best[owner])
-    worst = np.array([worst_bag(scores[d], bag) for d in docs])
-    slope, shift = _probabilities(worst[kept_out] + bias, truth[kept_out]) if len(set(truth[kept_out])) == 2 else (1.0, 0.0)
     edge = trainer.out[:, 1] - trainer.out[:, 0]
-    return Model((trainer.vectors @ edge).astype(np.float32), bias, slope, shift, bag)
+    return Model((trainer.vectors @ edge).astype(np.float32), bias, 1.0, 0.0, bag)
+
+
+def calibrate(model: Model, worst: np.ndarray, labels: np.ndarray, share: float) -> Model:
+    """The model with probabilities fitted to documents kept out of it, of
+    which toxic ones are ``share`` of all; unchanged without both classes."""
+    if len(set(labels.tolist())) < 2:
+        return model
+    share = MISS_COST * share / (MISS_COST * share + 1 - share)
+    slope, shift = _probabilities(worst + model.bias, labels, share)
+    return replace(model, slope=slope, shift=shift)
 
 
-def _probabilities(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic fit by Newton steps, lightly shrunk; both
-    classes weigh the same, since the sample's shares are not the corpus's."""
+def _probabilities(logits: np.ndarray, labels: np.ndarray, share: float) -> tuple[float, float]:
+    """Slope and shift of a logistic fit by Newton steps, lightly shrunk; the
+    classes weigh by ``share``, since the sample has its own."""
     spread = max(float(np.std(logits)), 1e-6)
     x = np.stack([(logits - logits.mean()) / spread, np.ones(len(logits))], axis=1)
-    weight = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum()) * len(labels)
+    weight = np.where(labels == 1, share / labels.sum(), (1 - share) / (1 - labels).sum()) * len(labels)
     w = np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -221,28 +232,46 @@ def held_out(id_col: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
     """Fit on labelled documents that are not held out, ``max_docs`` a class.
 
-    The texts of the sample are gathered on the driver: its size is bounded
-    by the two parameters, not by the corpus.
+    The sample's texts are written once; tasks cut the bags of those that
+    train and score those kept out, so neither is gathered as text.
     """
     known = pick(labels, id_col, label_col).toDF("_id", "_label").filter("_id is not null and _label is not null")
-    known = known.filter(~held_out(F.col("_id"))).groupBy("_id").agg(F.max("_label").cast("int").alias("_label"))
+    known = known.filter(~held_out(F.col("_id"))).groupBy("_id").agg(F.max((F.col("_label") == 1).cast("int")).alias("_label"))
     by_hash = [F.xxhash64("_id"), F.col("_id")]
-    sample = known.filter("_label = 1").orderBy(*by_hash).limit(max_docs).union(known.filter("_label <> 1").orderBy(*by_hash).limit(max_docs))
+    sample = known.filter("_label = 1").orderBy(*by_hash).limit(max_docs).union(known.filter("_label = 0").orderBy(*by_hash).limit(max_docs))
     ids = F.broadcast(sample)  # 2 * max_docs rows
     texts = pick(docs, id_col, text_col).toDF("_id", "_text").join(ids, "_id")
+    kind = texts.schema["_id"].dataType.simpleString()
     # a row of each id; copies of one id would outweigh the rest
     one = texts.groupBy("_id").agg(F.min(F.coalesce(F.col("_text").cast("string"), F.lit(""))).alias("_text"), F.first("_label").alias("_label"))
-    rows = sorted(one.collect())
-    return train([r["_text"] for r in rows], [r["_label"] for r in rows])
-
-
-def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score double) per row of ``docs``."""
-    source = pick(docs, id_col, text_col).toDF("_id", "_text").withColumn("_text", F.col("_text").cast("string"))
+    one = one.withColumn("_apart", F.pmod(F.xxhash64(F.lit("calibrate"), "_id"), F.lit(CALIBRATE)) == 0)
+
+    def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_in(batches, 64):
+            found = [cut(t, BAG, MAX_BAGS, zlib.crc32(str(i).encode())) for i, t in zip(batch.column(0).to_pylist(), python_strings(batch.column(2)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))], names=["_id", "_label", "_bags"])
+
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    try:
+        rows = scratch.write(one.select("_id", "_label", "_text", "_apart"), "sample")
+        mine = map_arrow(rows.filter("not _apart").select("_id", "_label", "_text"), cut_rows, f"_id {kind}, _label int, _bags array<string>")
+        mine = sorted(mine.collect(), key=lambda r: r["_id"])
+        model = train([r["_bags"] for r in mine], [r["_label"] for r in mine])
+        if model is None:
+            return None
+        truth = {r["_id"]: r["_label"] for r in rows.filter("_apart").select("_id", "_label").collect()}
+        worst = {r["_id"]: r["_worst"] for r in _worst(rows.filter("_apart").select("_id", "_text"), model).collect()}
+        share = known.agg(F.avg("_label").alias("share")).first()["share"]
+        at = sorted(truth)
+        return calibrate(model, np.array([worst[i] for i in at]), np.array([truth[i] for i in at], np.int64), float(share))
+    finally:
+        scratch.drop()
+
+
+def _worst(source: DataFrame, model: Model) -> DataFrame:
+    """(_id, _worst): the score of the worst bag of each row's whole text."""
     kind = source.schema["_id"].dataType.simpleString()
-    if model is None:
-        return source.select(F.col("_id").alias(id_col), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = source.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -253,10 +282,20 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                 known.clear()
             new = list({w for words in texts for w in words if w not in known})
             known.update(zip(new, m.word_scores(new).tolist()))
-            worst = np.array([worst_bag(np.fromiter(map(known.__getitem__, words), np.float64, len(words)), m.bag) for words in texts])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(m.probability(worst))], names=["_id", "score"])
+            worst = [worst_bag(np.fromiter(map(known.__getitem__, words), np.float64, len(words)), m.bag) for words in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(worst, pa.float64())], names=["_id", "_worst"])
+
+    return map_arrow(source, run, f"_id {kind}, _worst double")
 
-    return map_arrow(source, run, f"_id {kind}, score double").withColumnRenamed("_id", id_col)
+
+def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score double) per row of ``docs``."""
+    source = pick(docs, id_col, text_col).toDF("_id", "_text").withColumn("_text", F.col("_text").cast("string"))
+    if model is None:
+        return source.select(F.col("_id").alias(id_col), F.lit(0.0).alias("score"))
+    odds = F.lit(model.slope) * (F.col("_worst") + F.lit(model.bias)) + F.lit(model.shift)
+    bounded = F.greatest(F.least(odds, F.lit(30.0)), F.lit(-30.0))
+    return _worst(source, model).select(F.col("_id").alias(id_col), (1 / (1 + F.exp(-bounded))).alias("score"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
