@@ -120,13 +120,14 @@ def meetings(distinct: DataFrame, scratch: Scratch, shared: int, paired: int = P
     entries = distinct.select(F.explode(sets).alias("set"), "fp")
     met = []
     while True:
-        index = _keyed(entries)
-        lists = scratch.write(
-            index.groupBy("set", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1"), "lists")
-        members = scratch.write(index.join(lists.filter("n > 2").select("set", "key", "n"), ["set", "key"]), "members")
+        # dealt once: the lists are counted and their members taken from the same
+        # exchange. Fingerprints are distinct, so a list of two has a < b; the
+        # condition keeps both readers on the same columns
+        index = _keyed(entries).repartition("set", "key")
+        lists = index.groupBy("set", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a < b")
+        members = scratch.write(index.join(lists.select("set", "key", "n"), ["set", "key"]), "members")
         short, heavy = members.filter(F.col("n") <= paired), members.filter(F.col("n") > paired)
         other = short.select("set", "key", F.col("fp").alias("b"))
-        met.append(lists.filter("n = 2").select("a", "b", "set"))
         met.append(short.select("set", "key", F.col("fp").alias("a")).join(other, ["set", "key"]).filter("a < b").select("a", "b", "set"))
         if size == shared or heavy.isEmpty():
             return reduce(DataFrame.union, met), heavy.select("set", "key", "fp")
