@@ -135,13 +135,19 @@ def first_series_index(candidates: list[DataFrame | None]) -> DataFrame | None:
 
 
 def regions_by_sku(index: DataFrame) -> DataFrame:
-    """Sorted distinct regions per SKU, joined with ','. The set per SKU is
-    bounded by the number of regions, and collect_set merges partially."""
-    return (
-        index.dropna(subset=["sku"])
-        .groupBy("sku")
-        .agg(F.array_join(F.sort_array(F.collect_set("region")), ",").alias("regions"))
-    )
+    """Sorted distinct regions per SKU, joined with ','."""
+    return region_sets(index).select("sku", F.array_join("regions", ",").alias("regions"))
+
+
+def region_sets(index: DataFrame) -> DataFrame:
+    """(sku, regions): the sorted array of a SKU's distinct regions, which their
+    number bounds.
+
+    The pairs are made distinct first, by a hash aggregation; the lists are
+    gathered from them. (A ``collect_set`` would make Spark drop the distinct
+    and gather, and sort, the index's rows instead of its pairs.)"""
+    pairs = index.dropna(subset=["sku"]).select(*SERIES_KEYS).distinct()
+    return pairs.groupBy("sku").agg(F.sort_array(F.collect_list("region")).alias("regions"))
 
 
 def pipeline_status(spark: SparkSession, artefacts: Mapping[str, DataFrame | None]) -> DataFrame:
