@@ -3,11 +3,14 @@ proportion to the input at any size."""
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from demandcast.functions.ranks import whole_quantiles
+from demandcast.operators import forecast
 from demandcast.operators.features import build_features, weekly_rollup
-from demandcast.operators.forecast import naive_quantile_forecast
+from demandcast.operators.forecast import naive_quantile_forecast, rolling_pairs
 from demandcast.operators.lookup import missing_with_suggestions
 from demandcast.operators.regression import training_examples
 from demandcast.plans import inputs as I
@@ -87,3 +90,50 @@ def test_suggestions_read_the_forecasts_once(spark, no_broadcast, tmp_dir):
     assert out.columns == ["sku", "region", "request_id", "horizon_weeks", "valid_regions"]
     assert {x["request_id"]: x["valid_regions"] for x in out.collect()} == {"b": "east,north", "c": "east,north", "d": "", "e": None, "f": None}
     assert len(lines(out, "FileScan")) == 1 and not lines(out, "collect_set")
+
+
+def odd_weeks():
+    """Weekly rows of long and thin series, some ended early, some keys unknown."""
+    ends = {("a", "n"): 40, ("a", "s"): 5, ("b", "n"): 33, ("b", None): 4, (None, "n"): 38, ("c", "s"): 1, ("d", "n"): 12}
+    rows = [(s, r, D(2024, 1, 1) + dt.timedelta(weeks=i), (i * 7 + len(s or "") * 3) % 11, 0.0) for (s, r), n in ends.items() for i in range(n)]
+    return rows + [("a", "s", D(2024, 1, 1) + dt.timedelta(weeks=i), i % 5, 0.0) for i in range(28, 40, 3)]
+
+
+def as_rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_histories_are_copied_behind_the_exchange_all_readers_share(spark, no_broadcast, tmp_dir):
+    spark.createDataFrame(odd_weeks(), WEEKLY).write.parquet(f"{tmp_dir}/weekly")
+    weekly = spark.read.parquet(f"{tmp_dir}/weekly")
+    out = rolling_pairs(weekly, n_cutoffs=3, holdout_weeks=6, tasks=3)
+    got = as_rows(out)
+    dealt = [x for x in lines(out, "Exchange hashpartitioning(") if "Reused" not in x]
+    assert len([x for x in dealt if "REPARTITION_BY_NUM" in x]) == 1
+    assert not [x for x in dealt if "hashpartitioning(cutoff" in x and "sku" in x and "region" in x]
+    # a cutoff at a time, every history on its own
+    want, last = [], dt.date(2024, 1, 1) + dt.timedelta(weeks=39)
+    for k in (1, 2, 3):
+        cutoff = last - dt.timedelta(weeks=6 * k)
+        ahead = naive_quantile_forecast(weekly.filter(F.to_date("week") <= F.lit(cutoff)), horizon=6).filter(F.col("date") > F.lit(cutoff))
+        actual = weekly.select("sku", "region", F.to_date("week").alias("date"), F.col("units_sold").cast("double").alias("actual"))
+        columns = ["sku", "region", "date", F.lit(cutoff).alias("cutoff"), "`q0.1`", "`q0.5`", "`q0.9`", "actual"]
+        want += as_rows(ahead.join(actual, ["sku", "region", "date"]).select(*columns))
+    assert got == sorted(want) and len(got) > 20
+
+
+def test_skus_of_any_size_have_the_same_pool(spark, monkeypatch):
+    weekly = spark.createDataFrame(odd_weeks(), WEEKLY)
+    found = []
+    for most in (0, 20, 100_000):
+        monkeypatch.setattr(forecast, "POOL_ROWS", most)
+        found.append(as_rows(naive_quantile_forecast(weekly, horizon=2)))
+    assert found[0] == found[1] == found[2] and found[0]
+
+
+def test_values_of_a_whole_group_may_repeat(spark):
+    values = [3.0, 3.0, -1.0, 7.5, 3.0, 0.0, 7.5, 2.0, 2.0, 2.0]
+    counts = spark.createDataFrame([("g", v, n) for v, n in zip(values, [1, 2, 1, 3, 1, 1, 1, 2, 1, 1])] + [(None, 4.0, 2)], "g string, v double, n long")
+    plain = [v for v, n in zip(values, [1, 2, 1, 3, 1, 1, 1, 2, 1, 1]) for _ in range(n)]
+    got = {r.g: r for r in whole_quantiles(counts, ["g"], "v", "n", [0.1, 0.5, 0.77], ["x", "y", "z"]).collect()}
+    assert [got["g"][c] for c in "xyz"] == pytest.approx(list(np.quantile(plain, [0.1, 0.5, 0.77]))) and got[None]["y"] == 4.0
