@@ -86,3 +86,17 @@ def test_the_fit_has_tasks_by_examples(weekly, monkeypatch):
     (few, n), (more, _) = parts
     assert few == 4 * weekly.sparkSession.sparkContext.defaultParallelism
     assert few < more == -(-n // 25)
+
+
+def test_only_forecasts_asked_for_are_scored(weekly):
+    """A holdout asks for the dates after its cutoff: series that ended too early
+    for one take part in the fit alone."""
+    early = weekly.filter((F.col("sku") != "a") | (F.col("region") != "s") | (F.to_date("week") < F.lit(DAY + dt.timedelta(weeks=40))))
+    after = DAY + dt.timedelta(weeks=50)
+    keys = {}
+    for name, asked in (("all", None), ("some", F.lit(after))):
+        fitted = regression_quantile_forecast(early, horizon=4, max_iter=1, stored=True, after=asked)
+        keys[name] = {(r["sku"], r["region"], r["date"]) for r in fitted.forecast.collect()}
+        fitted.release()
+    assert keys["some"] == {k for k in keys["all"] if k[2] > after}
+    assert ("a", "s") in {k[:2] for k in keys["all"]} and ("a", "s") not in {k[:2] for k in keys["some"]}
